@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.plans import reports as R
+from tidemart.plans import variants as V
 from tidemart.plans.star import FeedStar
 from tidemart.session import apply_sql_defaults
 from tidemart.sources.fixtures import FixtureSources
@@ -51,7 +52,21 @@ def report_queries() -> dict[str, Query]:
     }
 
 
+def variant_queries() -> dict[str, Query]:
+    return {
+        "v1_top5_per_month_daytype": _report(V.v1_top5_per_month_daytype),
+        "v2_store_qoq_growth": _report(V.v2_store_qoq_growth),
+        "v3_category_contribution": _report(V.v3_category_contribution),
+        "v4_product_season_region": _report(V.v4_product_season_region),
+        "v5_volatility_calendar": _report(V.v5_volatility_calendar),
+        "v6_affinity_distinct": _report(V.v6_affinity_distinct),
+        "v9_daily_spikes": _report(V.v9_daily_spikes),
+        "v10_region_store_quarter": _report(V.v10_region_store_quarter),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(report_queries())
+    out.update(variant_queries())
     return out
