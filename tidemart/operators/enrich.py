@@ -157,8 +157,11 @@ def enrich_flagged(feed: DataFrame, customers: DataFrame, products: DataFrame,
     else:
         flags.append(flags[1])
     cols = _enriched_projection(out, _extra_columns(*masters))
+    # ``source_time_id`` keeps the feed's own (possibly NULL) time id for the
+    # time dimension; the fact reads a missing one as 0
     return out.select(
         *cols,
+        F.col("time_id").alias("source_time_id"),
         (~flags[0]).alias("missing_customer"),
         (~flags[1]).alias("missing_product"),
         (~flags[2]).alias("missing_supplier"),

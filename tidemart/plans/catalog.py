@@ -10,13 +10,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemart.functions.measures import as_double
+from tidemart.operators.dims import DIMENSIONS, dimension_members, time_members
+from tidemart.operators.enrich import enrich, enrich_rejects, normalise_feed
+from tidemart.operators.quality import (
+    dependency_violations,
+    duplicate_keys,
+    null_counts,
+    orphan_report,
+)
 from tidemart.plans import reports as R
 from tidemart.plans import variants as V
+from tidemart.plans.load import load_warehouse, new_warehouse_root
 from tidemart.plans.star import FeedStar
-from tidemart.session import apply_sql_defaults
-from tidemart.sources.fixtures import FixtureSources
+from tidemart.schemas import FACT_COLUMNS, FACT_KEY, TRANSACTIONS_CSV
+from tidemart.session import apply_sql_defaults, shared_scratch_dir
+from tidemart.sources.counts import source_counts
+from tidemart.sources.csv_feeds import read_products_csv, read_transactions_csv, write_csv
+from tidemart.sources.fixtures import FixtureSources, table
+from tidemart.streaming.enrich_stream import (
+    feed_stream,
+    run_to_completion,
+    stage_feed_files,
+    start_enrichment,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,8 +87,197 @@ def variant_queries() -> dict[str, Query]:
     }
 
 
+# ---------------------------------------------------------------- sources
+
+def _sources(spark: SparkSession, sf_dir: str, restricted: bool = False) -> FixtureSources:
+    apply_sql_defaults(spark)
+    return FixtureSources(spark, sf_dir, restricted=restricted)
+
+
+def q_src_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole transaction feed in the enrichment layout."""
+    return normalise_feed(_sources(spark, sf_dir).feed())
+
+
+def q_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count per source table."""
+    src = _sources(spark, sf_dir)
+    return source_counts({
+        "transactions": src.feed(), "products": src.products(), "customers": src.customers()})
+
+
+def q_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed written as a CR LF CSV in the positional transactions
+    layout, then loaded back through the CSV reader."""
+    src = _sources(spark, sf_dir)
+    path = shared_scratch_dir(spark, "transactions-csv")
+    feed = normalise_feed(src.feed()).select(*[f.name for f in TRANSACTIONS_CSV.fields])
+    write_csv(feed, path)
+    return read_transactions_csv(spark, path)
+
+
+def q_csv_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: the part table written in the product-master CSV layout (price as
+    text with a trailing ``$``, a comma inside the quoted name, empty
+    supplier/store fields, CR LF), then loaded and cleaned."""
+    _sources(spark, sf_dir)
+    part = table(spark, sf_dir, "part")
+    raw = part.select(
+        F.col("p_partkey").alias("productID"),
+        F.concat_ws(", ", "p_name", "p_brand").alias("productName"),
+        F.concat(F.format_string("%.2f", F.col("p_retailprice")), F.lit("$")).alias("productPrice"),
+        F.lit(None).cast("string").alias("supplierID"),
+        F.lit(None).cast("string").alias("supplierName"),
+        F.lit(None).cast("string").alias("storeID"),
+        F.lit(None).cast("string").alias("storeName"),
+    )
+    path = shared_scratch_dir(spark, "products-csv")
+    write_csv(raw, path)
+    out = read_products_csv(spark, path)
+    return out.withColumn("product_price", as_double("product_price"))
+
+
+# ------------------------------------------------------------- enrichment
+
+def _money_to_double(df: DataFrame) -> DataFrame:
+    return df.select(*[as_double(c).alias(c) if c in ("total_sales", "product_price") else F.col(c)
+                       for c in df.columns])
+
+
+def q_enrich_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1-E4 with the reduced catalogues (so part of the feed is unmatched)."""
+    src = _sources(spark, sf_dir, restricted=True)
+    rows = enrich(src.feed(), src.customers(), src.products(), src.suppliers())
+    return _money_to_double(rows.select(
+        *FACT_COLUMNS, "customer_name", "product_name", "product_price", "supplier_name", "store_name"))
+
+
+def q_enrich_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5: the complement of enrich_sales, missing side(s) flagged."""
+    src = _sources(spark, sf_dir, restricted=True)
+    return enrich_rejects(src.feed(), src.customers(), src.products(), src.suppliers())
+
+
+def _dim_query(name: str) -> Query:
+    key, attrs = DIMENSIONS[name]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        src = _sources(spark, sf_dir, restricted=True)
+        matched = enrich(src.feed(), src.customers(), src.products(), src.suppliers())
+        return _money_to_double(dimension_members(matched, key, attrs, None, FACT_KEY))
+
+    run.__name__ = name
+    return run
+
+
+def q_dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time days from every feed row (matched or not)."""
+    return time_members(normalise_feed(_sources(spark, sf_dir).feed()))
+
+
+def q_load_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads into one fresh warehouse - the orders before 1998,
+    then the whole feed, then the whole feed again - and the fact table read
+    back.  Overlap and repetition must add nothing twice."""
+    src = _sources(spark, sf_dir)
+    root = new_warehouse_root(spark)
+    for feed in (src.feed(before=dt.date(1998, 1, 1)), src.feed(), src.feed()):
+        star = load_warehouse(spark, root, feed, src.customers(), src.products(), src.suppliers())
+    return _money_to_double(star.fact.select(*FACT_COLUMNS))
+
+
+# ---------------------------------------------------------- data quality
+
+def q_dq_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(order_id, line_no) values held by more than one feed line."""
+    return duplicate_keys(normalise_feed(_sources(spark, sf_dir).feed()), ["order_id", "line_no"])
+
+
+def q_dq_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed keys without a master row (reduced catalogues)."""
+    src = _sources(spark, sf_dir, restricted=True)
+    feed = normalise_feed(src.feed())
+    return orphan_report(feed, [
+        ("customer_id", src.customers(), "customer_id"),
+        ("product_id", src.products(), "product_id"),
+        ("supplier_id", src.suppliers(), "supplier_id"),
+    ])
+
+
+def q_dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULL counts of the feed's key and measure columns."""
+    feed = normalise_feed(_sources(spark, sf_dir).feed())
+    return null_counts(feed, ["order_id", "product_id", "customer_id", "order_date", "quantity", "time_id"])
+
+
+def q_dq_time_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4: time ids carrying more than one date in the time dimension."""
+    days = time_members(normalise_feed(_sources(spark, sf_dir).feed()))
+    return dependency_violations(days, "time_id", "order_date")
+
+
+def q_dq_dim_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products sold under more than one supplier (a product-level
+    supplier attribute would conflict for these keys)."""
+    feed = normalise_feed(_sources(spark, sf_dir).feed())
+    return dependency_violations(feed, "product_id", "supplier_id")
+
+
+# ------------------------------------------------------------- streaming
+
+def _stream(spark: SparkSession, sf_dir: str, dimensions: tuple[str, ...]) -> str:
+    src = _sources(spark, sf_dir)
+    landing = shared_scratch_dir(spark, "feed-landing")
+    stage_feed_files(normalise_feed(src.feed()), landing, n_files=4)
+    out_root = shared_scratch_dir(spark, "stream-warehouse")
+    stream = feed_stream(spark, landing, normalise_feed(src.feed()).schema, files_per_batch=1)
+    query = start_enrichment(
+        spark, stream, src.customers(), src.products(), src.suppliers(), out_root,
+        checkpoint=f"{out_root}/_checkpoint", dimensions=dimensions)
+    run_to_completion(query)
+    return out_root
+
+
+def q_stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1-ST3: the feed enriched as a file stream, facts read back."""
+    out_root = _stream(spark, sf_dir, ())
+    return _money_to_double(spark.read.parquet(f"{out_root}/sales").select(*FACT_COLUMNS))
+
+
+def q_stream_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST4: the product dimension grown batch by batch."""
+    out_root = _stream(spark, sf_dir, ("dim_product",))
+    key, attrs = DIMENSIONS["dim_product"]
+    return _money_to_double(spark.read.parquet(f"{out_root}/dim_product").select(key, *attrs))
+
+
+def load_queries() -> dict[str, Query]:
+    return {
+        "src_transactions": q_src_transactions,
+        "source_counts": q_source_counts,
+        "csv_load": q_csv_load,
+        "csv_products": q_csv_products,
+        "enrich_sales": q_enrich_sales,
+        "enrich_rejects": q_enrich_rejects,
+        "dim_customer": _dim_query("dim_customer"),
+        "dim_product": _dim_query("dim_product"),
+        "dim_store": _dim_query("dim_store"),
+        "dim_supplier": _dim_query("dim_supplier"),
+        "dim_time": q_dim_time,
+        "load_sales": q_load_sales,
+        "dq_pk": q_dq_pk,
+        "dq_fk": q_dq_fk,
+        "dq_not_null": q_dq_not_null,
+        "dq_time_fanout": q_dq_time_fanout,
+        "dq_dim_conflicts": q_dq_dim_conflicts,
+        "stream_enrich": q_stream_enrich,
+        "stream_dims": q_stream_dims,
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(report_queries())
     out.update(variant_queries())
+    out.update(load_queries())
     return out
