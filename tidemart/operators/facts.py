@@ -39,17 +39,17 @@ def new_rows(rows: DataFrame, existing: DataFrame | None, key: Sequence[str]) ->
     return rows.join(known, cond, "left_anti")
 
 
-def year_of_time_id(col: str = "time_id"):
-    """Partition column: the year of a ``yyyymmdd`` day key."""
-    return (F.col(col) / 10000).cast("int")
-
-
 def append_facts(spark: SparkSession, matched: DataFrame, path: str,
                  key: Sequence[str] = FACT_KEY) -> None:
     """Append the not-yet-stored fact rows in one distributed write (no
-    count, no cache: the delta can be as large as the feed)."""
-    rows = new_rows(fact_rows(matched), read_if_exists(spark, path), key)
-    rows.withColumn("year", year_of_time_id()).write.mode("append").partitionBy("year").parquet(path)
+    count, no cache: the delta can be as large as the feed).
+
+    Files are partitioned by the order year (a storage column, NULL dates
+    go to the default partition) so that one-year reports read one year.
+    """
+    rows = matched.select(*FACT_COLUMNS, F.year("order_date").alias("year"))
+    rows = new_rows(rows, read_if_exists(spark, path), key)
+    rows.write.mode("append").partitionBy("year").parquet(path)
 
 
 def append_members(spark: SparkSession, members: DataFrame, path: str) -> None:

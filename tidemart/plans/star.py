@@ -19,6 +19,7 @@ same columns, so every report is written once.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
@@ -59,6 +60,18 @@ class FeedStar:
     def from_fixtures(cls, sources) -> "FeedStar":
         return cls(sources.feed, sources.customers(), sources.products(), sources.suppliers())
 
+    @classmethod
+    def from_frames(cls, feed: DataFrame, customers: DataFrame, products: DataFrame,
+                    suppliers: DataFrame | None = None) -> "FeedStar":
+        """A star over an in-hand feed; a year becomes a date-range filter
+        (pushed into the scan when the feed is a file source)."""
+        def feed_for(year: int | None = None) -> DataFrame:
+            if year is None:
+                return feed
+            lo, hi = _dt.date(year, 1, 1), _dt.date(year + 1, 1, 1)
+            return feed.where((F.col("order_date") >= F.lit(lo)) & (F.col("order_date") < F.lit(hi)))
+        return cls(feed_for, customers, products, suppliers)
+
     def sales(self, year: int | None = None, dims: Iterable[str] = ALL_DIMS) -> DataFrame:
         rows = enrich(self._feed(year=year), self.customers, self.products, self.suppliers)
         dims = set(dims)
