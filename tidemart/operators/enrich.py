@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.dates import time_id_of
 from tidemart.functions.measures import sales_amount, zero_if_null
+from tidemart.operators.joins import broadcast_if_small
 
 SUPPLIER_SIDE = ("supplier_id", "supplier_name", "store_id", "store_name", "region")
 
@@ -98,18 +99,18 @@ def enrich(feed: DataFrame, customers: DataFrame, products: DataFrame,
     attributes and ``total_sales = price x quantity`` (exact decimal)."""
     f = _feed_for(normalise_feed(feed), suppliers)
     p = _products_for(products, suppliers)
-    out = f.join(customers, "customer_id", "inner").join(p, "product_id", "inner")
-    masters = [customers, p]
+    masters = [customers, p] + ([suppliers] if suppliers is not None else [])
+    out = f.join(broadcast_if_small(customers), "customer_id", "inner")
+    out = out.join(broadcast_if_small(p), "product_id", "inner")
     if suppliers is not None:
-        out = out.join(suppliers, "supplier_id", "inner")
-        masters.append(suppliers)
+        out = out.join(broadcast_if_small(suppliers), "supplier_id", "inner")
     return out.select(*_enriched_projection(out, _extra_columns(*masters)))
 
 
 def _flag_presence(df: DataFrame, master: DataFrame, key: str, flag: str) -> DataFrame:
     # one row per master key, so the left join never multiplies feed rows
     keys = master.select(key).where(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True))
-    return df.join(keys, key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    return df.join(broadcast_if_small(keys), key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
 def enrich_rejects(feed: DataFrame, customers: DataFrame, products: DataFrame,
@@ -144,13 +145,13 @@ def enrich_flagged(feed: DataFrame, customers: DataFrame, products: DataFrame,
     joining the feed twice."""
     f = _feed_for(normalise_feed(feed), suppliers)
     p = _products_for(products, suppliers)
-    c = customers.withColumn("_has_customer", F.lit(True))
-    p = p.withColumn("_has_product", F.lit(True))
+    c = broadcast_if_small(customers.withColumn("_has_customer", F.lit(True)))
+    p = broadcast_if_small(p.withColumn("_has_product", F.lit(True)))
     out = f.join(c, "customer_id", "left").join(p, "product_id", "left")
     masters = [customers, _products_for(products, suppliers)]
     flags = [F.coalesce(F.col("_has_customer"), F.lit(False)), F.coalesce(F.col("_has_product"), F.lit(False))]
     if suppliers is not None:
-        s = suppliers.withColumn("_has_supplier", F.lit(True))
+        s = broadcast_if_small(suppliers.withColumn("_has_supplier", F.lit(True)))
         out = out.join(s, "supplier_id", "left")
         masters.append(suppliers)
         flags.append(F.coalesce(F.col("_has_supplier"), F.lit(False)))

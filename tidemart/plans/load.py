@@ -15,7 +15,8 @@ the same load again, or an overlapping one, adds no row twice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,23 +48,42 @@ def load_warehouse(spark: SparkSession, root: str, feed: DataFrame, customers: D
     staged = stage_enriched(spark, feed, customers, products, suppliers)
     matched = staged.where(F.col("matched"))
 
-    rejects_path = f"{root}/rejects"
-    rejects = staged.where(~F.col("matched")).select(*REJECT_COLUMNS)
-    append_members(spark, new_rows(rejects, read_if_exists(spark, rejects_path), fact_key), rejects_path)
-
-    for name, (key, attrs) in DIMENSIONS.items():
-        path = f"{root}/{name}"
-        members = dimension_members(matched, key, attrs, read_if_exists(spark, path), fact_key)
-        append_members(spark, members, path)
-
-    time_path = f"{root}/dim_time"
-    days = time_members(staged.select("order_date", F.col("source_time_id").alias("time_id")),
-                        read_if_exists(spark, time_path))
-    append_members(spark, days, time_path)
-
+    def rejects_job() -> None:
+        path = f"{root}/rejects"
+        rejects = staged.where(~F.col("matched")).select(*REJECT_COLUMNS)
+        append_members(spark, new_rows(rejects, read_if_exists(spark, path), fact_key), path)
+
+    def dimension_job(name: str, key: str, attrs) -> Callable[[], None]:
+        def run() -> None:
+            path = f"{root}/{name}"
+            members = dimension_members(matched, key, attrs, read_if_exists(spark, path), fact_key)
+            append_members(spark, members, path)
+        return run
+
+    def time_job() -> None:
+        path = f"{root}/dim_time"
+        days = time_members(staged.select("order_date", F.col("source_time_id").alias("time_id")),
+                            read_if_exists(spark, path))
+        append_members(spark, days, path)
+
+    # rejects and the five dimensions are independent tables: submit their
+    # jobs together (Spark runs concurrent jobs of one session side by side)
+    jobs = [rejects_job, time_job] + [dimension_job(n, k, a) for n, (k, a) in DIMENSIONS.items()]
+    run_concurrently(jobs)
+
+    # facts last, once every dimension member they reference is stored
     append_facts(spark, matched, f"{root}/sales", fact_key)
     return WarehouseStar.read(spark, root)
 
 
+def run_concurrently(jobs: Sequence[Callable[[], None]], max_workers: int = 4) -> None:
+    """Run independent Spark actions from a small thread pool; the first
+    failure is re-raised after all jobs have finished."""
+    with ThreadPoolExecutor(max_workers=max_workers) as pool:
+        futures = [pool.submit(job) for job in jobs]
+    for f in futures:
+        f.result()
+
+
 def new_warehouse_root(spark: SparkSession) -> str:
     return shared_scratch_dir(spark, "warehouse")

@@ -55,8 +55,14 @@ def build_session(
     return spark
 
 
+_APPLIED: set[int] = set()
+
+
 def apply_sql_defaults(spark: SparkSession) -> None:
-    """Set the SQL-level defaults on an already running session."""
+    """Set the SQL-level defaults on an already running session (once)."""
+    if id(spark) in _APPLIED:
+        return
+    _APPLIED.add(id(spark))
     for key, value in SESSION_DEFAULTS.items():
         if key.startswith("spark.sql."):
             try:

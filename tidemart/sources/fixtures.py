@@ -23,8 +23,19 @@ from tidemart.functions.dates import time_id_of, to_order_date
 from tidemart.schemas import MONEY
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table.  The footer schema is inferred once per path and then
+    passed to the reader (the file listing itself is always fresh)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def year_bounds(year: int) -> tuple[_dt.datetime, _dt.datetime]:
@@ -55,7 +66,12 @@ def transactions_feed(spark: SparkSession, sf_dir: str, year: int | None = None,
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     orders = orders_source(spark, sf_dir, year, before)
     how = "left" if year is None and before is None else "inner"
-    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey, how)
+    # lines x orders is fact-to-fact: both sides grow with the data, so it
+    # is declared as a shuffled sort-merge join (spills, AQE splits a hot
+    # order) rather than left to a broadcast that only small scales allow.
+    # Shuffling on the order key also spreads the scan's rows over all
+    # tasks before the master lookups and partial aggregations.
+    joined = lines.join(orders.hint("merge"), lines.l_orderkey == orders.o_orderkey, how)
     order_date = to_order_date("o_orderdate")
     return joined.select(
         F.col("l_orderkey").alias("order_id"),
