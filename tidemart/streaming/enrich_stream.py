@@ -55,6 +55,24 @@ def _overwrite_batch(df: DataFrame, path: str, batch_id: int) -> None:
      .partitionBy("batch_id").parquet(path))
 
 
+def commit_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out_root: str,
+                 dimensions: tuple[str, ...] = ()) -> None:
+    """Write one enriched micro-batch: dimension members first (against the
+    members of earlier batches), then the facts; each into ``batch_id=N``,
+    overwritten on replay."""
+    out_root = out_root.rstrip("/")
+    batch.persist()
+    try:
+        for name in dimensions:
+            key, attrs = DIMENSIONS[name]
+            path = f"{out_root}/{name}"
+            members = dimension_members(batch, key, attrs, _existing_before(spark, path, batch_id), FACT_KEY)
+            _overwrite_batch(members, path, batch_id)
+        _overwrite_batch(batch.select(*FACT_COLUMNS), f"{out_root}/sales", batch_id)
+    finally:
+        batch.unpersist()
+
+
 def start_enrichment(spark: SparkSession, stream: DataFrame, customers: DataFrame,
                      products: DataFrame, suppliers: DataFrame | None, out_root: str,
                      checkpoint: str, dimensions: tuple[str, ...] = (),
@@ -65,16 +83,7 @@ def start_enrichment(spark: SparkSession, stream: DataFrame, customers: DataFram
     enriched = enrich(stream, customers, products, suppliers)
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for name in dimensions:
-                key, attrs = DIMENSIONS[name]
-                path = f"{out_root}/{name}"
-                members = dimension_members(batch, key, attrs, _existing_before(spark, path, batch_id), FACT_KEY)
-                _overwrite_batch(members, path, batch_id)
-            _overwrite_batch(batch.select(*FACT_COLUMNS), f"{out_root}/sales", batch_id)
-        finally:
-            batch.unpersist()
+        commit_batch(spark, batch, batch_id, out_root, dimensions)
 
     writer = enriched.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
     if processing_time:
