@@ -4,10 +4,12 @@ Spark's planner broadcasts a join side when its *estimated* size is under
 ``spark.sql.autoBroadcastJoinThreshold``.  For a master that is itself a
 join (supplier + nation + region) the estimate multiplies the inputs and
 the table is shuffled although it is tiny.  :func:`broadcast_if_small`
-measures instead: it counts at most ``max_rows + 1`` rows (a limit job that
-stops early) and only then marks the table for broadcast.  Beyond the bound
-the table is returned unchanged, so the join stays a shuffled sort-merge
-join (with AQE skew splitting) and nothing unbounded is ever broadcast.
+measures instead: it counts the master's rows (one scan of the master with
+per-task partial counts - no rows move) and only then marks the table for
+broadcast.  Beyond the bound the table is returned unchanged, so the join
+stays a shuffled sort-merge join (with AQE skew splitting) and nothing
+unbounded is ever broadcast.  The answer is remembered per plan and input
+file set, so a report suite checks each master once.
 """
 
 from __future__ import annotations
@@ -15,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# ~1M narrow master rows is tens of MB per executor: safe to broadcast
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 _CONF_KEY = "tidemart.broadcast.maxRows"
 
 
@@ -38,7 +41,7 @@ def _fits(df: DataFrame, bound: int) -> bool:
         key = None
     if key is not None and key in _CHECKED:
         return _CHECKED[key]
-    fits = df.limit(bound + 1).count() <= bound
+    fits = df.count() <= bound
     if key is not None:
         _CHECKED[key] = fits
     return fits
