@@ -69,7 +69,7 @@ def load_warehouse(spark: SparkSession, root: str, feed: DataFrame, customers: D
     # rejects and the five dimensions are independent tables: submit their
     # jobs together (Spark runs concurrent jobs of one session side by side)
     jobs = [rejects_job, time_job] + [dimension_job(n, k, a) for n, (k, a) in DIMENSIONS.items()]
-    run_concurrently(jobs)
+    run_concurrently(jobs, max_workers=len(jobs))
 
     # facts last, once every dimension member they reference is stored
     append_facts(spark, matched, f"{root}/sales", fact_key)

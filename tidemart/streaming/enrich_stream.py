@@ -61,7 +61,9 @@ def commit_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out_root:
     members of earlier batches), then the facts; each into ``batch_id=N``,
     overwritten on replay."""
     out_root = out_root.rstrip("/")
-    batch.persist()
+    reused = bool(dimensions)   # the batch feeds several writes only with dimensions
+    if reused:
+        batch.persist()
     try:
         for name in dimensions:
             key, attrs = DIMENSIONS[name]
@@ -70,7 +72,8 @@ def commit_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out_root:
             _overwrite_batch(members, path, batch_id)
         _overwrite_batch(batch.select(*FACT_COLUMNS), f"{out_root}/sales", batch_id)
     finally:
-        batch.unpersist()
+        if reused:
+            batch.unpersist()
 
 
 def start_enrichment(spark: SparkSession, stream: DataFrame, customers: DataFrame,
