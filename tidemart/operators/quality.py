@@ -21,6 +21,17 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
+def latest_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """One row per key: the row that is last in ``order_by`` (arrival order)
+    wins, as when a later record of the same key overwrites an earlier one.
+
+    ``max_by`` over a struct of the whole row is a partial aggregate, so a
+    key repeated millions of times costs one partial row per task."""
+    cols = [c for c in df.columns if c not in key]
+    last = F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in order_by]))
+    return df.groupBy(*key).agg(last.alias("_last")).select(*key, *[F.col(f"_last.{c}").alias(c) for c in cols])
+
+
 def orphan_keys(df: DataFrame, fk: str, parent: DataFrame, parent_key: str | None = None,
                 label: str | None = None) -> DataFrame:
     """Foreign-key check: non-NULL ``fk`` values absent from ``parent``.

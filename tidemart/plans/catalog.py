@@ -21,6 +21,7 @@ from tidemart.operators.enrich import enrich, enrich_rejects, normalise_feed
 from tidemart.operators.quality import (
     dependency_violations,
     duplicate_keys,
+    latest_per_key,
     null_counts,
     orphan_report,
 )
@@ -31,7 +32,12 @@ from tidemart.plans.star import FeedStar
 from tidemart.schemas import FACT_COLUMNS, FACT_KEY, TRANSACTIONS_CSV
 from tidemart.session import apply_sql_defaults, shared_scratch_dir
 from tidemart.sources.counts import source_counts
-from tidemart.sources.csv_feeds import read_products_csv, read_transactions_csv, write_csv
+from tidemart.sources.csv_feeds import (
+    read_customers_csv,
+    read_products_csv,
+    read_transactions_csv,
+    write_csv,
+)
 from tidemart.sources.fixtures import FixtureSources, table
 from tidemart.streaming.enrich_stream import (
     feed_stream,
@@ -137,6 +143,25 @@ def q_csv_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("product_price", as_double("product_price"))
 
 
+def q_csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer table written in the customer-master CSV layout
+    (customer_id, customer_name, gender; CR LF) and loaded back."""
+    _sources(spark, sf_dir)
+    raw = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"),
+        F.col("c_mktsegment").alias("gender"))
+    path = shared_scratch_dir(spark, "customers-csv")
+    write_csv(raw, path)
+    return read_customers_csv(spark, path)
+
+
+def q_src_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: one feed row per (order_id, line_no), the last one in arrival
+    order (here the remaining fact-key columns) winning."""
+    feed = normalise_feed(_sources(spark, sf_dir).feed())
+    return latest_per_key(feed, ["order_id", "line_no"], ["product_id", "supplier_id", "quantity"])
+
+
 # ------------------------------------------------------------- enrichment
 
 def _money_to_double(df: DataFrame) -> DataFrame:
@@ -257,6 +282,8 @@ def load_queries() -> dict[str, Query]:
         "source_counts": q_source_counts,
         "csv_load": q_csv_load,
         "csv_products": q_csv_products,
+        "csv_customers": q_csv_customers,
+        "src_dedup": q_src_dedup,
         "enrich_sales": q_enrich_sales,
         "enrich_rejects": q_enrich_rejects,
         "dim_customer": _dim_query("dim_customer"),
