@@ -12,6 +12,10 @@ cells (each line is copied s times per side), so no task ever holds the
 whole basket.  Small baskets keep s = 1: a plain self-join.  The pair
 output is the query's definition; it is folded with map-side partial
 aggregation before the final shuffle.
+
+The folded baskets feed three branches (basket widths, both join sides);
+they are written once to the shared checkpoint folder so that the sources
+are scanned and shuffled once, not once per branch.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.session import materialize
+
 
 def basket_items(lines: DataFrame, basket: str, item: str, distinct_per_basket: bool) -> DataFrame:
     folded = lines.where(F.col(item).isNotNull() & F.col(basket).isNotNull()).groupBy(basket, item)
@@ -31,6 +37,8 @@ def pair_frequencies(lines: DataFrame, basket: str = "order_id", item: str = "pr
                      distinct_per_basket: bool = False, cell_items: int = 4096) -> DataFrame:
     """(item_a, item_b, frequency) for every co-occurring pair, item_a < item_b."""
     items = basket_items(lines, basket, item, distinct_per_basket)
+    if not items.isStreaming:
+        items = materialize(items, "basket-items")
     widths = items.groupBy(basket).agg(F.count(F.lit(1)).alias("_width"))
     cells = F.greatest(F.lit(1), F.ceil(F.col("_width") / F.lit(cell_items))).cast("int")
     sized = (

@@ -50,12 +50,26 @@ def orphan_keys(df: DataFrame, fk: str, parent: DataFrame, parent_key: str | Non
 
 
 def orphan_report(df: DataFrame, checks: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
-    """Union of :func:`orphan_keys` over (fk column, parent, parent key)."""
-    parts = [orphan_keys(df, fk, parent, pk) for fk, parent, pk in checks]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """:func:`orphan_keys` for several foreign keys in one pass over ``df``.
+
+    Every row is unpivoted to (foreign_key, key_value) pairs, counted in one
+    aggregation and anti-joined once against the parents' keys tagged with
+    the same foreign-key name - the child (the large side) is read once
+    however many references are checked."""
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(fk).alias("foreign_key"), F.col(fk).cast("long").alias("key_value"))
+        for fk, _, _ in checks]))
+    per_key = (
+        df.select(pairs.alias("_p")).select("_p.*")
+        .where(F.col("key_value").isNotNull())
+        .groupBy("foreign_key", "key_value").agg(F.count(F.lit(1)).alias("n_rows"))
+    )
+    parents = None
+    for fk, parent, pk in checks:
+        keys = parent.select(F.lit(fk).alias("foreign_key"), F.col(pk).cast("long").alias("key_value"))
+        parents = keys if parents is None else parents.unionByName(keys)
+    parents = parents.where(F.col("key_value").isNotNull())
+    return per_key.join(parents, ["foreign_key", "key_value"], "left_anti")
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -109,3 +109,15 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.normpath(path)
+
+
+def materialize(df, label: str = "materialized"):
+    """Cut the lineage of a DataFrame that several branches of one plan read:
+    write it once as a parquet table in a fresh folder below the shared
+    checkpoint folder and read it back (columnar, compressed; never a local
+    checkpoint).  Each branch then reads the stored rows instead of
+    recomputing - and re-shuffling - the sources, and a lost executor does
+    not force a recomputation either."""
+    path = shared_scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
