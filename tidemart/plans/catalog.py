@@ -28,7 +28,7 @@ from tidemart.operators.quality import (
 from tidemart.plans import reports as R
 from tidemart.plans import variants as V
 from tidemart.plans.load import load_warehouse, new_warehouse_root
-from tidemart.plans.star import FeedStar
+from tidemart.plans.star import FeedStar, WarehouseStar
 from tidemart.schemas import FACT_COLUMNS, FACT_KEY, TRANSACTIONS_CSV
 from tidemart.session import apply_sql_defaults, shared_scratch_dir
 from tidemart.sources.counts import source_counts
@@ -276,6 +276,47 @@ def q_stream_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _money_to_double(spark.read.parquet(f"{out_root}/dim_product").select(key, *attrs))
 
 
+# ------------------------------------------------- reports on the warehouse
+
+# one loaded warehouse per (session, scale) and process: a written table in
+# the shared checkpoint folder that the warehouse reports below all read
+_LOADED: dict[tuple[int, str], str] = {}
+
+
+def loaded_warehouse(spark: SparkSession, sf_dir: str) -> WarehouseStar:
+    key = (id(spark), sf_dir)
+    root = _LOADED.get(key)
+    if root is None:
+        src = _sources(spark, sf_dir)
+        root = new_warehouse_root(spark)
+        load_warehouse(spark, root, src.feed(), src.customers(), src.products(), src.suppliers())
+        _LOADED[key] = root
+    return WarehouseStar.read(spark, root)
+
+
+def _warehouse_report(fn, **kw) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(loaded_warehouse(spark, sf_dir), **kw)
+    run.__name__ = f"wh_{fn.__name__}"
+    return run
+
+
+def _wh_q10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.q10_store_quarter_view(spark, loaded_warehouse(spark, sf_dir))
+
+
+def warehouse_queries() -> dict[str, Query]:
+    """Reports over the loaded star schema: fact joined to the time
+    dimension on time_id (as specified), year filters pruning the fact's
+    year partitions."""
+    return {
+        "wh_q1_top_products_daytype": _warehouse_report(R.q1_top_products_daytype),
+        "wh_q5_volatility": _warehouse_report(R.q5_volatility),
+        "wh_q7_rollup": _warehouse_report(R.q7_rollup),
+        "wh_q10_store_quarter_view": _wh_q10,
+    }
+
+
 def load_queries() -> dict[str, Query]:
     return {
         "src_transactions": q_src_transactions,
@@ -307,4 +348,5 @@ def all_queries() -> dict[str, Query]:
     out.update(report_queries())
     out.update(variant_queries())
     out.update(load_queries())
+    out.update(warehouse_queries())
     return out
