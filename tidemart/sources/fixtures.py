@@ -134,6 +134,19 @@ def supplier_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The driver tables are read-only inputs, and DataFrames are immutable plans:
+# each source plan is built once per Spark application and reused by every
+# query (saves the per-query schema lookups and plan analysis round trips).
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def _app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return str(id(spark))
+
+
 class FixtureSources:
     """The three masters and the feed of one ``sf_dir``.
 
@@ -147,14 +160,25 @@ class FixtureSources:
         self.sf_dir = sf_dir
         self.restricted = restricted
 
+    def _plan(self, kind: str, build, *args) -> DataFrame:
+        key = (_app_id(self.spark), self.sf_dir, kind, args)
+        df = _PLANS.get(key)
+        if df is None:
+            df = build()
+            _PLANS[key] = df
+        return df
+
     def feed(self, year: int | None = None, before: _dt.date | None = None) -> DataFrame:
-        return transactions_feed(self.spark, self.sf_dir, year=year, before=before)
+        return self._plan("feed", lambda: transactions_feed(self.spark, self.sf_dir, year=year, before=before),
+                          year, before)
 
     def customers(self) -> DataFrame:
-        return customer_master(self.spark, self.sf_dir, in_good_standing=self.restricted)
+        return self._plan("customers", lambda: customer_master(
+            self.spark, self.sf_dir, in_good_standing=self.restricted), self.restricted)
 
     def products(self) -> DataFrame:
-        return product_master(self.spark, self.sf_dir, active_only=self.restricted)
+        return self._plan("products", lambda: product_master(
+            self.spark, self.sf_dir, active_only=self.restricted), self.restricted)
 
     def suppliers(self) -> DataFrame:
-        return supplier_master(self.spark, self.sf_dir)
+        return self._plan("suppliers", lambda: supplier_master(self.spark, self.sf_dir))
