@@ -19,10 +19,6 @@ from pyspark.sql import functions as F
 from tidemart.schemas import FACT_COLUMNS, FACT_KEY
 
 
-def fact_rows(matched: DataFrame) -> DataFrame:
-    return matched.select(*FACT_COLUMNS)
-
-
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)

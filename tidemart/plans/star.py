@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.dates import day_type, time_attributes
 from tidemart.operators.enrich import enrich
+from tidemart.schemas import DIM_TIME
 
 TIME = "time"
 PRODUCT = "product"
@@ -112,7 +113,7 @@ class WarehouseStar:
                 fact = fact.where(F.col("year") == F.lit(year))  # partition pruning
             fact = fact.drop("year")
         if TIME in dims or year is not None:
-            t = self.time.select("time_id", "order_date", "day", "week", "month", "year", "quarter")
+            t = self.time.select(*DIM_TIME)
             if year is not None:
                 t = t.where(F.col("year") == F.lit(year))
             fact = fact.join(t, "time_id", "inner").withColumn("day_type", day_type("order_date"))

@@ -58,8 +58,5 @@ FACT_COLUMNS = (
 # key passes its own key instead.
 FACT_KEY = ("order_id", "line_no", "product_id", "supplier_id", "quantity")
 
-DIM_CUSTOMER = ("customer_id", "customer_name", "gender")
-DIM_PRODUCT = ("product_id", "product_name", "product_price")
-DIM_STORE = ("store_id", "store_name")
-DIM_SUPPLIER = ("supplier_id", "supplier_name")
+# time dimension columns (the other dimensions: operators.dims.DIMENSIONS)
 DIM_TIME = ("time_id", "order_date", "day", "week", "month", "year", "quarter")

@@ -8,7 +8,6 @@ folder is only created when the session has none configured (local tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -61,6 +60,50 @@ def build_session(
 _APPLIED: set[int] = set()
 
 
+def apply_sql_defaults(spark: SparkSession) -> None:
+    """Set the SQL-level defaults on an already running session (once)."""
+    if id(spark) in _APPLIED:
+        return
+    _APPLIED.add(id(spark))
+    for key, value in SESSION_DEFAULTS.items():
+        if key.startswith("spark.sql."):
+            try:
+                spark.conf.set(key, value)
+            except Exception:  # static confs cannot change at runtime
+                pass
+
+
+def _checkpoint_dir(spark: SparkSession) -> str | None:
+    try:
+        current = spark.sparkContext.getCheckpointDir()
+        if current:
+            return current
+        return spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    except Exception:
+        try:
+            return spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:
+            return None
+
+
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared checkpoint folder; a private one only when none is set."""
+    root = _checkpoint_dir(spark)
+    if root:
+        return root.rstrip("/")
+    local = tempfile.mkdtemp(prefix="tidemart-ckpt-")
+    spark.sparkContext.setCheckpointDir(local)
+    return (spark.sparkContext.getCheckpointDir() or local).rstrip("/")
+
+
+def shared_scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh, never reused folder below the shared checkpoint folder."""
+    return f"{checkpoint_root(spark)}/tidemart/{label}-{uuid.uuid4().hex}"
+
+
+_APPLIED: set[int] = set()
+
+
 def apply_sql_defaults(spark: SparkSession) -> None:
     """Set the SQL-level defaults on an already running session (once)."""
     if id(spark) in _APPLIED:
