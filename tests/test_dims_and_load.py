@@ -88,3 +88,13 @@ def test_warehouse_reports_equal_feed_reports(spark):
     a = sorted(map(tuple, R.q10_store_quarter_view(spark, wh).collect()))
     b = sorted(map(tuple, R.q10_store_quarter_view(spark, fs).collect()))
     assert a == b
+
+
+def test_empty_load_gives_empty_tables_with_schema(spark):
+    root = new_warehouse_root(spark)
+    star = load_warehouse(spark, root, fx.feed(spark, []), fx.customers(spark).limit(0),
+                          fx.products(spark).limit(0))
+    assert star.fact.count() == 0 and "total_sales" in star.fact.columns
+    assert star.time.count() == 0 and "week" in star.time.columns
+    assert star.product.count() == 0
+    assert R.q2_store_quarter_revenue(star).count() == 0

@@ -26,6 +26,15 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Read a table with a known schema; a table that holds no rows yet (an
+    empty load writes no data files) reads as an empty DataFrame."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
 def new_rows(rows: DataFrame, existing: DataFrame | None, key: Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``existing``; NULL key parts compare equal."""
     if existing is None:
@@ -36,6 +45,11 @@ def new_rows(rows: DataFrame, existing: DataFrame | None, key: Sequence[str]) ->
     return rows.join(known, cond, "left_anti")
 
 
+def fact_rows(matched: DataFrame) -> DataFrame:
+    """Fact columns plus the ``year`` storage partition column."""
+    return matched.select(*FACT_COLUMNS, F.year("order_date").alias("year"))
+
+
 def append_facts(spark: SparkSession, matched: DataFrame, path: str,
                  key: Sequence[str] = FACT_KEY) -> None:
     """Append the not-yet-stored fact rows in one distributed write (no
@@ -44,7 +58,7 @@ def append_facts(spark: SparkSession, matched: DataFrame, path: str,
     Files are partitioned by the order year (a storage column, NULL dates
     go to the default partition) so that one-year reports read one year.
     """
-    rows = matched.select(*FACT_COLUMNS, F.year("order_date").alias("year"))
+    rows = fact_rows(matched)
     existing = read_if_exists(spark, path)
     if existing is not None:
         existing = existing.where(touched_years(rows))  # partition pruning

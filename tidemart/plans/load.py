@@ -23,7 +23,14 @@ from pyspark.sql import functions as F
 
 from tidemart.operators.dims import DIMENSIONS, dimension_members, time_members
 from tidemart.operators.enrich import enrich_flagged
-from tidemart.operators.facts import append_facts, append_members, new_rows, read_if_exists
+from tidemart.operators.facts import (
+    append_facts,
+    append_members,
+    fact_rows,
+    new_rows,
+    read_if_exists,
+    read_or_empty,
+)
 from tidemart.plans.star import WarehouseStar
 from tidemart.schemas import FACT_KEY
 from tidemart.session import shared_scratch_dir
@@ -47,6 +54,7 @@ def load_warehouse(spark: SparkSession, root: str, feed: DataFrame, customers: D
     root = root.rstrip("/")
     staged = stage_enriched(spark, feed, customers, products, suppliers)
     matched = staged.where(F.col("matched"))
+    schemas = {"sales": fact_rows(matched).schema}
 
     def rejects_job() -> None:
         path = f"{root}/rejects"
@@ -58,13 +66,16 @@ def load_warehouse(spark: SparkSession, root: str, feed: DataFrame, customers: D
             path = f"{root}/{name}"
             members = dimension_members(matched, key, attrs, read_if_exists(spark, path), fact_key)
             append_members(spark, members, path)
+        attrs_here = [a for a in attrs if a in matched.columns]
+        schemas[name] = matched.select(key, *attrs_here).schema
         return run
 
+    day_source = staged.select("order_date", F.col("source_time_id").alias("time_id"))
+    schemas["dim_time"] = time_members(day_source).schema
+
     def time_job() -> None:
         path = f"{root}/dim_time"
-        days = time_members(staged.select("order_date", F.col("source_time_id").alias("time_id")),
-                            read_if_exists(spark, path))
-        append_members(spark, days, path)
+        append_members(spark, time_members(day_source, read_if_exists(spark, path)), path)
 
     # rejects and the five dimensions are independent tables: submit their
     # jobs together (Spark runs concurrent jobs of one session side by side)
@@ -73,7 +84,12 @@ def load_warehouse(spark: SparkSession, root: str, feed: DataFrame, customers: D
 
     # facts last, once every dimension member they reference is stored
     append_facts(spark, matched, f"{root}/sales", fact_key)
-    return WarehouseStar.read(spark, root)
+    return WarehouseStar(**{
+        attr: read_or_empty(spark, f"{root}/{table}", schemas[table])
+        for attr, table in (("fact", "sales"), ("time", "dim_time"), ("product", "dim_product"),
+                            ("store", "dim_store"), ("supplier", "dim_supplier"),
+                            ("customer", "dim_customer"))
+    })
 
 
 def run_concurrently(jobs: Sequence[Callable[[], None]], max_workers: int = 4) -> None:
