@@ -19,9 +19,12 @@ from pyspark.sql import functions as F
 from tidemart.schemas import FACT_COLUMNS, FACT_KEY
 
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The stored table, or None when it does not exist yet.  With a known
+    schema no parquet footer is read to infer it."""
     try:
-        return spark.read.parquet(path)
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        return reader.parquet(path)
     except AnalysisException:
         return None
 
@@ -59,7 +62,7 @@ def append_facts(spark: SparkSession, matched: DataFrame, path: str,
     go to the default partition) so that one-year reports read one year.
     """
     rows = fact_rows(matched)
-    existing = read_if_exists(spark, path)
+    existing = read_if_exists(spark, path, rows.schema)
     if existing is not None:
         existing = existing.where(touched_years(rows))  # partition pruning
     rows = new_rows(rows, existing, list(key) + ["year"])

@@ -56,18 +56,20 @@ def load_warehouse(spark: SparkSession, root: str, feed: DataFrame, customers: D
     matched = staged.where(F.col("matched"))
     schemas = {"sales": fact_rows(matched).schema}
 
+    rejects = staged.where(~F.col("matched")).select(*REJECT_COLUMNS)
+
     def rejects_job() -> None:
         path = f"{root}/rejects"
-        rejects = staged.where(~F.col("matched")).select(*REJECT_COLUMNS)
-        append_members(spark, new_rows(rejects, read_if_exists(spark, path), fact_key), path)
+        append_members(spark, new_rows(rejects, read_if_exists(spark, path, rejects.schema), fact_key), path)
 
     def dimension_job(name: str, key: str, attrs) -> Callable[[], None]:
-        def run() -> None:
-            path = f"{root}/{name}"
-            members = dimension_members(matched, key, attrs, read_if_exists(spark, path), fact_key)
-            append_members(spark, members, path)
         attrs_here = [a for a in attrs if a in matched.columns]
         schemas[name] = matched.select(key, *attrs_here).schema
+
+        def run() -> None:
+            path = f"{root}/{name}"
+            existing = read_if_exists(spark, path, schemas[name])
+            append_members(spark, dimension_members(matched, key, attrs, existing, fact_key), path)
         return run
 
     day_source = staged.select("order_date", F.col("source_time_id").alias("time_id"))
@@ -75,7 +77,8 @@ def load_warehouse(spark: SparkSession, root: str, feed: DataFrame, customers: D
 
     def time_job() -> None:
         path = f"{root}/dim_time"
-        append_members(spark, time_members(day_source, read_if_exists(spark, path)), path)
+        existing = read_if_exists(spark, path, schemas["dim_time"])
+        append_members(spark, time_members(day_source, existing), path)
 
     # rejects and the five dimensions are independent tables: submit their
     # jobs together (Spark runs concurrent jobs of one session side by side)

@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemart.operators.dims import DIMENSIONS, dimension_members
@@ -42,9 +43,11 @@ def feed_stream(spark: SparkSession, landing: str, schema, files_per_batch: int
     )
 
 
-def _existing_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+def _existing_before(spark: SparkSession, path: str, batch_id: int, schema) -> DataFrame | None:
+    """Members written by earlier batches (partition pruning on batch_id)."""
     try:
-        return spark.read.parquet(path).where(F.col("batch_id") < F.lit(batch_id)).drop("batch_id")
+        full = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.IntegerType())])
+        return spark.read.schema(full).parquet(path).where(F.col("batch_id") < F.lit(batch_id)).drop("batch_id")
     except AnalysisException:
         return None
 
@@ -68,7 +71,9 @@ def commit_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out_root:
         for name in dimensions:
             key, attrs = DIMENSIONS[name]
             path = f"{out_root}/{name}"
-            members = dimension_members(batch, key, attrs, _existing_before(spark, path, batch_id), FACT_KEY)
+            present = [a for a in attrs if a in batch.columns]
+            schema = batch.select(key, *present).schema
+            members = dimension_members(batch, key, attrs, _existing_before(spark, path, batch_id, schema), FACT_KEY)
             _overwrite_batch(members, path, batch_id)
         _overwrite_batch(batch.select(*FACT_COLUMNS), f"{out_root}/sales", batch_id)
     finally:
