@@ -5,6 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# --- Fixed values: must equal the report specification --------------------
+# Weekend = Sunday and Saturday (Spark dayofweek numbers Sunday 1 .. Saturday 7)
+WEEKEND_DAYS = (1, 7)
+WEEKEND, WEEKDAY = "Weekend", "Weekday"
+# Seasons by calendar month; every other month (and NULL) is Winter
+SEASONS = (("Spring", (3, 4, 5)), ("Summer", (6, 7, 8)), ("Fall", (9, 10, 11)))
+DEFAULT_SEASON = "Winter"
+# Week numbering: Monday is the first day; week 1 is the first week with at
+# least 4 days in the year; weeks run 0..53
+WEEK_FIRST_FULL_DAYS = 4
+# ---------------------------------------------------------------------------
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -30,7 +42,9 @@ def week_monday_first(date_col) -> Column:
     # weekday of 1 January, Monday = 0 .. Sunday = 6
     jan1 = (F.dayofweek(F.trunc(d, "year")) + 5) % 7
     weeks_since_jan1_week = F.floor((F.dayofyear(d) - 1 + jan1) / 7)
-    return (weeks_since_jan1_week + F.when(jan1 <= 3, 1).otherwise(0)).cast("int")
+    # the week holding 1 January is week 1 when it has >= 4 days of the year
+    first_is_week1 = F.when(7 - jan1 >= WEEK_FIRST_FULL_DAYS, 1).otherwise(0)
+    return (weeks_since_jan1_week + first_is_week1).cast("int")
 
 
 def quarter_of(date_col) -> Column:
@@ -40,20 +54,18 @@ def quarter_of(date_col) -> Column:
 def day_type(date_col) -> Column:
     """'Weekend' for Sunday and Saturday, else 'Weekday' (NULL -> Weekday)."""
     return (
-        F.when(F.dayofweek(_c(date_col)).isin(1, 7), F.lit("Weekend"))
-        .otherwise(F.lit("Weekday"))
+        F.when(F.dayofweek(_c(date_col)).isin(*WEEKEND_DAYS), F.lit(WEEKEND))
+        .otherwise(F.lit(WEEKDAY))
     )
 
 
 def season_of_month(month_col) -> Column:
     """Meteorological season; anything else, NULL included, is Winter."""
     m = _c(month_col)
-    return (
-        F.when(m.isin(3, 4, 5), F.lit("Spring"))
-        .when(m.isin(6, 7, 8), F.lit("Summer"))
-        .when(m.isin(9, 10, 11), F.lit("Fall"))
-        .otherwise(F.lit("Winter"))
-    )
+    expr = None
+    for name, months in SEASONS:
+        expr = (F.when if expr is None else expr.when)(m.isin(*months), F.lit(name))
+    return expr.otherwise(F.lit(DEFAULT_SEASON))
 
 
 def half_of_year(month_col) -> Column:

@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 
 from tidemart.schemas import MONEY
 
+# --- Fixed values: must equal the report specification --------------------
+OUTLIER_YES, OUTLIER_NO = "Yes", "No"
+OUTLIER_FACTOR = 2          # a sale is an outlier above 2 x the mean
+# ---------------------------------------------------------------------------
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -57,3 +62,12 @@ def ratio(numerator, denominator) -> Column:
     """DOUBLE numerator / denominator (an exact mean from sum and count)."""
     den = as_double(denominator)
     return F.when(den == 0, F.lit(None).cast("double")).otherwise(as_double(numerator) / den)
+
+
+def above_factor_of_mean(value, total, count) -> Column:
+    """'Yes' when value > OUTLIER_FACTOR x (total / count), decided exactly as
+    value * count > OUTLIER_FACTOR * total (no rounded mean), else 'No'."""
+    return (
+        F.when(_c(value) * _c(count) > _c(total) * OUTLIER_FACTOR, F.lit(OUTLIER_YES))
+        .otherwise(F.lit(OUTLIER_NO))
+    )

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions.dates import season_of_month
-from tidemart.functions.measures import as_double, percent_change, ratio
+from tidemart.functions.measures import above_factor_of_mean, as_double, percent_change, ratio
 from tidemart.operators.affinity import top_pairs
 from tidemart.plans.star import PRODUCT, STORE, SUPPLIER, TIME
 
@@ -123,7 +123,7 @@ def q9_outliers(star) -> DataFrame:
         "product_id",
         as_double("_max").alias("daily_sales"),
         ratio("_sum", "_n").alias("avg_daily_sales"),
-        F.when(F.col("_max") * F.col("_n") > F.col("_sum") * 2, F.lit("Yes")).otherwise(F.lit("No")).alias("outliers"),
+        above_factor_of_mean("_max", "_sum", "_n").alias("outliers"),
     ).orderBy("product_id")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions.dates import month_index, season_of_month
-from tidemart.functions.measures import as_double, percent_change, ratio
+from tidemart.functions.measures import above_factor_of_mean, as_double, percent_change, ratio
 from tidemart.operators.affinity import top_pairs
 from tidemart.plans.reports import DEFAULT_YEAR, TOP_K, _monthly_store_supplier
 from tidemart.plans.star import PRODUCT, STORE, SUPPLIER, TIME
@@ -88,7 +88,7 @@ def v9_daily_spikes(star) -> DataFrame:
         "product_id", "order_date",
         as_double("_day").alias("daily_sales"),
         ratio("_tot", "_n").alias("avg_daily_sales"),
-        F.when(F.col("_day") * F.col("_n") > F.col("_tot") * 2, F.lit("Yes")).otherwise(F.lit("No")).alias("outlier"),
+        above_factor_of_mean("_day", "_tot", "_n").alias("outlier"),
     )
 
 
