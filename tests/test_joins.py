@@ -1,0 +1,28 @@
+from pyspark.sql import functions as F
+
+from tidemart.operators.joins import broadcast_if_small, measured_size
+
+
+def _is_broadcast(df, other):
+    j = other.join(df, "k")
+    j.collect()
+    return "BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString()
+
+
+def test_measured_size_counts_rows_and_strings(spark):
+    df = spark.createDataFrame([(1, "abcd"), (2, None), (3, "xy")], "k long, s string")
+    rows, size = measured_size(df)
+    assert rows == 3
+    assert size == 3 * (8 + 16) + 6
+
+
+def test_bounds_decide_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # no automatic broadcast
+    try:
+        small = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+        big = spark.range(5000).select(F.col("id").alias("k"))
+        assert _is_broadcast(broadcast_if_small(small, max_rows=1000, max_bytes=1 << 20), big)
+        assert not _is_broadcast(broadcast_if_small(small, max_rows=10, max_bytes=1 << 20), big)
+        assert not _is_broadcast(broadcast_if_small(small, max_rows=1000, max_bytes=100), big)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))

@@ -4,54 +4,115 @@ Spark's planner broadcasts a join side when its *estimated* size is under
 ``spark.sql.autoBroadcastJoinThreshold``.  For a master that is itself a
 join (supplier + nation + region) the estimate multiplies the inputs and
 the table is shuffled although it is tiny.  :func:`broadcast_if_small`
-measures instead: it counts the master's rows (one scan of the master with
-per-task partial counts - no rows move) and only then marks the table for
-broadcast.  Beyond the bound the table is returned unchanged, so the join
-stays a shuffled sort-merge join (with AQE skew splitting) and nothing
-unbounded is ever broadcast.  The answer is remembered per plan and input
-file set, so a report suite checks each master once.
+measures instead: one aggregate job over the master (per-task partial
+results, no rows move) returns its row count and the total length of its
+string columns; fixed-width columns are sized from the schema.  Only a
+master under both the byte bound (the session's broadcast threshold) and
+the row bound (``tidemart.broadcast.maxRows``) is marked for broadcast.
+Beyond them the table is returned unchanged, so the join stays a shuffled
+sort-merge join (with AQE skew splitting) and nothing unbounded is ever
+broadcast.  The measured size covers every column of the master, while
+Catalyst broadcasts only the columns a query uses: the check errs on the
+safe side.  The answer is remembered per plan and input file set, so a
+report suite measures each master once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# ~1M narrow master rows is tens of MB per executor: safe to broadcast
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-_CONF_KEY = "tidemart.broadcast.maxRows"
+DEFAULT_MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+_ROWS_KEY = "tidemart.broadcast.maxRows"
+_BYTES_KEY = "spark.sql.autoBroadcastJoinThreshold"
 
+_FIXED_WIDTH = (
+    (T.BooleanType, 1), (T.ByteType, 1), (T.ShortType, 2), (T.IntegerType, 4), (T.DateType, 4),
+    (T.FloatType, 4), (T.LongType, 8), (T.DoubleType, 8), (T.TimestampType, 8),
+    (T.TimestampNTZType, 8),
+)
+_ROW_OVERHEAD = 16  # hashed-relation bookkeeping per row, roughly
 
-def max_broadcast_rows(df: DataFrame) -> int:
+
+def _conf(df: DataFrame, key: str) -> str | None:
     try:
-        value = df.sparkSession.conf.get(_CONF_KEY, None)
+        return df.sparkSession.conf.get(key, None)
     except Exception:  # noqa: BLE001
-        value = None
+        return None
+
+
+def _parse_bytes(text: str | None) -> int | None:
+    if text is None:
+        return None
+    t = text.strip().lower()
+    units = (("gb", 1024 ** 3), ("mb", 1024 ** 2), ("kb", 1024), ("g", 1024 ** 3),
+             ("m", 1024 ** 2), ("k", 1024), ("b", 1))
+    for suffix, factor in units:
+        number = t[: -len(suffix)].strip()
+        if t.endswith(suffix) and number.lstrip("-").isdigit():
+            return int(number) * factor
+    return int(t) if t.lstrip("-").isdigit() else None
+
+
+def max_broadcast_rows(df: DataFrame) -> int:
+    value = _conf(df, _ROWS_KEY)
     return int(value) if value else DEFAULT_MAX_BROADCAST_ROWS
 
 
-# (plan hash, input files, bound) -> fits; a changed file set re-checks
+def max_broadcast_bytes(df: DataFrame) -> int:
+    value = _parse_bytes(_conf(df, _BYTES_KEY))
+    return DEFAULT_MAX_BROADCAST_BYTES if value is None else value
+
+
+def _width(dtype: T.DataType) -> int:
+    for cls, width in _FIXED_WIDTH:
+        if isinstance(dtype, cls):
+            return width
+    if isinstance(dtype, T.DecimalType):
+        return 8 if dtype.precision <= 18 else 16
+    return 16
+
+
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, approximate bytes) of ``df`` from one aggregate pass."""
+    fields = df.schema.fields
+    strings = [f.name for f in fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    fixed = sum(_width(f.dataType) for f in fields if f.name not in strings)
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    aggs += [F.sum(F.length(F.col(c))).alias(f"_s{i}") for i, c in enumerate(strings)]
+    row = df.agg(*aggs).first()
+    n = int(row["_n"])
+    string_bytes = sum(int(row[f"_s{i}"] or 0) for i in range(len(strings)))
+    return n, n * (fixed + _ROW_OVERHEAD) + string_bytes
+
+
+# (plan hash, input files, bounds) -> fits; a changed file set re-checks
 _CHECKED: dict[tuple, bool] = {}
 
 
-def _fits(df: DataFrame, bound: int) -> bool:
+def _fits(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
     try:
-        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), bound)
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows, max_bytes)
     except Exception:  # noqa: BLE001
         key = None
     if key is not None and key in _CHECKED:
         return _CHECKED[key]
-    fits = df.count() <= bound
+    rows, size = measured_size(df)
+    fits = rows <= max_rows and size <= max_bytes
     if key is not None:
         _CHECKED[key] = fits
     return fits
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
+                       max_bytes: int | None = None) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` is measured under both bounds, else ``df``."""
     if df.isStreaming:
         return df
-    bound = max_rows if max_rows is not None else max_broadcast_rows(df)
-    if bound <= 0:
+    rows = max_rows if max_rows is not None else max_broadcast_rows(df)
+    size = max_bytes if max_bytes is not None else max_broadcast_bytes(df)
+    if rows <= 0 or size <= 0:
         return df
-    return F.broadcast(df) if _fits(df, bound) else df
+    return F.broadcast(df) if _fits(df, rows, size) else df
