@@ -27,3 +27,11 @@ def test_planted_faults_are_found(spark):
 def test_supplier_name_conflicts(spark):
     conflicts = [tuple(r) for r in dependency_violations(fx.products(spark), "supplier_id", "supplier_name").collect()]
     assert conflicts == [(7, 2)]
+
+
+def test_key_report_over_tables(spark):
+    from tidemart.operators.quality import key_report
+    a = spark.createDataFrame([(1,), (2,), (2,), (None,), (None,)], "id long")
+    b = spark.createDataFrame([(5,), (6,)], "k long")
+    got = [tuple(r) for r in key_report({"a": (a, "id"), "b": (b, "k")}).collect()]
+    assert got == [("a", 2, 2)]

@@ -21,6 +21,19 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
+def key_report(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Primary-key check over several tables at once: (table_name,
+    key_value, n_rows) for every key value held by more than one row.
+    NULL keys are the NOT NULL check's business (:func:`null_counts`)."""
+    out = None
+    for name, (df, key) in tables.items():
+        keys = df.select(F.col(key).cast("long").alias("key_value")).where(F.col("key_value").isNotNull())
+        part = duplicate_keys(keys, ["key_value"])
+        part = part.select(F.lit(name).alias("table_name"), "key_value", "n_rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def latest_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the row that is last in ``order_by`` (arrival order)
     wins, as when a later record of the same key overwrites an earlier one.

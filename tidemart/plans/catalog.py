@@ -20,6 +20,7 @@ from tidemart.operators.enrich import enrich, enrich_rejects, normalise_feed
 from tidemart.operators.quality import (
     dependency_violations,
     duplicate_keys,
+    key_report,
     latest_per_key,
     null_counts,
     orphan_report,
@@ -217,6 +218,16 @@ def q_dq_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_keys(normalise_feed(_sources(spark, sf_dir).feed()), ["order_id", "line_no"])
 
 
+def q_dq_pk_masters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 on the masters: duplicate customer, product and supplier ids."""
+    src = _sources(spark, sf_dir)
+    return key_report({
+        "customers": (src.customers(), "customer_id"),
+        "products": (src.products(), "product_id"),
+        "suppliers": (src.suppliers(), "supplier_id"),
+    })
+
+
 def q_dq_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed keys without a master row (reduced catalogues)."""
     src = _sources(spark, sf_dir, restricted=True)
@@ -304,6 +315,14 @@ def _wh_q10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.q10_store_quarter_view(spark, loaded_warehouse(spark, sf_dir))
 
 
+def _wh_q10_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3's materialized form: the quarterly view written as a table next to
+    the loaded warehouse, read back in view order."""
+    path = shared_scratch_dir(spark, "region-store-quarterly")
+    R.refresh_region_store_table(loaded_warehouse(spark, sf_dir), path)
+    return spark.read.parquet(path).orderBy("store_name", "year", "quarter")
+
+
 def warehouse_queries() -> dict[str, Query]:
     """Reports over the loaded star schema: fact joined to the time
     dimension on time_id (as specified), year filters pruning the fact's
@@ -312,7 +331,9 @@ def warehouse_queries() -> dict[str, Query]:
         "wh_q1_top_products_daytype": _warehouse_report(R.q1_top_products_daytype),
         "wh_q5_volatility": _warehouse_report(R.q5_volatility),
         "wh_q7_rollup": _warehouse_report(R.q7_rollup),
+        "wh_q3_store_supplier_product": _warehouse_report(R.q3_store_supplier_product),
         "wh_q10_store_quarter_view": _wh_q10,
+        "wh_q10_materialized": _wh_q10_materialized,
     }
 
 
@@ -333,6 +354,7 @@ def load_queries() -> dict[str, Query]:
         "dim_time": q_dim_time,
         "load_sales": q_load_sales,
         "dq_pk": q_dq_pk,
+        "dq_pk_masters": q_dq_pk_masters,
         "dq_fk": q_dq_fk,
         "dq_not_null": q_dq_not_null,
         "dq_time_fanout": q_dq_time_fanout,

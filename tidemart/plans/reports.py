@@ -143,6 +143,13 @@ def register_region_store_view(spark: SparkSession, star, name: str = REGION_STO
     return name
 
 
+def refresh_region_store_table(star, path: str) -> None:
+    """The materialized form of the quarterly view: rewritten in full after
+    each load (a stale copy is never read because every refresh replaces
+    the whole table in one committed write)."""
+    region_store_quarterly(star).write.mode("overwrite").parquet(path)
+
+
 def q10_store_quarter_view(spark: SparkSession, star) -> DataFrame:
     name = register_region_store_view(spark, star)
     return spark.table(name).orderBy("store_name", "year", "quarter")
