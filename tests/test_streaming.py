@@ -54,3 +54,20 @@ def test_replayed_batch_overwrites_its_partition(spark):
     assert spark.read.parquet(f"{out}/dim_supplier").count() == d
     commit_batch(spark, rows, 1, out, ("dim_supplier",))   # same rows, later batch
     assert spark.read.parquet(f"{out}/dim_supplier").count() == d   # members not repeated
+
+
+def test_fixed_size_segments(spark):
+    from pyspark.sql import functions as F
+    from tests import fixtures as fx
+    day = fx.d(1998, 1, 1)
+    rows = [(i, 1, day, 10, None, 1, 1, 19980101) for i in range(1, 11)]
+    feed = fx.feed(spark, rows)
+    landing = shared_scratch_dir(spark, "test-segments")
+    stage_feed_files(feed, landing, n_files=1, rows_per_segment=4)
+    out = shared_scratch_dir(spark, "test-segments-out")
+    q = start_enrichment(spark, feed_stream(spark, landing, feed.schema, files_per_batch=1),
+                         fx.customers(spark), fx.products(spark), None, out, f"{out}/_checkpoint")
+    run_to_completion(q, 300)
+    sizes = sorted(r["count"] for r in spark.read.parquet(f"{out}/sales").groupBy("batch_id").count().collect())
+    assert sizes == [2, 4, 4]
+    assert F

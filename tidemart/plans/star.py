@@ -9,6 +9,9 @@ same columns, so every report is written once.
   the reports are specified; the time dimension is tiny and calendar-bound,
   so the size-checked broadcast applies), year filters go to the time
   dimension and, through the fact's ``year`` partition column, prune files.
+  The pruning assumes a fact's time id and its order date fall in the same
+  year - true for per-day time ids; ``dq_time_fanout`` lists the ids for
+  which it could fail.
 * :class:`FeedStar` - the star computed straight from the sources: the
   enrichment join already carries product/supplier/store attributes, and
   time attributes are pure functions of the order date, so no dimension is

@@ -1,7 +1,9 @@
 """Streaming enrichment: feed files -> micro-batches -> star tables.
 
 * ST1 segmentation: the file source cuts the feed into micro-batches of
-  ``files_per_batch`` files (``maxFilesPerTrigger``) - the batch size knob.
+  ``files_per_batch`` files (``maxFilesPerTrigger``) - the batch size knob;
+  landing files of at most N rows (``maxRecordsPerFile``) gives fixed-size
+  segments of N rows.
 * ST2 enrichment: a stream-static inner join against the master tables,
   declared on the streaming DataFrame itself (no state is kept).
 * ST3 commit: ``foreachBatch`` overwrites the partition ``batch_id=N`` of
@@ -29,10 +31,18 @@ from tidemart.operators.enrich import enrich
 from tidemart.schemas import FACT_COLUMNS, FACT_KEY
 
 
-def stage_feed_files(feed: DataFrame, landing: str, n_files: int) -> None:
-    """Land a batch feed as ``n_files`` parquet files, cut by order-id range
-    (each file is a contiguous run of orders, like arriving segments)."""
-    feed.repartitionByRange(n_files, "order_id", "line_no").write.mode("overwrite").parquet(landing)
+def stage_feed_files(feed: DataFrame, landing: str, n_files: int,
+                     rows_per_segment: int | None = None) -> None:
+    """Land a batch feed as parquet files cut by order-id range (each file
+    is a contiguous run of orders, like arriving segments).
+
+    ``rows_per_segment`` caps every file at that many rows, so a stream
+    reading one file per trigger sees fixed-size segments of at most that
+    many rows (the last one shorter)."""
+    writer = feed.repartitionByRange(n_files, "order_id", "line_no").write.mode("overwrite")
+    if rows_per_segment:
+        writer = writer.option("maxRecordsPerFile", rows_per_segment)
+    writer.parquet(landing)
 
 
 def feed_stream(spark: SparkSession, landing: str, schema, files_per_batch: int = 1) -> DataFrame:
