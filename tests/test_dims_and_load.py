@@ -98,3 +98,14 @@ def test_empty_load_gives_empty_tables_with_schema(spark):
     assert star.time.count() == 0 and "week" in star.time.columns
     assert star.product.count() == 0
     assert R.q2_store_quarter_revenue(star).count() == 0
+
+
+def test_absent_members_small_batch_path_matches_plain(spark):
+    from tidemart.operators.dims import absent_members
+    members = spark.createDataFrame([(k, f"n{k}") for k in (1, 2, 3, 9)], "k long, v string")
+    stored = spark.range(0, 5000).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    plain = sorted(r.k for r in absent_members(members, stored, "k").collect())
+    small = absent_members(members, stored, "k", small_batch=True)
+    assert sorted(r.k for r in small.collect()) == plain == []
+    stored2 = spark.range(2, 4).select(F.col("id").alias("k"))
+    assert sorted(r.k for r in absent_members(members, stored2, "k", small_batch=True).collect()) == [1, 9]

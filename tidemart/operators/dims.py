@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.dates import time_attributes
+from tidemart.operators.joins import broadcast_if_small
 from tidemart.schemas import FACT_KEY
 
 
@@ -34,20 +35,38 @@ def first_wins(rows: DataFrame, key: str, attrs: Sequence[str],
     )
 
 
-def absent_members(members: DataFrame, existing: DataFrame | None, key: str) -> DataFrame:
-    """Members whose key is not in the existing dimension yet."""
+def absent_members(members: DataFrame, existing: DataFrame | None, key: str,
+                   small_batch: bool = False) -> DataFrame:
+    """Members whose key is not in the existing dimension yet.
+
+    A left-anti join can only broadcast its right side - here the stored
+    dimension, which grows without bound - so a plain anti-join shuffles the
+    whole dimension.  For a micro-batch (``small_batch``; its rows are
+    persisted, so measuring them is cheap) the candidate keys are measured
+    and, when small, broadcast instead: the stored dimension is only scanned
+    and semi-filtered to the colliding keys, and the anti-join then runs
+    between two small sets.  A batch load, whose candidates can be as many
+    as the dimension itself, keeps the plain shuffled anti-join."""
     if existing is None:
         return members
     known = existing.select(key).where(F.col(key).isNotNull())
-    return members.join(known, key, "left_anti")
+    if not small_batch:
+        return members.join(known, key, "left_anti")
+    candidates = members.select(key).where(F.col(key).isNotNull()).distinct()
+    small = broadcast_if_small(candidates)
+    if small is candidates:
+        return members.join(known, key, "left_anti")
+    collisions = known.join(small, key, "left_semi")
+    return members.join(collisions, key, "left_anti")
 
 
 def dimension_members(matched: DataFrame, key: str, attrs: Sequence[str],
                       existing: DataFrame | None = None,
-                      order_by: Sequence[str] = FACT_KEY) -> DataFrame:
+                      order_by: Sequence[str] = FACT_KEY,
+                      small_batch: bool = False) -> DataFrame:
     """New members of one dimension from enriched (matched) rows only."""
     attrs = [a for a in attrs if a in matched.columns]
-    return absent_members(first_wins(matched, key, attrs, order_by), existing, key)
+    return absent_members(first_wins(matched, key, attrs, order_by), existing, key, small_batch)
 
 
 def time_members(feed: DataFrame, existing: DataFrame | None = None) -> DataFrame:

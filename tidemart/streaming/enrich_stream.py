@@ -83,7 +83,8 @@ def commit_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out_root:
             path = f"{out_root}/{name}"
             present = [a for a in attrs if a in batch.columns]
             schema = batch.select(key, *present).schema
-            members = dimension_members(batch, key, attrs, _existing_before(spark, path, batch_id, schema), FACT_KEY)
+            members = dimension_members(batch, key, attrs, _existing_before(spark, path, batch_id, schema),
+                                        FACT_KEY, small_batch=True)
             _overwrite_batch(members, path, batch_id)
         _overwrite_batch(batch.select(*FACT_COLUMNS), f"{out_root}/sales", batch_id)
     finally:
