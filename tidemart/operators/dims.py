@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.dates import time_attributes
-from tidemart.operators.joins import broadcast_if_small
 from tidemart.schemas import FACT_KEY
 
 
@@ -41,22 +40,20 @@ def absent_members(members: DataFrame, existing: DataFrame | None, key: str,
 
     A left-anti join can only broadcast its right side - here the stored
     dimension, which grows without bound - so a plain anti-join shuffles the
-    whole dimension.  For a micro-batch (``small_batch``; its rows are
-    persisted, so measuring them is cheap) the candidate keys are measured
-    and, when small, broadcast instead: the stored dimension is only scanned
-    and semi-filtered to the colliding keys, and the anti-join then runs
-    between two small sets.  A batch load, whose candidates can be as many
-    as the dimension itself, keeps the plain shuffled anti-join."""
+    whole dimension.  ``small_batch`` is the caller's proof that the
+    candidates are few (a micro-batch counted under the broadcast row cap:
+    it cannot hold more keys than rows): the candidate keys are broadcast
+    instead, the stored dimension is only scanned and semi-filtered to the
+    colliding keys, and the anti-join runs between two small sets.  A batch
+    load, whose candidates can be as many as the dimension itself, keeps
+    the plain shuffled anti-join."""
     if existing is None:
         return members
     known = existing.select(key).where(F.col(key).isNotNull())
     if not small_batch:
         return members.join(known, key, "left_anti")
     candidates = members.select(key).where(F.col(key).isNotNull()).distinct()
-    small = broadcast_if_small(candidates)
-    if small is candidates:
-        return members.join(known, key, "left_anti")
-    collisions = known.join(small, key, "left_semi")
+    collisions = known.join(F.broadcast(candidates), key, "left_semi")
     return members.join(collisions, key, "left_anti")
 
 

@@ -28,6 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemart.operators.dims import DIMENSIONS, dimension_members
 from tidemart.operators.enrich import enrich
+from tidemart.operators.joins import max_broadcast_rows
 from tidemart.schemas import FACT_COLUMNS, FACT_KEY
 
 
@@ -75,8 +76,11 @@ def commit_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out_root:
     overwritten on replay."""
     out_root = out_root.rstrip("/")
     reused = bool(dimensions)   # the batch feeds several writes only with dimensions
+    small = False
     if reused:
         batch.persist()
+        # materializes the cache and proves the bound on new member keys
+        small = batch.count() <= max_broadcast_rows(batch)
     try:
         for name in dimensions:
             key, attrs = DIMENSIONS[name]
@@ -84,7 +88,7 @@ def commit_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out_root:
             present = [a for a in attrs if a in batch.columns]
             schema = batch.select(key, *present).schema
             members = dimension_members(batch, key, attrs, _existing_before(spark, path, batch_id, schema),
-                                        FACT_KEY, small_batch=True)
+                                        FACT_KEY, small_batch=small)
             _overwrite_batch(members, path, batch_id)
         _overwrite_batch(batch.select(*FACT_COLUMNS), f"{out_root}/sales", batch_id)
     finally:
