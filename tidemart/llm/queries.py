@@ -11,7 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import common, substring
+from tidemart.llm import common, decontam, planes, substring, trie_bpe
+
+
+def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return planes.read(planes.write(common.table(spark, sf_dir, "documents"), common.scratch(spark, "token-planes")))
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,11 +23,48 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontam.contamination(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+def op8_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = trie_bpe.encode_decode(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_token_planes": op1_token_planes,
         "op5_substring_dedup": op5_substring_dedup,
+        "op7_decontamination": op7_decontamination,
+        "op8_trie_bpe": op8_trie_bpe,
     }
 
 
+#: Distinct windows of items are joined with all windows of the documents.
+OP7_SQL = r"""
+with letters as (select 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' as up, 'abcdefghijklmnopqrstuvwxyz' as low),
+d as (select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), up, low), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents, letters),
+b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), up, low), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark, letters),
+phrases as (
+  select distinct item_id, least(10, len(w)) as n, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') as p
+  from (select item_id, w, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) as i from b where len(w) > 0)),
+sizes as (select distinct n from phrases),
+runs as (
+  select r, n, i, array_to_string(w[i : i + n - 1], ' ') as p
+  from (select r, w, n, unnest(generate_series(1, len(w) - n + 1)) as i from d, sizes where len(w) >= n)),
+hits as (select r, item_id, runs.n, i from runs join phrases on runs.p = phrases.p and runs.n = phrases.n),
+words as (select r, count(distinct k) as n_hit from (select r, unnest(generate_series(i, i + n - 1)) as k from hits) group by r),
+items as (select r, count(*) as n_items, string_agg(id, ',' order by id) as ids from (select distinct r, cast(item_id as varchar) as id from hits where item_id is not null) group by r)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join words using (r) left join items using (r)
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {}
+    return {"op7_decontamination": OP7_SQL}
