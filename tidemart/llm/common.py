@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DataType, StructField, StructType
 
 from tidemart.session import shared_scratch_dir
 
@@ -95,6 +96,11 @@ def open_input(uri: str) -> pa.NativeFile:
     return fs.open_input_file(path)
 
 
+def extended(df: DataFrame, **fields: str) -> StructType:
+    """The schema of df with more fields, given as name=type."""
+    return StructType([*df.schema.fields, *(StructField(n, DataType.fromDDL(t)) for n, t in fields.items())])
+
+
 def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

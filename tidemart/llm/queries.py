@@ -11,18 +11,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import common, decontam, planes, substring, trie_bpe
+from tidemart.llm import common, decontam, planes, substring, trie_bpe, urlfilter, warc
 
 
 def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.read(planes.write(common.table(spark, sf_dir, "documents"), common.scratch(spark, "token-planes")))
 
 
+def op2_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge_urls(common.table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.remove_repeats(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(warc.write(common.table(spark, sf_dir, "pages"), common.scratch(spark, "warc"))).drop("url", "payload")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.contamination(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
     return out.select(
@@ -39,7 +47,9 @@ def op8_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_planes": op1_token_planes,
+        "op2_url_vocabulary": op2_url_vocabulary,
         "op5_substring_dedup": op5_substring_dedup,
+        "op6_warc_dictionary": op6_warc_dictionary,
         "op7_decontamination": op7_decontamination,
         "op8_trie_bpe": op8_trie_bpe,
     }
@@ -66,5 +76,47 @@ from d left join words using (r) left join items using (r)
 """
 
 
+def op2_sql() -> str:
+    """Rules and terms as tables; a term counts between characters that are no ASCII letter or digit."""
+    rules = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in urlfilter.RULES)
+    terms = ", ".join(f"('{t}', {str(t in urlfilter.STRICT).lower()})" for t in dict.fromkeys(urlfilter.STRICT + urlfilter.SOFT))
+    return rf"""
+with rules(h, p, v) as (values {rules}), terms(t, strict) as (values {terms}),
+u as (
+  select row_number() over () as r, page_id, translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low,
+    case when contains(url, '://') then regexp_extract(substr(url, instr(url, '://') + 3), '^[^?#]*') else '' end as rest
+  from pages),
+parts as (
+  select r, page_id, low, translate(split_part(rest, '/', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    substr(rest, length(split_part(rest, '/', 1)) + 1) as path
+  from u),
+fits as (
+  select r, arg_max(h || p, length(h || p)) as rule, arg_max(v, length(h || p)) as v
+  from parts join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by r),
+hits as (
+  select r, count(*) filter (where strict) as s, count(*) filter (where not strict) as w
+  from parts join terms on regexp_matches(low, '(^|[^a-z0-9])' || t || '([^a-z0-9]|$)') group by r)
+select page_id, host, path, rule, coalesce(v, case when s >= 1 or w >= {urlfilter.SOFT_MIN} then 'block' else 'allow' end) as verdict,
+  cast(coalesce(s, 0) as integer) as n_strict, cast(coalesce(w, 0) as integer) as n_soft
+from parts left join fits using (r) left join hits using (r)
+"""
+
+
+#: Base 32 of SHA-1: 160 bits, five to a letter.
+OP6_SQL = """
+with p as (
+  select page_id, coalesce(html, '') as html,
+    array_to_string([lpad(bin(instr('0123456789abcdef', c) - 1), 4, '0') for c in string_split(sha1(coalesce(html, '')), '')], '') as bits
+  from pages),
+g as (
+  select page_id, html, max(page_id) over w as top, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum([cast(substr(bits, 5 * i + k, 1) as integer) * (1 << (5 - k)) for k in [1, 2, 3, 4, 5]])::integer, 1) for i in range(32)], '') as b32
+  from p window w as (partition by html))
+select page_id, cast(octet_length(encode(html)) as bigint) as payload_bytes, b32 as payload_digest,
+  case when top is null or page_id = top then 'response' else 'revisit' end as record_type,
+  case when page_id is distinct from top then top end as refers_to
+from g
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op7_decontamination": OP7_SQL}
+    return {"op2_url_vocabulary": op2_sql(), "op6_warc_dictionary": OP6_SQL, "op7_decontamination": OP7_SQL}

@@ -203,7 +203,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", k: int = K, seed: in
     keyed = base.withColumn(_TEXT, F.coalesce(F.col(text_col), F.lit(""))).withColumn(_KEY, F.xxhash64(_TEXT))
     cuts = repeated_spans(keyed, k, seed).groupBy("doc_id", "key").agg(F.collect_list(F.struct("lo", "n")).alias(_CUTS))
     joined = keyed.join(cuts.withColumnRenamed("key", _KEY), ["doc_id", _KEY], "left").select(*base.columns, _TEXT, _CUTS)
-    out = base.schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
+    out = common.extended(base, n_words="long", n_removed="long", kept_text="string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

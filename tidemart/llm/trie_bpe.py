@@ -213,7 +213,7 @@ def encode_decode(docs: DataFrame, text_col: str = "text", vocabulary: str | Non
     common.prepare(docs.sparkSession)
     path = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
     base = docs.drop("n_tokens", "ids", "decoded")
-    out = base.schema.add("n_tokens", "long").add("ids", "string").add("decoded", "string")
+    out = common.extended(base, n_tokens="long", ids="string", decoded="string")
     names = [f.name for f in out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
