@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import common, decontam, planes, substring, trie_bpe, urlfilter, warc
+from tidemart.llm import common, decontam, planes, substring, toxicity, trie_bpe, urlfilter, warc
 
 
 def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +44,13 @@ def op8_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_planes": op1_token_planes,
@@ -52,6 +59,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_warc_dictionary": op6_warc_dictionary,
         "op7_decontamination": op7_decontamination,
         "op8_trie_bpe": op8_trie_bpe,
+        "op10_toxicity": op10_toxicity,
     }
 
 
