@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import common, decontam, planes, substring, toxicity, trie_bpe, urlfilter, warc
+from tidemart.llm import common, decontam, orderminhash, planes, substring, toxicity, trie_bpe, urlfilter, warc
 
 
 def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(common.table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orderminhash.near_duplicates(common.table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.remove_repeats(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -55,6 +59,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_planes": op1_token_planes,
         "op2_url_vocabulary": op2_url_vocabulary,
+        "op4_order_minhash": op4_order_minhash,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_warc_dictionary": op6_warc_dictionary,
         "op7_decontamination": op7_decontamination,
