@@ -20,8 +20,9 @@ repeated task writes the same bytes again.  ``read`` streams a file block by
 block; ``read_range`` reads any range of ids through the chunk index.
 
 Texts are encoded by the tokenizers library.  No match of the vocabulary's
-pre-tokenizer crosses an ASCII space, tab or line end, so each distinct word
-between them is encoded once and kept in a cache of bounded size.
+pre-tokenizer crosses an ASCII space, tab or line end, nor the border between
+an ASCII letter and marks that end a word, so each distinct word between them
+is encoded once and kept in a cache of bounded size.
 
 Defined results: null and empty texts have the end id only; documents without
 id come first; rows of equal id are ordered by their text; other columns are
@@ -32,7 +33,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -45,13 +45,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm import common
+from tidemart.llm import common, textops
 
 MAGIC = b"TDPLANE1"
 BLOCK = 1 << 16
 END_ID = 2
 #: Distinct words whose ids a worker keeps.
-CACHE = 400_000
+CACHE = 500_000
 
 
 class WordEncoder:
@@ -66,35 +66,88 @@ class WordEncoder:
         self.lib.no_padding()
         with open(path, encoding="utf-8") as f:
             data = json.load(f)
-        normalizers = json.dumps(data.get("normalizer"))
-        split = json.dumps(data.get("pre_tokenizer"))
+        normalizers, split = json.dumps(data.get("normalizer")), json.dumps(data.get("pre_tokenizer"))
         # Word by word is right only for a pre-tokenizer that drops white space
         # and starts afresh behind it; other vocabularies get whole texts.
         self.by_word = '"Removed"' in split and "[\\\\p{L}]+" in split and "Prepend" not in normalizers
         self.folds = '"Lowercase"' in normalizers
-        self.cache: dict[str, bytes] = {}
-
-    def run(self, texts: list[str]) -> Iterator[bytes]:
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words; a word not met for two generations of the cache is forgotten."""
+        if len(self.young) > CACHE:
+            self.young, self.old = {}, self.young
+        young, old, new = self.young, self.old.get, []
+        for w in words:
+            if w not in young:
+                ids = old(w)
+                if ids is None:
+                    new.append(w)
+                else:
+                    young[w] = ids
+        for i in range(0, len(new), 10_000):
+            part = new[i : i + 10_000]
+            for w, e in zip(part, self.lib.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                young[w] = array("I", e.ids).tobytes()
+        return list(map(young.__getitem__, words))
+
+    def run(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text as unsigned 32-bit integers."""
         if not self.by_word:
-            for e in self.lib.encode_batch_fast(texts, add_special_tokens=False):
+            for e in self.lib.encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False):
                 yield array("I", e.ids).tobytes()
             return
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        # Lower case is the same for single ASCII letters; "<|" may begin a special token.
-        cut = [_SPACE.split(t.lower() if self.folds and t.isascii() and "<|" not in t else t) for t in texts]
-        if new := list(set().union(*cut).difference(self.cache)):
-            for i in range(0, len(new), 10_000):
-                part = new[i : i + 10_000]
-                for w, e in zip(part, self.lib.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    self.cache[w] = array("I", e.ids).tobytes()
-        ids_of = self.cache.__getitem__
-        for own in cut:
-            yield b"".join(map(ids_of, own))
-
-
-_SPACE = re.compile("[ \n\t\r]+")
+        data, offsets = textops.buffers(texts)
+        for i, j in textops.slices(offsets, SLICE):
+            o = offsets[i : j + 1]
+            yield from self._encode(data[o[0] : o[-1]], o - o[0])
+
+    def _encode(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[bytes]:
+        starts, ends, first = textops.scan(data, offsets, _WORD)
+        # Marks behind an ASCII letter or digit are a match of their own: cut them off.
+        cut = ends.copy()
+        while True:
+            more = np.flatnonzero(_MARK[data[np.maximum(cut - 1, 0)]] & (cut - 1 > starts))
+            if not len(more):
+                break
+            cut[more] -= 1
+        cut = np.where((cut < ends) & _PLAIN[data[np.maximum(cut - 1, 0)]], cut, ends)
+        tails = np.flatnonzero(cut < ends)
+        order = np.argsort(np.concatenate([starts, cut[tails]]), kind="stable")
+        at, to = np.concatenate([starts, cut[tails]])[order], np.concatenate([cut, ends[tails]])[order]
+        first = np.searchsorted(at, offsets)
+        h = textops.hashes(data, at, to)
+        if self.folds:  # single ASCII letters fold alike; "<" may begin a special token
+            odd = np.concatenate([[0], np.cumsum(_ODD[data])])
+            low = odd[to] == odd[at]
+            h = np.where(low, textops.hashes(data, at, to, textops.FOLD) ^ np.uint64(1), h)
+        else:
+            low = np.zeros(len(at), bool)
+        _, one, which = np.unique(h, return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        words = [(raw[a:b].lower() if f else raw[a:b]).decode() for a, b, f in zip(at[one].tolist(), to[one].tolist(), low[one].tolist(), strict=True)]
+        known = self._known(words)
+        sizes = np.array([len(x) // 4 for x in known], np.int64)
+        ids, places = np.frombuffer(b"".join(known), "<u4"), np.cumsum(sizes) - sizes
+        n = sizes[which]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        flat = ids[np.arange(upto[-1]) + np.repeat(places[which] - upto[:-1], n)] if len(n) else ids
+        bounds = upto[first]
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            yield flat[a:b].tobytes()
+
+
+SLICE = 4 << 20
+_WORD = np.ones(256, bool)
+_WORD[[0x20, 0x0A, 0x09, 0x0D]] = False
+#: ASCII marks that are no letter, digit, white space, control or apostrophe, and cannot begin "<|".
+_MARK = np.zeros(256, bool)
+_MARK[[ord(c) for c in '!"#$%&()*+,-./:;=>?@[]^_`{}~']] = True
+_PLAIN = np.zeros(256, bool)
+_PLAIN[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_ODD = np.zeros(256, bool)
+_ODD[[0x3C, *range(0x80, 0x100)]] = True
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -211,15 +264,14 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None, mode: str
         number, out = TaskContext.get().partitionId(), None
         for b in batches:
             out = out or Writer(folder, f"ids-{number:06d}.planes", mode, block)
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            for doc, ids in zip(b.column(0).to_pylist(), _encoder(path).run(texts), strict=True):
+            for doc, ids in zip(b.column(0).to_pylist(), _encoder(path).run(b.column(1)), strict=True):
                 out.add(doc, ids + end)
         if out is not None:
             out.close()
             yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([out.file.uri]), pa.array([len(out.docs)]), pa.array([out.ids])], ["file", "uri", "n_docs", "n_ids"])
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    dealt = read.repartitionByRange(common.parts(spark), "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    dealt = read.repartitionByRange(common.parts(spark), "doc_id").sortWithinPartitions("doc_id", "text")
     manifest = common.stored(dealt.mapInArrow(run, "file long, uri string, n_docs long, n_ids long"), "planes-manifest")
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
     return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
