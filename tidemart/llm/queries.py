@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import common, decontam, orderminhash, planes, substring, toxicity, trie_bpe, urlfilter, warc
+from tidemart.llm import common, decontam, htmlblocks, orderminhash, planes, rabitq, substring, toxicity, trie_bpe, urlfilter, warc
 
 
 def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(common.table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op3_rabitq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rabitq.near_duplicates(common.table(spark, sf_dir, "embeddings"))
+
+
 def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orderminhash.near_duplicates(common.table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,10 @@ def op8_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_text_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmlblocks.extract(common.table(spark, sf_dir, "pages"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"))
@@ -59,11 +67,13 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_planes": op1_token_planes,
         "op2_url_vocabulary": op2_url_vocabulary,
+        "op3_rabitq": op3_rabitq,
         "op4_order_minhash": op4_order_minhash,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_warc_dictionary": op6_warc_dictionary,
         "op7_decontamination": op7_decontamination,
         "op8_trie_bpe": op8_trie_bpe,
+        "op9_text_blocks": op9_text_blocks,
         "op10_toxicity": op10_toxicity,
     }
 
