@@ -2,7 +2,13 @@
 
 Every stage is written as Parquet and read again as the next stage's input, so
 a lost executor never costs more than the running stage.  All stages but the
-last return the columns of ``documents``.
+last return the columns of ``documents``; the last one returns the encoding of
+each document that is left.  A stage works on all that its predecessor kept.
+
+A null text passes the filters (it has no words) and is encoded as no ids.  Of
+copies the row with the smallest doc_id stays, and of equal rows of one id one;
+a row without doc_id cannot be named by a decision about copies or phrases and
+stays.
 """
 
 from __future__ import annotations
@@ -12,23 +18,55 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import common, substring
+from tidemart.llm import common, decontam, orderminhash, substring, toxicity, trie_bpe
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that the model, trained on their labels, predicts to be toxic."""
+    model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+
+
+def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each class of near copies: that with the smallest doc_id."""
+    classes = orderminhash.near_duplicates(docs)
+    dropped = classes.where("not kept").select("doc_id").distinct()
+    left = docs.join(dropped, "doc_id", "left_anti").withColumn("__td_key", F.xxhash64("text"))
+    return left.dropDuplicates(["doc_id", "__td_key"]).select(*docs.columns)
+
+
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove the words of repeated 50-word windows; texts that lose none stay as they are."""
-    out = substring.remove_repeats(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    return out.withColumn("text", text).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    out, changed = substring.remove_repeats(docs), F.col("n_removed") > 0
+    text = F.when(changed, F.col("kept_text")).otherwise(F.col("text"))
+    n_chars = F.when(changed, F.char_length("kept_text").cast("long")).otherwise(F.col("n_chars"))
+    return out.withColumns({"text": text, "n_chars": n_chars}).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents in which phrases of benchmark items occur."""
+    found = decontam.contamination(docs, common.table(spark, sf_dir, "benchmark"))
+    dropped = found.where("contaminated").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids (decimal, joined by commas) and whether they decode to the text."""
+    out = trie_bpe.encode_decode(docs.select("doc_id", "text"))
+    return out.select("doc_id", "n_tokens", "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity_filter),
+    ("minhash_dedup", minhash_dedup),
     ("substring_dedup", substring_dedup),
+    ("decontamination", decontamination),
+    ("bpe", encoding),
 ]
 
-#: The stages are iterative or use models, which SQL cannot express.
+#: A trained model, sketches and a tokenizer: SQL cannot express the rows.
 ORACLE_SQL: str | None = None
 
 
