@@ -4,9 +4,8 @@ The words of a text (runs of ASCII letters and digits, A-Z lower-cased, and
 characters beyond ASCII) give shingles of ``k`` words; a shingle's n-th
 occurrence in a text is labelled n.  A sketch takes the ``pick`` labelled
 shingles that are smallest under a random function, in their text order, so
-two sketches agree only if the texts share these shingles in one order.
-``tables`` sketches with independent functions make two texts candidates if
-any of them agrees.
+two sketches agree only if the texts share these shingles in one order.  Several sketches
+with independent functions make two texts candidates if any of them agrees.
 
 Candidates are verified by alignment of the whole shingle sequences: with the
 longest common subsequence L of sequences of n and m shingles, the similarity
@@ -14,14 +13,19 @@ is L / (n + m - L) and links need 0.8 or more.  That bounds how far an
 alignment may leave the diagonal, so a band of that width is exact; rows of the
 band are machine words of one long integer (bit-parallel).
 
-Recall: with order kept and a shingle similarity s, ``tables`` = 20 sketches of
-``pick`` = 3 all miss with probability (1 - s**3)**20, 6e-7 at s = 0.8.
+Recall: with order kept and a shingle similarity s, t sketches of p shingles
+all miss with probability (1 - s**p)**t; at s = 0.8 that is 3e-6 for the family
+of long texts (5 shingles, 32 sketches), 6e-7 for that of short texts (3, 20).
 
-Work of a bucket (texts with one sketch): each text is aligned with the
-smallest text of the bucket only.  Where a text is not linked with it, the
-bucket may hold two classes or more; then, and only then, it is aligned with
-the bucket's other texts of other classes.  Copies of one word sequence are one
-node.  No bucket is capped.
+Work of a bucket (texts with one sketch): first, one text of the bucket is
+aligned with the others; links join classes, and a bucket of one class is done.
+The other buckets go to tasks with their sequences (those of more than
+``BLOCK`` texts as pairs of blocks).  There one matrix product tells how many
+shingles any two texts share, which bounds their similarity; pairs of different
+classes that the bound leaves are aligned until their classes are joined.  So
+no link between texts of a bucket is lost, and what is returned are joined
+classes, not pairs.  Copies of one word sequence are one node.  No bucket is
+capped.
 
 Defined results: texts of fewer than ``k`` words have one shingle of all their
 words; null texts and texts without words are linked with nothing; class_id is
@@ -43,8 +47,16 @@ from pyspark.sql import functions as F
 from tidemart.llm import common, textops
 from tidemart.llm.components import components
 
-K, PICK, TABLES, SIMILARITY = 5, 3, 20, 0.8
+K, SIMILARITY, BLOCK = 5, 0.8, 512
+#: (least and most shingles, shingles in a sketch, sketches) of each family of
+#: tables.  Short texts need small sketches, long ones selective sketches; two
+#: texts of sizes within SIMILARITY of each other are always in one family.
+FAMILIES = ((1, 50, 3, 20), (40, 2**31, 5, 32))
 SLICE = 2 << 20
+#: Sequences that a task compares, in bytes.
+TASK_BYTES = 16 << 20
+#: Hot buckets that may be broadcast (of 12 bytes); more are joined.
+HOT_ROWS = 100_000
 _TEXT = "__td_text"
 
 
@@ -134,7 +146,11 @@ def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
         return True
     a, b = a[head : n - tail], b[head : m - tail]
     need -= common_ends
-    if len(np.intersect1d(a, b)) == 0:
+    # the sequences share no more than the multiset of shingles that both have
+    values, counts = np.unique(a, return_counts=True)
+    place = np.minimum(np.searchsorted(values, b), len(values) - 1) if len(values) else np.zeros(len(b), int)
+    both, theirs = np.unique(place[values[place] == b], return_counts=True) if len(values) else (place, place)
+    if np.minimum(counts[both], theirs).sum() < need:
         return False
     # every matched pair (i, j) has |i - j| at most the number of unmatched ones
     width = len(a) + len(b) - 2 * need
@@ -166,7 +182,21 @@ def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
     return matched >= need
 
 
-def sketch_table(docs: DataFrame, k: int, pick: int, tables: int) -> DataFrame:
+def families(h: np.ndarray, begin: np.ndarray, kinds: tuple[tuple[int, int, int, int], ...]) -> tuple[np.ndarray, np.ndarray]:
+    """All sketches of each text, one text after the other, and how many each has."""
+    n = np.diff(begin)
+    found, whose = [], []
+    for number, (least, most, pick, tables) in enumerate(kinds):
+        texts = np.flatnonzero((n >= least) & (n <= most))
+        own = np.concatenate([[0], np.cumsum(n[texts])])
+        at = np.arange(own[-1]) + np.repeat(begin[texts] - own[:-1], n[texts])
+        found.append(textops.mix(sketches(h[at], own, pick, tables) + np.uint64(number)).reshape(-1))
+        whose.append(np.repeat(texts, tables))
+    whose = np.concatenate(whose)
+    return np.concatenate(found)[np.argsort(whose, kind="stable")], np.bincount(whose, minlength=len(n))
+
+
+def sketch_table(docs: DataFrame, k: int, kinds: tuple[tuple[int, int, int, int], ...]) -> DataFrame:
     """doc_id, node (hash of the word sequence; null: no words), n (shingles), sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,8 +205,8 @@ def sketch_table(docs: DataFrame, k: int, pick: int, tables: int) -> DataFrame:
             for i, j in textops.slices(offsets, SLICE):
                 o = offsets[i : j + 1]
                 h, begin, whole = shingles(data[o[0] : o[-1]], o - o[0], k)
-                found = sketches(h, begin, pick, tables)
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * tables), pa.array(found.reshape(-1).view(np.int64)))
+                found, count = families(h, begin, kinds)
+                flat = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32)), pa.array(found.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(whole.view(np.int64), mask=whole == 0), pa.array(np.diff(begin).astype(np.int32)), flat], ["doc_id", "node", "n", "sketches"])
 
     return docs.select("doc_id", _TEXT).mapInArrow(run, "doc_id long, node long, n int, sketches array<long>")
@@ -209,45 +239,117 @@ def verified(pairs: DataFrame, seqs: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, linked boolean")
 
 
-def near_duplicates(docs: DataFrame, text_col: str = "text", k: int = K, pick: int = PICK, tables: int = TABLES, least: float = SIMILARITY) -> DataFrame:
+def shared(seqs: list[np.ndarray]) -> np.ndarray:
+    """How many shingles any two sequences share, as multisets."""
+    size = np.array([len(x) for x in seqs])
+    text = np.repeat(np.arange(len(seqs)), size)
+    marks = labelled(np.concatenate(seqs).astype(np.uint64), text)
+    _, column, count = np.unique(marks, return_inverse=True, return_counts=True)
+    use = count[column] > 1
+    number = np.cumsum(count > 1) - 1
+    text, column = text[use], number[column[use]]
+    out = np.zeros((len(seqs), len(seqs)), np.float32)
+    order = np.argsort(column, kind="stable")
+    text, column = text[order], column[order]
+    width = 4096
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        i, j = np.searchsorted(column, [first, first + width])
+        block = np.zeros((len(seqs), width), np.float32)
+        block[text[i:j], column[i:j] - first] = 1
+        out += block @ block.T
+    return out
+
+
+def joined(nodes: list[int], classes: list[int], side: np.ndarray, cross: bool, seqs: list[np.ndarray], least: float) -> list[tuple[int, int]]:
+    """Links that join the classes of one group; of a cross group, links between its sides."""
+    size = np.array([len(x) for x in seqs])
+    need = np.ceil(least * (size[:, None] + size[None, :]) / (1 + least) - 1e-9)
+    own = np.unique(np.array(classes), return_inverse=True)[1]
+    possible = np.triu(shared(seqs) >= need, 1) & (own[:, None] != own[None, :])
+    if cross:
+        possible &= side[:, None] != side[None, :]
+    parent = list(range(int(own.max()) + 1))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(possible)):
+        x, y = find(int(own[i])), find(int(own[j]))
+        if x != y and similar(seqs[i], seqs[j], least):
+            parent[x] = y
+            out.append((nodes[i], nodes[j]))
+    return out
+
+
+def rest_links(mixed: DataFrame, seqs: DataFrame, least: float) -> DataFrame:
+    """a, b: links that join classes of the buckets in ``mixed`` (bucket, node, n, class)."""
+    spark = mixed.sparkSession
+    hot = common.stored(mixed.groupBy("bucket").agg(F.count("*").alias("m")).where(F.col("m") > BLOCK).select("bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "hot-buckets")
+    hot = F.broadcast(hot) if hot.count() <= HOT_ROWS else hot
+    dealt = (
+        mixed.join(hot, "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "class")
+    )
+    size = mixed.agg(F.sum(F.col("n") * 4)).first()[0] or 0
+    spread = max(common.parts(spark), int(size) // TASK_BYTES + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [b for b in batches if b.num_rows]
+        if not got:
+            return
+        rows = pa.Table.from_batches(got)
+        bucket, i, j, side, node, cls = (rows.column(c).to_numpy() for c in ("bucket", "i", "j", "side", "node", "class"))
+        order = np.lexsort((node, side, j, i, bucket))
+        blobs = rows.column("seq")
+        change = np.flatnonzero(np.concatenate([[True], (bucket[order[1:]] != bucket[order[:-1]]) | (i[order[1:]] != i[order[:-1]]) | (j[order[1:]] != j[order[:-1]])]))
+        out = []
+        for x, y in zip(change, np.append(change[1:], len(order)), strict=True):
+            at = order[x:y]
+            if y - x > 1 and len(np.unique(cls[at])) > 1:
+                texts = [np.frombuffer(blobs[int(r)].as_buffer(), np.uint32) for r in at]
+                out += joined(node[at].tolist(), cls[at].tolist(), side[at], bool(i[at[0]] != j[at[0]]), texts, least)
+        yield from common.emit(out, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    return dealt.join(seqs, "node").repartition(spread, "bucket", "i", "j").mapInArrow(run, "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, text_col: str = "text", k: int = K, least: float = SIMILARITY, kinds: tuple[tuple[int, int, int, int], ...] = FAMILIES) -> DataFrame:
     """doc_id, class_id, kept (one row of each class) for every document."""
     spark = docs.sparkSession
     common.prepare(spark)
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).alias(_TEXT))
-    rows = common.stored(sketch_table(read, k, pick, tables), "sketches")
+    rows = common.stored(sketch_table(read, k, kinds), "sketches")
 
-    # buckets of two or more different texts
+    # buckets of two or more different texts; at first each text is a class of its own
     keyed = rows.where("node is not null").select("node", "n", F.explode("sketches").alias("bucket")).distinct()
-    tops = keyed.groupBy("bucket").agg(F.min("node").alias("top"), F.max("node").alias("last")).where("top <> last").drop("last")
-    buckets = common.stored(keyed.join(tops, "bucket"), "buckets")
-    top_n = buckets.where("node = top").select("bucket", F.col("n").alias("top_n"))
-    sized = F.expr(f"least(n, top_n) >= {least} * greatest(n, top_n)")
-    first = buckets.where("node <> top").join(top_n, "bucket").where(sized).select(F.col("top").alias("a"), F.col("node").alias("b")).distinct()
-    first = common.stored(first, "candidates")
-
-    # one text of each candidate node
+    several = keyed.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("bucket")
+    buckets = common.stored(keyed.join(several, "bucket"), "buckets")
+
+    # one text of each node that is in a bucket
     used = buckets.select("node").distinct()
     owners = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(used, "node")
-    texts = read.join(owners, "doc_id")
-    seqs = common.stored(sequences(texts, k), "sequences")
-    checked = common.stored(verified(first, seqs, least), "checked")
-    links = checked.where("linked").select("a", "b")
-
-    # buckets that hold texts of two classes: the others meet too
+    seqs = common.stored(sequences(read.join(owners, "doc_id"), k), "sequences")
+
+    # one text of each bucket is aligned with the others
+    drawn = buckets.groupBy("bucket").agg(F.min("node").alias("lead"))
+    lead = buckets.join(drawn.withColumnRenamed("lead", "node"), ["bucket", "node"]).select("bucket", F.col("node").alias("lead"), F.col("n").alias("lead_n"))
+    sized = F.expr(f"least(n, lead_n) >= {least} * greatest(n, lead_n)")
+    pairs = buckets.join(lead, "bucket").where("node <> lead").where(sized).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    links = common.stored(verified(pairs, seqs, least).where("linked").select("a", "b"), "first-links")
     classes = components(links)
+
+    # buckets of several classes still
     named = buckets.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).drop("component")
-    mixed = named.groupBy("bucket").agg(F.min("class").alias("c"), F.max("class").alias("d")).where("c <> d").select("bucket")
-    open_ = common.stored(named.join(mixed, "bucket"), "mixed")
-    lead = open_.where("node = top").select("bucket", F.col("class").alias("top_class"))
-    apart = open_.join(lead, "bucket").where("class <> top_class").select("bucket", F.col("node").alias("b"), F.col("n").alias("top_n"), F.col("class").alias("own"))
-    rest = open_.where("node <> top").select("bucket", F.col("node").alias("a"), "n", "class")
-    second = (
-        apart.join(rest, "bucket").where("class <> own").where(sized)
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        .join(checked.select("a", "b"), ["a", "b"], "left_anti")
-    )
-    more = common.stored(verified(second, seqs, least).where("linked").select("a", "b"), "more-links")
-    classes = components(links.union(more))
+    several = named.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("bucket")
+    mixed = common.stored(named.join(several, "bucket"), "mixed")
+    more = common.stored(rest_links(mixed, seqs, least), "more-links")
+    classes = components(more.union(classes.toDF("a", "b")))
 
     # node -> class, named by the smallest document
     named = rows.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).select("doc_id", "node", "class")
