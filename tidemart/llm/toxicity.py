@@ -12,7 +12,8 @@ everything else cannot make a document toxic and is part of the bias.
 
 The model is fitted on a bounded sample: at most ``TRAIN_ROWS`` labelled rows of
 each class (those with the smallest hashes of doc_id, over the whole table),
-texts of at most ``TRAIN_BYTES`` bytes.  Scoring covers whole texts of all rows.
+texts of at most ``TRAIN_BYTES`` bytes, in one task; only the weights (at most
+``MAX_FEATURES``) come to the driver.  Scoring covers whole texts of all rows.
 Labels, lang, source and doc_id are never features.
 
 Defined results: null and empty texts have no sentence and score 0; labels that
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm import common, textops
 
-TRAIN_ROWS, TRAIN_BYTES = 4000, 32 << 10
+TRAIN_ROWS, TRAIN_BYTES = 3000, 16 << 10
 MAX_FEATURES, LEAST_DOCS, LEAST_SHARE, LEAST_ODDS = 20_000, 4, 0.01, 1.5
 THRESHOLD = 0.7
 STEMS = (4, 5, 6)
@@ -121,13 +122,14 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 300, l2: float = 1
     for i, j in textops.slices(offsets, SLICE):
         o = offsets[i : j + 1]
         starts, ends, sentence, text = sentences(data[o[0] : o[-1]], o - o[0])
-        base = parts[-1][3] if parts else 0
-        rows = [(text[at] + i, sentence[at] + base, h) for at, h in features(data[o[0] : o[-1]], starts, ends)]
+        base = parts[-1][2] if parts else 0
+        pairs = [np.array([sentence[at] + base, h.view(np.int64)]) for at, h in features(data[o[0] : o[-1]], starts, ends)]
+        pairs = np.unique(np.concatenate(pairs, axis=1).T.copy().view([("s", np.int64), ("h", np.int64)]))
         whose = np.zeros(int(sentence[-1]) + 1 if len(sentence) else 0, np.int64)
         whose[sentence] = text + i
-        parts.append((*map(np.concatenate, zip(*rows, strict=True)), base + len(whose), whose))
-    doc, sentence, h = (np.concatenate([p[k] for p in parts]) for k in range(3))
-    whose = np.concatenate([p[4] for p in parts])
+        parts.append((pairs["s"], pairs["h"].view(np.uint64), base + len(whose), whose))
+    sentence, h, whose = (np.concatenate([p[k] for p in parts]) for k in (0, 1, 3))
+    doc = whose[sentence]
     keys, at = np.unique(h, return_inverse=True)
     pairs = np.unique(at.astype(np.int64) * len(y) + doc)  # a document counts once
     toxic = np.bincount(pairs // len(y), y[pairs % len(y)], len(keys))
@@ -174,9 +176,18 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, text_bytes:
     chosen = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for c in (0, 1)]
     # at most 2 * rows pairs of numbers: the bound that makes the broadcast safe
     read = docs.select("doc_id", F.col("text")).where(F.octet_length("text") <= text_bytes)
-    got = read.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").select("doc_id", "text", "toxic").collect()
-    got = sorted(got, key=lambda r: (r["doc_id"], r["text"], r["toxic"]))
-    return train([r["text"] for r in got], np.array([r["toxic"] for r in got], int))
+    sample = read.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").select("doc_id", "text", "toxic")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = sorted({r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True)})
+        model = train([r[1] for r in got], np.array([r[2] for r in got], int))
+        yield pa.RecordBatch.from_arrays([pa.array([model.keys.tobytes()]), pa.array([model.weights.tobytes()]), pa.array([model.bias])], ["keys", "weights", "bias"])
+
+    common.prepare(docs.sparkSession)
+    got = sample.repartition(1).mapInArrow(run, "keys binary, weights binary, bias double").first()
+    if got is None:
+        return Model(np.zeros(0, np.uint64), np.zeros(0), 0.0)
+    return Model(np.frombuffer(got["keys"], np.uint64), np.frombuffer(got["weights"]), got["bias"])
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
