@@ -11,10 +11,10 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tidemart.session import build_session
 
     s = build_session(app="tidemart-tests", master="local[4]", shuffle_partitions=4,
-                      driver_memory="4g")
+                      driver_memory="4g", checkpoint_dir=str(tmp_path_factory.mktemp("checkpoints")))
     yield s
     s.stop()

@@ -27,10 +27,10 @@ def customers(spark):
 def products(spark):
     # product 10 and 11 share supplier 7 under two names (first row wins)
     return spark.createDataFrame([
-        (10, "Laptop", Decimal("1000.00"), 7, "Canon Inc.", 1, "Tech Haven"),
-        (11, "Camera", Decimal("500.00"), 7, "Nikon Corporation", 2, "Photo World"),
-        (12, "Cable", None, 8, "Cables Ltd", 1, "Tech Haven"),
-        (13, "Mouse", Decimal("20.00"), 9, "Mice Co", 3, "Game Zone"),
+        (10, "Laptop", Decimal("1000.00"), 7, "Alder Optics", 1, "Mill Lane"),
+        (11, "Camera", Decimal("500.00"), 7, "Birch Imaging", 2, "Quay Street"),
+        (12, "Cable", None, 8, "Wires Ltd", 1, "Mill Lane"),
+        (13, "Mouse", Decimal("20.00"), 9, "Mice Co", 3, "High Square"),
     ], PRODUCT_SCHEMA)
 
 

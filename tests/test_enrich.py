@@ -12,7 +12,7 @@ def test_matched_rows_and_amounts(spark):
     got = {(r.order_id, r.line_no): r for r in out.collect()}
     assert set(got) == {(100, 1), (100, 2), (101, 1), (102, 1), (103, 1), (203, 1)}
     assert got[(100, 1)].total_sales == Decimal("2000.00")
-    assert got[(100, 1)].supplier_id == 7 and got[(100, 1)].store_name == "Tech Haven"
+    assert got[(100, 1)].supplier_id == 7 and got[(100, 1)].store_name == "Mill Lane"
     assert got[(102, 1)].total_sales == Decimal("0.00")   # NULL price
     assert got[(103, 1)].total_sales == Decimal("0.00")   # NULL quantity
     assert got[(103, 1)].quantity == 0

@@ -1,4 +1,6 @@
-from tidemart.session import checkpoint_root, materialize, shared_scratch_dir
+import pytest
+
+from tidemart.session import apply_sql_defaults, checkpoint_root, materialize, shared_scratch_dir
 
 
 def test_scratch_goes_under_the_checkpoint_dir(spark):
@@ -16,3 +18,32 @@ def test_materialize_writes_a_table_under_the_checkpoint_dir(spark):
     assert sorted(tuple(r) for r in out.collect()) == [(i, 2 * i) for i in range(100)]
     root = checkpoint_root(spark).split(":")[-1]
     assert out.inputFiles() and all(root in f for f in out.inputFiles())
+
+
+class _Cluster:
+    """A session on a cluster that has no checkpoint folder."""
+
+    class conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class sparkContext:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+        class getConf:
+            get = staticmethod(lambda key, default=None: default)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(_Cluster())
+
+
+def test_settings_of_the_caller_stay(spark):
+    own = spark.newSession()
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "1234")
+    from tidemart import session
+
+    session._APPLIED.discard(session.app_id(own))
+    apply_sql_defaults(own)
+    assert own.conf.get("spark.sql.autoBroadcastJoinThreshold") == "1234"

@@ -1,4 +1,11 @@
-from tidemart.operators.enrich import enrich, normalise_feed
+from pyspark.sql import functions as F
+
+from tests import fixtures as fx
+from tidemart.operators.dims import DIMENSIONS
+from tidemart.operators.enrich import enrich, enrich_flagged, enrich_rejects, normalise_feed
+from tidemart.plans import reports as R
+from tidemart.plans.load import load_warehouse, new_warehouse_root
+from tidemart.plans.star import WarehouseStar
 from tidemart.session import shared_scratch_dir
 from tidemart.sources.fixtures import FixtureSources
 from tidemart.streaming.enrich_stream import (
@@ -11,63 +18,72 @@ from tidemart.streaming.enrich_stream import (
 
 from .conftest import SF_SMALL
 
+KEYS = ["order_id", "line_no", "product_id", "supplier_id", "quantity"]
+TABLES = ("sales", "rejects", "dim_time", *DIMENSIONS)
+
 
-def _keys(df):
-    return sorted(tuple(r) for r in df.select("order_id", "line_no", "product_id", "supplier_id", "quantity").collect())
+def _rows(df, columns=None):
+    return sorted((tuple(r) for r in df.select(*(columns or sorted(df.columns))).collect()), key=repr)
 
 
-def test_stream_equals_batch_and_restart_adds_nothing(spark):
+def test_stream_loses_nothing_and_equals_the_batch_load(spark):
     src = FixtureSources(spark, SF_SMALL, restricted=True)
     feed = normalise_feed(src.feed())
     landing = shared_scratch_dir(spark, "test-landing")
-    stage_feed_files(feed, landing, n_files=3)
+    stage_feed_files(feed.coalesce(1), landing, rows_per_segment=2000)
     out = shared_scratch_dir(spark, "test-stream")
-    ckpt = f"{out}/_checkpoint"
 
     def run():
-        q = start_enrichment(spark, feed_stream(spark, landing, feed.schema, files_per_batch=1),
-                             src.customers(), src.products(), src.suppliers(), out, ckpt,
-                             dimensions=("dim_product", "dim_store"))
-        run_to_completion(q, 300)
+        run_to_completion(start_enrichment(
+            spark, feed_stream(spark, landing, feed.schema, files_per_batch=1),
+            src.customers(), src.products(), src.suppliers(), out, f"{out}/_checkpoint"), 300)
 
     run()
-    facts = spark.read.parquet(f"{out}/sales")
-    assert facts.select("batch_id").distinct().count() == 3
-    batch = enrich(feed, src.customers(), src.products(), src.suppliers())
-    assert _keys(facts) == _keys(batch)
-    n_dims = spark.read.parquet(f"{out}/dim_product").count()
-    assert n_dims == batch.select("product_id").distinct().count()
+    facts, rejects = (spark.read.parquet(f"{out}/{t}") for t in ("sales", "rejects"))
+    assert facts.select("batch_id").distinct().count() >= 3
+    assert facts.count() + rejects.count() == feed.count() and rejects.count() > 0
+    masters = (src.customers(), src.products(), src.suppliers())
+    assert _rows(facts, KEYS) == _rows(enrich(feed, *masters), KEYS)
+    assert _rows(rejects, KEYS) == _rows(enrich_rejects(feed, *masters), KEYS)
+
+    root = new_warehouse_root(spark)
+    batch = load_warehouse(spark, root, feed, *masters)
+    for name in ("dim_time", *DIMENSIONS):
+        assert _rows(spark.read.parquet(f"{out}/{name}").drop("batch_id")) == _rows(getattr(batch, name.removeprefix("dim_"))), name
+    # the streamed warehouse answers the reports
+    streamed = WarehouseStar(**{a: spark.read.parquet(f"{out}/{t}").drop("batch_id") for a, t in (
+        ("fact", "sales"), ("time", "dim_time"), ("product", "dim_product"), ("store", "dim_store"), ("supplier", "dim_supplier"))})
+    for report in (R.q1_top_products_daytype, R.q2_store_quarter_revenue, R.q5_volatility, R.q8_half_year):
+        assert _rows(report(streamed)) == _rows(report(batch)), report.__name__
 
     run()  # same checkpoint: nothing new to process
     assert spark.read.parquet(f"{out}/sales").count() == facts.count()
 
 
-def test_replayed_batch_overwrites_its_partition(spark):
+def test_replayed_batch_overwrites_its_partitions(spark):
     src = FixtureSources(spark, SF_SMALL)
-    rows = enrich(src.feed(), src.customers(), src.products(), src.suppliers())
+    rows = enrich_flagged(src.feed(), src.customers(), src.products(), src.suppliers())
     out = shared_scratch_dir(spark, "test-replay")
-    commit_batch(spark, rows, 0, out, ("dim_supplier",))
-    n = spark.read.parquet(f"{out}/sales").count()
-    d = spark.read.parquet(f"{out}/dim_supplier").count()
-    commit_batch(spark, rows, 0, out, ("dim_supplier",))   # replay of batch 0
-    assert spark.read.parquet(f"{out}/sales").count() == n
-    assert spark.read.parquet(f"{out}/dim_supplier").count() == d
-    commit_batch(spark, rows, 1, out, ("dim_supplier",))   # same rows, later batch
-    assert spark.read.parquet(f"{out}/dim_supplier").count() == d   # members not repeated
+
+    def counts():
+        return {t: spark.read.parquet(f"{out}/{t}").count() for t in TABLES if t != "rejects"}
+
+    commit_batch(spark, rows, 0, out)
+    first = counts()
+    commit_batch(spark, rows, 0, out)   # replay of batch 0
+    assert counts() == first
+    commit_batch(spark, rows, 1, out)   # same rows, later batch: members are not repeated
+    assert counts() == first | {"sales": 2 * first["sales"]}
 
 
 def test_fixed_size_segments(spark):
-    from pyspark.sql import functions as F
-    from tests import fixtures as fx
     day = fx.d(1998, 1, 1)
-    rows = [(i, 1, day, 10, None, 1, 1, 19980101) for i in range(1, 11)]
-    feed = fx.feed(spark, rows)
+    feed = fx.feed(spark, [(i, 1, day, 10, None, 1, 1, 19980101) for i in range(1, 11)])
     landing = shared_scratch_dir(spark, "test-segments")
-    stage_feed_files(feed, landing, n_files=1, rows_per_segment=4)
+    stage_feed_files(feed.coalesce(1), landing, rows_per_segment=4)
     out = shared_scratch_dir(spark, "test-segments-out")
-    q = start_enrichment(spark, feed_stream(spark, landing, feed.schema, files_per_batch=1),
-                         fx.customers(spark), fx.products(spark), None, out, f"{out}/_checkpoint")
-    run_to_completion(q, 300)
-    sizes = sorted(r["count"] for r in spark.read.parquet(f"{out}/sales").groupBy("batch_id").count().collect())
-    assert sizes == [2, 4, 4]
-    assert F
+    run_to_completion(start_enrichment(
+        spark, feed_stream(spark, landing, feed.schema, files_per_batch=1),
+        fx.customers(spark), fx.products(spark), None, out, f"{out}/_checkpoint"))
+    sizes = [r["n"] for r in spark.read.parquet(f"{out}/sales").groupBy("batch_id").agg(F.count("*").alias("n")).collect()]
+    assert sorted(sizes) == [2, 4, 4]

@@ -21,14 +21,19 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+#: A price with or without thousands commas; "1.299,99" is not one.
+PRICE_PATTERN = r"^[+-]?(\d+|\d{1,3}(,\d{3})+)(\.\d*)?$"
+
+
 def parse_price(text_col) -> Column:
     """Currency text such as ``"1299.99$"`` -> decimal(10,2).
 
-    Currency signs, thousands separators and blanks are dropped; text that
-    still is not a number becomes NULL instead of failing the job.
+    Currency signs and blanks are dropped, and commas between groups of three
+    digits; text that still is no number becomes NULL instead of failing the
+    job or changing the amount.
     """
-    cleaned = F.regexp_replace(F.trim(_c(text_col)), r"[$,\s]", "")
-    return F.when(cleaned == "", F.lit(None)).otherwise(cleaned).try_cast(MONEY)
+    cleaned = F.regexp_replace(F.trim(_c(text_col)), r"[$\s]", "")
+    return F.when(cleaned.rlike(PRICE_PATTERN), F.regexp_replace(cleaned, ",", "")).try_cast(MONEY)
 
 
 def zero_if_null(col, type_name: str | None = None) -> Column:
@@ -37,10 +42,11 @@ def zero_if_null(col, type_name: str | None = None) -> Column:
 
 
 def sales_amount(price_col, quantity_col) -> Column:
-    """price x quantity in exact decimal(10,2); a missing side counts as 0."""
+    """price x quantity in exact decimal(10,2); a missing side counts as 0, an
+    amount beyond the type is NULL (the row is rejected, the load goes on)."""
     price = zero_if_null(_c(price_col).cast(MONEY), None).cast(MONEY)
     qty = zero_if_null(_c(quantity_col), None).cast("int")
-    return (price * qty).cast(MONEY)
+    return (price * qty).try_cast(MONEY)
 
 
 def as_double(col) -> Column:

@@ -3,9 +3,9 @@
 A dimension row is never updated once written (type-0 dimension).  When
 one key arrives with several attribute values (a supplier id under two
 names) the row with the smallest fact key wins - a deterministic rule
-instead of "whichever was processed first".  ``min_by`` is an ordinary
-aggregate with map-side partial aggregation, so a hot key costs one
-partial row per task, never a group in one task.
+instead of "whichever was processed first".  Members are found as distinct
+(key, attributes), a hash aggregate; only the keys that turn out to have
+several values are ordered by the fact key.
 """
 
 from __future__ import annotations
@@ -21,49 +21,43 @@ from tidemart.schemas import FACT_KEY
 
 def first_wins(rows: DataFrame, key: str, attrs: Sequence[str],
                order_by: Sequence[str] = FACT_KEY) -> DataFrame:
-    """One row per non-NULL ``key`` with the attributes of its first row."""
+    """One row per non-NULL ``key`` with the attributes of its first row.
+
+    The rows are read once to find each key's distinct values and once more
+    for the conflicting keys only, so callers pass a stored table or a cheap
+    plan.  Both passes aggregate on the map side; a hot key costs one partial
+    row per task."""
     order = [c for c in order_by if c in rows.columns]
     if not order:
         raise ValueError("first_wins needs at least one ordering column")
+    known = rows.where(F.col(key).isNotNull())
+    values = known.select(key, *attrs).distinct()
+    several = values.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    plain = values.join(several.where("_n = 1").select(key), key, "left_semi")
     picked = F.min_by(F.struct(*[F.col(a) for a in attrs]), F.struct(*[F.col(c) for c in order]))
-    return (
-        rows.where(F.col(key).isNotNull())
+    conflicting = (
+        known.join(several.where("_n > 1").select(key), key, "left_semi")
         .groupBy(key)
         .agg(picked.alias("_first"))
         .select(key, *[F.col(f"_first.{a}").alias(a) for a in attrs])
     )
+    return plain.unionByName(conflicting)
 
 
-def absent_members(members: DataFrame, existing: DataFrame | None, key: str,
-                   small_batch: bool = False) -> DataFrame:
-    """Members whose key is not in the existing dimension yet.
-
-    A left-anti join can only broadcast its right side - here the stored
-    dimension, which grows without bound - so a plain anti-join shuffles the
-    whole dimension.  ``small_batch`` is the caller's proof that the
-    candidates are few (a micro-batch counted under the broadcast row cap:
-    it cannot hold more keys than rows): the candidate keys are broadcast
-    instead, the stored dimension is only scanned and semi-filtered to the
-    colliding keys, and the anti-join runs between two small sets.  A batch
-    load, whose candidates can be as many as the dimension itself, keeps
-    the plain shuffled anti-join."""
+def absent_members(members: DataFrame, existing: DataFrame | None, key: str) -> DataFrame:
+    """Members whose key is not in the existing dimension yet."""
     if existing is None:
         return members
     known = existing.select(key).where(F.col(key).isNotNull())
-    if not small_batch:
-        return members.join(known, key, "left_anti")
-    candidates = members.select(key).where(F.col(key).isNotNull()).distinct()
-    collisions = known.join(F.broadcast(candidates), key, "left_semi")
-    return members.join(collisions, key, "left_anti")
+    return members.join(known, key, "left_anti")
 
 
 def dimension_members(matched: DataFrame, key: str, attrs: Sequence[str],
                       existing: DataFrame | None = None,
-                      order_by: Sequence[str] = FACT_KEY,
-                      small_batch: bool = False) -> DataFrame:
+                      order_by: Sequence[str] = FACT_KEY) -> DataFrame:
     """New members of one dimension from enriched (matched) rows only."""
     attrs = [a for a in attrs if a in matched.columns]
-    return absent_members(first_wins(matched, key, attrs, order_by), existing, key, small_batch)
+    return absent_members(first_wins(matched, key, attrs, order_by), existing, key)
 
 
 def time_members(feed: DataFrame, existing: DataFrame | None = None) -> DataFrame:

@@ -1,12 +1,12 @@
 """Enrichment of a transaction feed against customer / product master data.
 
 The stream-against-masters join is a plain equi-join here: Spark chooses a
-broadcast hash join while a master is under the (size-checked) broadcast
-threshold and a shuffled sort-merge join beyond it; AQE re-decides at run
-time and splits skewed feed partitions (one product may carry a third of
-all lines).  Unlike a paged in-memory buffer, no feed row is ever dropped
+broadcast hash join while a master is under its broadcast threshold and a
+shuffled sort-merge join beyond it; AQE re-decides at run time and splits
+skewed feed partitions (one product may carry a third of all lines).  Unlike a paged in-memory buffer, no feed row is ever dropped
 silently: rows without a master match come out of :func:`enrich_rejects`
-with the missing side(s) flagged.
+with the missing side(s) flagged; rows whose amount does not fit the money
+type are rejected by the loaders too (``bad_amount``).
 
 Two master layouts are supported:
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.dates import time_id_of
 from tidemart.functions.measures import sales_amount, zero_if_null
-from tidemart.operators.joins import broadcast_if_small
+from tidemart.operators.quality import duplicate_keys
 
 SUPPLIER_SIDE = ("supplier_id", "supplier_name", "store_id", "store_name", "region")
 
@@ -93,6 +93,21 @@ def _extra_columns(*frames: DataFrame) -> list[str]:
     return extra
 
 
+class DuplicateMasterKeys(ValueError):
+    """A master holds a key more than once, so a join would multiply facts."""
+
+
+def require_unique_masters(customers: DataFrame, products: DataFrame, suppliers: DataFrame | None = None) -> None:
+    """Raise if a master repeats a key; one aggregate over each master's key column."""
+    masters = [("customers", customers, "customer_id"), ("products", products, "product_id")]
+    if suppliers is not None:
+        masters.append(("suppliers", suppliers, "supplier_id"))
+    for name, df, key in masters:
+        bad = duplicate_keys(df.where(F.col(key).isNotNull()), [key]).select(key).limit(5).collect()
+        if bad:
+            raise DuplicateMasterKeys(f"{name}: {key} is repeated, for example {[r[0] for r in bad]}")
+
+
 def enrich(feed: DataFrame, customers: DataFrame, products: DataFrame,
            suppliers: DataFrame | None = None) -> DataFrame:
     """Matched feed rows with customer, product, supplier and store
@@ -100,17 +115,17 @@ def enrich(feed: DataFrame, customers: DataFrame, products: DataFrame,
     f = _feed_for(normalise_feed(feed), suppliers)
     p = _products_for(products, suppliers)
     masters = [customers, p] + ([suppliers] if suppliers is not None else [])
-    out = f.join(broadcast_if_small(customers), "customer_id", "inner")
-    out = out.join(broadcast_if_small(p), "product_id", "inner")
+    out = f.join(customers, "customer_id", "inner")
+    out = out.join(p, "product_id", "inner")
     if suppliers is not None:
-        out = out.join(broadcast_if_small(suppliers), "supplier_id", "inner")
-    return out.select(*_enriched_projection(out, _extra_columns(*masters)))
+        out = out.join(suppliers, "supplier_id", "inner")
+    return out.select(*_enriched_projection(out, _extra_columns(*masters))).where(F.col("total_sales").isNotNull())
 
 
 def _flag_presence(df: DataFrame, master: DataFrame, key: str, flag: str) -> DataFrame:
     # one row per master key, so the left join never multiplies feed rows
     keys = master.select(key).where(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True))
-    return df.join(broadcast_if_small(keys), key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    return df.join(keys, key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
 def enrich_rejects(feed: DataFrame, customers: DataFrame, products: DataFrame,
@@ -145,19 +160,20 @@ def enrich_flagged(feed: DataFrame, customers: DataFrame, products: DataFrame,
     joining the feed twice."""
     f = _feed_for(normalise_feed(feed), suppliers)
     p = _products_for(products, suppliers)
-    c = broadcast_if_small(customers.withColumn("_has_customer", F.lit(True)))
-    p = broadcast_if_small(p.withColumn("_has_product", F.lit(True)))
+    c = customers.withColumn("_has_customer", F.lit(True))
+    p = p.withColumn("_has_product", F.lit(True))
     out = f.join(c, "customer_id", "left").join(p, "product_id", "left")
     masters = [customers, _products_for(products, suppliers)]
     flags = [F.coalesce(F.col("_has_customer"), F.lit(False)), F.coalesce(F.col("_has_product"), F.lit(False))]
     if suppliers is not None:
-        s = broadcast_if_small(suppliers.withColumn("_has_supplier", F.lit(True)))
+        s = suppliers.withColumn("_has_supplier", F.lit(True))
         out = out.join(s, "supplier_id", "left")
         masters.append(suppliers)
         flags.append(F.coalesce(F.col("_has_supplier"), F.lit(False)))
     else:
         flags.append(flags[1])
     cols = _enriched_projection(out, _extra_columns(*masters))
+    amount = sales_amount("product_price", "quantity")
     # ``source_time_id`` keeps the feed's own (possibly NULL) time id for the
     # time dimension; the fact reads a missing one as 0
     return out.select(
@@ -166,5 +182,6 @@ def enrich_flagged(feed: DataFrame, customers: DataFrame, products: DataFrame,
         (~flags[0]).alias("missing_customer"),
         (~flags[1]).alias("missing_product"),
         (~flags[2]).alias("missing_supplier"),
-        (flags[0] & flags[1] & flags[2]).alias("matched"),
+        amount.isNull().alias("bad_amount"),
+        (flags[0] & flags[1] & flags[2] & amount.isNotNull()).alias("matched"),
     )

@@ -2,10 +2,12 @@
 
 A plain INSERT aborts (or duplicates) when a load is repeated.  Here new
 fact rows are the enriched rows whose fact key is not stored yet (a
-null-safe left-anti join on the key), appended as parquet partitioned by
-year.  Re-running a load, or running an overlapping one, adds nothing twice;
-a task retried after an executor loss rewrites only its own files through
-Spark's commit protocol.
+null-safe left-anti join on the key alone), one row per key.  They are
+appended as parquet partitioned by ``time_bucket``, a column derived from
+``time_id`` only, so that a filter on the time dimension can prune files
+without assuming anything about dates.  Re-running a load, or running an
+overlapping one, adds nothing twice; a task retried after an executor loss
+rewrites only its own files through Spark's commit protocol.
 """
 
 from __future__ import annotations
@@ -13,73 +15,66 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.operators.quality import one_per_key
 from tidemart.schemas import FACT_COLUMNS, FACT_KEY
 
+TIME_BUCKET = "time_bucket"
+
+
+def _is_absent(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
 
 def read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     """The stored table, or None when it does not exist yet.  With a known
-    schema no parquet footer is read to infer it."""
+    schema no parquet footer is read to infer it.  Any other error is raised:
+    an unreadable table is not an empty one."""
     try:
         reader = spark.read.schema(schema) if schema is not None else spark.read
         return reader.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not _is_absent(error):
+            raise
         return None
 
 
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     """Read a table with a known schema; a table that holds no rows yet (an
     empty load writes no data files) reads as an empty DataFrame."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    found = read_if_exists(spark, path, schema)
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def new_rows(rows: DataFrame, existing: DataFrame | None, key: Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``existing``; NULL key parts compare equal."""
     if existing is None:
         return rows
-    # stored keys are unique already: no distinct (it would add a shuffle)
     known = existing.select(*[F.col(k).alias(f"_k_{k}") for k in key])
     cond = [rows[k].eqNullSafe(known[f"_k_{k}"]) for k in key]
     return rows.join(known, cond, "left_anti")
 
 
+def time_bucket(time_id: str = "time_id") -> Column:
+    """Storage bucket of a time id: its first digits (of yyyymmdd the year)."""
+    return F.floor(F.col(time_id) / F.lit(10000)).cast("int")
+
+
 def fact_rows(matched: DataFrame) -> DataFrame:
-    """Fact columns plus the ``year`` storage partition column."""
-    return matched.select(*FACT_COLUMNS, F.year("order_date").alias("year"))
+    """Fact columns plus the storage partition column."""
+    return matched.select(*FACT_COLUMNS, time_bucket().alias(TIME_BUCKET))
 
 
 def append_facts(spark: SparkSession, matched: DataFrame, path: str,
                  key: Sequence[str] = FACT_KEY) -> None:
-    """Append the not-yet-stored fact rows in one distributed write (no
-    count, no cache: the delta can be as large as the feed).
-
-    Files are partitioned by the order year (a storage column, NULL dates
-    go to the default partition) so that one-year reports read one year.
-    """
-    rows = fact_rows(matched)
-    existing = read_if_exists(spark, path, rows.schema)
-    if existing is not None:
-        existing = existing.where(touched_years(rows))  # partition pruning
-    rows = new_rows(rows, existing, list(key) + ["year"])
-    rows.write.mode("append").partitionBy("year").parquet(path)
-
-
-def touched_years(rows: DataFrame):
-    """Predicate on ``year`` selecting the partitions a delta can collide
-    with.  The distinct years of a load are calendar-bounded (a handful of
-    values), so bringing them to the driver is safe; the stored side of the
-    anti-join then reads only those partitions instead of the whole fact."""
-    years = [r[0] for r in rows.select("year").distinct().collect()]
-    known = [y for y in years if y is not None]
-    cond = F.col("year").isin(known) if known else F.lit(False)
-    if any(y is None for y in years):
-        cond = cond | F.col("year").isNull()
-    return cond
+    """Append the not-yet-stored fact rows, one for each key, in one
+    distributed write (no count, no cache: the delta can be as large as the
+    feed)."""
+    rows = one_per_key(fact_rows(matched), key)
+    rows = new_rows(rows, read_if_exists(spark, path, rows.schema), key)
+    rows.write.mode("append").partitionBy(TIME_BUCKET).parquet(path)
 
 
 def append_members(spark: SparkSession, members: DataFrame, path: str) -> None:

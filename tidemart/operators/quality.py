@@ -34,36 +34,27 @@ def key_report(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return out
 
 
-def latest_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """One row per key: the row that is last in ``order_by`` (arrival order)
-    wins, as when a later record of the same key overwrites an earlier one.
-
-    ``max_by`` over a struct of the whole row is a partial aggregate, so a
-    key repeated millions of times costs one partial row per task."""
-    cols = [c for c in df.columns if c not in key]
-    last = F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in order_by]))
-    return df.groupBy(*key).agg(last.alias("_last")).select(*key, *[F.col(f"_last.{c}").alias(c) for c in cols])
-
-
-def orphan_keys(df: DataFrame, fk: str, parent: DataFrame, parent_key: str | None = None,
-                label: str | None = None) -> DataFrame:
-    """Foreign-key check: non-NULL ``fk`` values absent from ``parent``.
-
-    The child is folded to one row per key first, so the anti-join moves
-    one row per distinct key however skewed the child is."""
-    pk = parent_key or fk
-    per_key = df.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("n_rows"))
-    parents = parent.select(F.col(pk).alias(fk)).where(F.col(fk).isNotNull())
-    orphans = per_key.join(parents, fk, "left_anti")
-    return orphans.select(
-        F.lit(label or fk).alias("foreign_key"),
-        F.col(fk).cast("long").alias("key_value"),
-        F.col("n_rows"),
-    )
+def one_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
+    """One row per key: the row that is last in ``order_by`` (arrival order;
+    all other columns by default) wins, as when a later record of the same
+    key overwrites an earlier one.  NULL key parts compare equal.
+
+    A hash count finds the repeated keys; only their rows are ordered, the
+    others pass as they are.  Both steps aggregate on the map side, so a key
+    repeated millions of times costs one partial row per task."""
+    rest = [c for c in df.columns if c not in key]
+    order = list(order_by) if order_by is not None else rest
+    repeated = duplicate_keys(df, key).select(*[F.col(k).alias(f"_r_{k}") for k in key])
+    same = [df[k].eqNullSafe(repeated[f"_r_{k}"]) for k in key]
+    last = F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order]))
+    resolved = df.join(repeated, same, "left_semi").groupBy(*key).agg(last.alias("_last"))
+    resolved = resolved.select(*[F.col(c) if c in key else F.col(f"_last.{c}").alias(c) for c in df.columns])
+    return df.join(repeated, same, "left_anti").unionByName(resolved)
 
 
 def orphan_report(df: DataFrame, checks: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
-    """:func:`orphan_keys` for several foreign keys in one pass over ``df``.
+    """Foreign-key check: non-NULL values absent from their parent, for several
+    foreign keys in one pass over ``df``.
 
     Every row is unpivoted to (foreign_key, key_value) pairs, counted in one
     aggregation and anti-joined once against the parents' keys tagged with

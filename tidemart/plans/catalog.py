@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.functions.dates import time_id_of
 from tidemart.functions.measures import as_double
 from tidemart.operators.dims import DIMENSIONS, dimension_members, time_members
 from tidemart.operators.enrich import enrich, enrich_rejects, normalise_feed
@@ -21,8 +22,8 @@ from tidemart.operators.quality import (
     dependency_violations,
     duplicate_keys,
     key_report,
-    latest_per_key,
     null_counts,
+    one_per_key,
     orphan_report,
 )
 from tidemart.plans import reports as R
@@ -30,7 +31,7 @@ from tidemart.plans import variants as V
 from tidemart.plans.load import load_warehouse, new_warehouse_root
 from tidemart.plans.star import FeedStar, WarehouseStar
 from tidemart.schemas import FACT_COLUMNS, FACT_KEY, TRANSACTIONS_CSV
-from tidemart.session import apply_sql_defaults, shared_scratch_dir
+from tidemart.session import app_id, apply_sql_defaults, materialize, shared_scratch_dir
 from tidemart.sources.counts import source_counts
 from tidemart.sources.csv_feeds import (
     read_customers_csv,
@@ -108,8 +109,8 @@ def q_src_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row count per source table."""
     src = _sources(spark, sf_dir)
-    return source_counts({
-        "transactions": src.feed(), "products": src.products(), "customers": src.customers()})
+    return source_counts({  # a feed row is a line; lines without order are dq_fk's business
+        "transactions": table(spark, sf_dir, "lineitem"), "products": src.products(), "customers": src.customers()})
 
 
 def q_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,8 +159,25 @@ def q_csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_src_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P10: one feed row per (order_id, line_no), the last one in arrival
     order (here the remaining fact-key columns) winning."""
-    feed = normalise_feed(_sources(spark, sf_dir).feed())
-    return latest_per_key(feed, ["order_id", "line_no"], ["product_id", "supplier_id", "quantity"])
+    feed = materialize(normalise_feed(_sources(spark, sf_dir).feed()), "feed")  # read by three branches
+    return one_per_key(feed, ["order_id", "line_no"], ["product_id", "supplier_id", "quantity"])
+
+
+def q_csv_enrich_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A product master that carries its supplier and store (the part's
+    smallest supplier), written as CSV with all seven columns, loaded, and the
+    feed enriched against it (the feed's own supplier is not used)."""
+    src = _sources(spark, sf_dir)
+    carried = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("product_id")).agg(F.min("l_suppkey").alias("supplier_id"))
+    products = src.products().join(carried, "product_id").join(src.suppliers(), "supplier_id")
+    path = shared_scratch_dir(spark, "products-csv")
+    write_csv(products.select(
+        F.col("product_id").alias("productID"), F.col("product_name").alias("productName"),
+        F.concat(F.col("product_price").cast("string"), F.lit("$")).alias("productPrice"),
+        F.col("supplier_id").alias("supplierID"), F.col("supplier_name").alias("supplierName"),
+        F.col("store_id").alias("storeID"), F.col("store_name").alias("storeName")), path)
+    rows = enrich(src.feed(), src.customers(), read_products_csv(spark, path))
+    return _money_to_double(rows.select(*FACT_COLUMNS, "product_name", "supplier_name", "store_name"))
 
 
 # ------------------------------------------------------------- enrichment
@@ -177,6 +195,14 @@ def q_enrich_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         *FACT_COLUMNS, "customer_name", "product_name", "product_price", "supplier_name", "store_name"))
 
 
+def q_enrich_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1-E4 with the full masters."""
+    src = _sources(spark, sf_dir)
+    rows = enrich(src.feed(), src.customers(), src.products(), src.suppliers())
+    return _money_to_double(rows.select(
+        *FACT_COLUMNS, "customer_name", "product_name", "product_price", "supplier_name", "store_name"))
+
+
 def q_enrich_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E5: the complement of enrich_sales, missing side(s) flagged."""
     src = _sources(spark, sf_dir, restricted=True)
@@ -200,17 +226,45 @@ def q_dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return time_members(normalise_feed(_sources(spark, sf_dir).feed()))
 
 
+def _load_three_times(spark: SparkSession, sf_dir: str) -> WarehouseStar:
+    src = _sources(spark, sf_dir)
+    root = new_warehouse_root(spark)
+    for feed in (src.feed(before=HALF), src.feed(), src.feed()):
+        star = load_warehouse(spark, root, feed, src.customers(), src.products(), src.suppliers())
+    return star
+
+
 def q_load_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three loads into one fresh warehouse - the orders before 1998,
     then the whole feed, then the whole feed again - and the fact table read
     back.  Overlap and repetition must add nothing twice."""
+    return _money_to_double(_load_three_times(spark, sf_dir).fact.select(*FACT_COLUMNS))
+
+
+def q_load_doubled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed that holds every row twice, then the feed with all dates
+    moved by more than a year.  One fact for each key, as first loaded."""
     src = _sources(spark, sf_dir)
     root = new_warehouse_root(spark)
-    for feed in (src.feed(before=dt.date(1998, 1, 1)), src.feed(), src.feed()):
-        star = load_warehouse(spark, root, feed, src.customers(), src.products(), src.suppliers())
+    feed = normalise_feed(src.feed())
+    moved = feed.withColumn("order_date", F.date_add("order_date", 400)).withColumn("time_id", time_id_of("order_date"))
+    for rows in (feed.unionAll(feed), moved):
+        star = load_warehouse(spark, root, rows, src.customers(), src.products(), src.suppliers())
     return _money_to_double(star.fact.select(*FACT_COLUMNS))
 
 
+def _loaded_dim_query(name: str) -> Query:
+    """A dimension after a load of half the feed, of all of it, and again."""
+    attr = name.removeprefix("dim_")
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        star = _once(spark, sf_dir, "three-loads", lambda: _load_three_times(spark, sf_dir))
+        return _money_to_double(getattr(star, attr))
+
+    run.__name__ = f"load_{name}"
+    return run
+
+
 # ---------------------------------------------------------- data quality
 
 def q_dq_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,6 +293,33 @@ def q_dq_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+def q_dq_wh_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 on the six tables of the month-grain warehouse: the time id of a
+    month holds many days and an order many facts; the other keys are unique."""
+    star = month_warehouse(spark, sf_dir)
+    return key_report({
+        "dim_customer": (star.customer, "customer_id"), "dim_product": (star.product, "product_id"),
+        "dim_store": (star.store, "store_id"), "dim_supplier": (star.supplier, "supplier_id"),
+        "dim_time": (star.time, "time_id"), "sales": (star.fact, "order_id"),
+    })
+
+
+def q_dq_wh_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 on all five references of the facts, against the dimensions of a
+    warehouse that holds the orders before 1998 only."""
+    fact, half = loaded_warehouse(spark, sf_dir).fact, half_warehouse(spark, sf_dir)
+    return orphan_report(fact, [
+        ("customer_id", half.customer, "customer_id"), ("product_id", half.product, "product_id"),
+        ("store_id", half.store, "store_id"), ("supplier_id", half.supplier, "supplier_id"),
+        ("time_id", half.time, "time_id"),
+    ])
+
+
+def q_dq_time_fanout_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4 on month-grain time ids."""
+    return dependency_violations(time_members(month_feed(spark, sf_dir)), "time_id", "order_date")
+
+
 def q_dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NULL counts of the feed's key and measure columns."""
     feed = normalise_feed(_sources(spark, sf_dir).feed())
@@ -260,48 +341,98 @@ def q_dq_dim_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------- streaming
 
-def _stream(spark: SparkSession, sf_dir: str, dimensions: tuple[str, ...]) -> str:
-    src = _sources(spark, sf_dir)
+def _stream(spark: SparkSession, sf_dir: str, restricted: bool) -> str:
+    src = _sources(spark, sf_dir, restricted=restricted)
+    feed = normalise_feed(src.feed())
     landing = shared_scratch_dir(spark, "feed-landing")
-    stage_feed_files(normalise_feed(src.feed()), landing, n_files=4)
+    stage_feed_files(feed, landing)
     out_root = shared_scratch_dir(spark, "stream-warehouse")
-    stream = feed_stream(spark, landing, normalise_feed(src.feed()).schema, files_per_batch=1)
     query = start_enrichment(
-        spark, stream, src.customers(), src.products(), src.suppliers(), out_root,
-        checkpoint=f"{out_root}/_checkpoint", dimensions=dimensions)
+        spark, feed_stream(spark, landing, feed.schema), src.customers(), src.products(), src.suppliers(),
+        out_root, checkpoint=f"{out_root}/_checkpoint")
     run_to_completion(query)
     return out_root
 
 
+def _streamed(spark: SparkSession, sf_dir: str, name: str, restricted: bool = False) -> DataFrame:
+    """A table of the warehouse that the stream has loaded."""
+    root = _once(spark, sf_dir, f"stream-{restricted}", lambda: _stream(spark, sf_dir, restricted))
+    return spark.read.parquet(f"{root}/{name}")
+
+
 def q_stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1-ST3: the feed enriched as a file stream, facts read back."""
-    out_root = _stream(spark, sf_dir, ())
-    return _money_to_double(spark.read.parquet(f"{out_root}/sales").select(*FACT_COLUMNS))
+    return _money_to_double(_streamed(spark, sf_dir, "sales").select(*FACT_COLUMNS))
+
 
+def q_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5 in the stream: with the reduced catalogues, every feed row that has no fact."""
+    rejects = _streamed(spark, sf_dir, "rejects", restricted=True)
+    return rejects.withColumnRenamed("source_time_id", "time_id").drop("batch_id", "bad_amount")
 
-def q_stream_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST4: the product dimension grown batch by batch."""
-    out_root = _stream(spark, sf_dir, ("dim_product",))
-    key, attrs = DIMENSIONS["dim_product"]
-    return _money_to_double(spark.read.parquet(f"{out_root}/dim_product").select(key, *attrs))
+
+def q_stream_dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST4, E11: the time dimension grown batch by batch."""
+    return _streamed(spark, sf_dir, "dim_time").drop("batch_id")
+
+
+def _stream_dim_query(name: str) -> Query:
+    """ST4: a dimension grown batch by batch."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _money_to_double(_streamed(spark, sf_dir, name).drop("batch_id"))
+    run.__name__ = f"stream_{name}"
+    return run
 
 
 # ------------------------------------------------- reports on the warehouse
 
-# one loaded warehouse per (session, scale) and process: a written table in
-# the shared checkpoint folder that the warehouse reports below all read
-_LOADED: dict[tuple[int, str], str] = {}
+HALF = dt.date(1998, 1, 1)
+
+# what is loaded once per application and scale: written tables in the shared
+# checkpoint folder that several queries below read
+_LOADED: dict[tuple[str, str, str], object] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, what: str, load: Callable[[], object]):
+    key = (app_id(spark), sf_dir, what)
+    if key not in _LOADED:
+        _LOADED[key] = load()
+    return _LOADED[key]
+
+
+def _warehouse(spark: SparkSession, sf_dir: str, what: str, feed: Callable[[], DataFrame]) -> WarehouseStar:
+    src = _sources(spark, sf_dir)
+    return _once(spark, sf_dir, what, lambda: load_warehouse(
+        spark, new_warehouse_root(spark), feed(), src.customers(), src.products(), src.suppliers()))
 
 
 def loaded_warehouse(spark: SparkSession, sf_dir: str) -> WarehouseStar:
-    key = (id(spark), sf_dir)
-    root = _LOADED.get(key)
-    if root is None:
+    return _warehouse(spark, sf_dir, "warehouse", lambda: _sources(spark, sf_dir).feed())
+
+
+def half_warehouse(spark: SparkSession, sf_dir: str) -> WarehouseStar:
+    return _warehouse(spark, sf_dir, "half", lambda: _sources(spark, sf_dir).feed(before=HALF))
+
+
+def month_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with one time id for each month, so an id has many dates."""
+    feed = normalise_feed(_sources(spark, sf_dir).feed())
+    return feed.withColumn("time_id", (F.year("order_date") * 100 + F.month("order_date")).cast("int"))
+
+
+def month_warehouse(spark: SparkSession, sf_dir: str) -> WarehouseStar:
+    return _warehouse(spark, sf_dir, "month", lambda: month_feed(spark, sf_dir))
+
+
+def _month_report(fn, loaded: bool) -> Query:
+    """A report where the join to the time dimension multiplies facts."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if loaded:
+            return fn(month_warehouse(spark, sf_dir))
         src = _sources(spark, sf_dir)
-        root = new_warehouse_root(spark)
-        load_warehouse(spark, root, src.feed(), src.customers(), src.products(), src.suppliers())
-        _LOADED[key] = root
-    return WarehouseStar.read(spark, root)
+        return fn(FeedStar(month_feed(spark, sf_dir), src.customers(), src.products(), src.suppliers()))
+    run.__name__ = f"month_{fn.__name__}"
+    return run
 
 
 def _warehouse_report(fn, **kw) -> Query:
@@ -324,16 +455,19 @@ def _wh_q10_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def warehouse_queries() -> dict[str, Query]:
-    """Reports over the loaded star schema: fact joined to the time
-    dimension on time_id (as specified), year filters pruning the fact's
-    year partitions."""
-    return {
-        "wh_q1_top_products_daytype": _warehouse_report(R.q1_top_products_daytype),
-        "wh_q5_volatility": _warehouse_report(R.q5_volatility),
-        "wh_q7_rollup": _warehouse_report(R.q7_rollup),
-        "wh_q3_store_supplier_product": _warehouse_report(R.q3_store_supplier_product),
+    """All reports over the loaded star schema: the fact joined to the
+    dimensions a report needs, no fact shuffle but the report's own."""
+    found = {f"wh_{name}": _warehouse_report(fn) for name, fn in (
+        *((n, getattr(R, n)) for n in report_queries() if n != "q10_store_quarter_view"),
+        *((n, getattr(V, n)) for n in variant_queries()),
+    )}
+    return found | {
         "wh_q10_store_quarter_view": _wh_q10,
         "wh_q10_materialized": _wh_q10_materialized,
+        "month_q2_feed": _month_report(R.q2_store_quarter_revenue, loaded=False),
+        "month_q2_wh": _month_report(R.q2_store_quarter_revenue, loaded=True),
+        "month_q5_feed": _month_report(R.q5_volatility, loaded=False),
+        "month_q5_wh": _month_report(R.q5_volatility, loaded=True),
     }
 
 
@@ -344,7 +478,9 @@ def load_queries() -> dict[str, Query]:
         "csv_load": q_csv_load,
         "csv_products": q_csv_products,
         "csv_customers": q_csv_customers,
+        "csv_enrich_products": q_csv_enrich_products,
         "src_dedup": q_src_dedup,
+        "enrich_all": q_enrich_all,
         "enrich_sales": q_enrich_sales,
         "enrich_rejects": q_enrich_rejects,
         "dim_customer": _dim_query("dim_customer"),
@@ -353,14 +489,22 @@ def load_queries() -> dict[str, Query]:
         "dim_supplier": _dim_query("dim_supplier"),
         "dim_time": q_dim_time,
         "load_sales": q_load_sales,
+        "load_doubled": q_load_doubled,
+        **{f"load_{n}": _loaded_dim_query(n) for n in (*DIMENSIONS, "dim_time")},
         "dq_pk": q_dq_pk,
         "dq_pk_masters": q_dq_pk_masters,
+        "dq_wh_pk": q_dq_wh_pk,
         "dq_fk": q_dq_fk,
+        "dq_wh_fk": q_dq_wh_fk,
         "dq_not_null": q_dq_not_null,
         "dq_time_fanout": q_dq_time_fanout,
+        "dq_time_fanout_month": q_dq_time_fanout_month,
         "dq_dim_conflicts": q_dq_dim_conflicts,
         "stream_enrich": q_stream_enrich,
-        "stream_dims": q_stream_dims,
+        "stream_rejects": q_stream_rejects,
+        "stream_dims": _stream_dim_query("dim_product"),
+        **{f"stream_{n}": _stream_dim_query(n) for n in DIMENSIONS if n != "dim_product"},
+        "stream_dim_time": q_stream_dim_time,
     }
 
 

@@ -9,8 +9,9 @@ One load is:
 2. append rejects, dimension members (insert-if-absent, first wins), new
    time days and new facts, each a set-based job over the staged table.
 
-Dimensions are written before facts.  Every step is idempotent: running
-the same load again, or an overlapping one, adds no row twice.
+A load stops before it writes when a master repeats a key.  Dimensions are
+written before facts.  Every step is idempotent: running the same load again,
+or an overlapping one, adds no row twice; equal rows within one load are one.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.operators.dims import DIMENSIONS, dimension_members, time_members
-from tidemart.operators.enrich import enrich_flagged
+from tidemart.operators.enrich import enrich_flagged, require_unique_masters
 from tidemart.operators.facts import (
     append_facts,
     append_members,
@@ -31,13 +32,14 @@ from tidemart.operators.facts import (
     read_if_exists,
     read_or_empty,
 )
+from tidemart.operators.quality import one_per_key
 from tidemart.plans.star import WarehouseStar
 from tidemart.schemas import FACT_KEY
 from tidemart.session import shared_scratch_dir
 
 REJECT_COLUMNS = (
     "order_id", "line_no", "order_date", "product_id", "supplier_id", "quantity",
-    "customer_id", "source_time_id", "missing_customer", "missing_product", "missing_supplier",
+    "customer_id", "source_time_id", "missing_customer", "missing_product", "missing_supplier", "bad_amount",
 )
 
 
@@ -52,6 +54,7 @@ def load_warehouse(spark: SparkSession, root: str, feed: DataFrame, customers: D
                    products: DataFrame, suppliers: DataFrame | None = None,
                    fact_key: Sequence[str] = FACT_KEY) -> WarehouseStar:
     root = root.rstrip("/")
+    require_unique_masters(customers, products, suppliers)
     staged = stage_enriched(spark, feed, customers, products, suppliers)
     matched = staged.where(F.col("matched"))
     schemas = {"sales": fact_rows(matched).schema}
@@ -60,7 +63,8 @@ def load_warehouse(spark: SparkSession, root: str, feed: DataFrame, customers: D
 
     def rejects_job() -> None:
         path = f"{root}/rejects"
-        append_members(spark, new_rows(rejects, read_if_exists(spark, path, rejects.schema), fact_key), path)
+        existing = read_if_exists(spark, path, rejects.schema)
+        append_members(spark, new_rows(one_per_key(rejects, fact_key), existing, fact_key), path)
 
     def dimension_job(name: str, key: str, attrs) -> Callable[[], None]:
         attrs_here = [a for a in attrs if a in matched.columns]

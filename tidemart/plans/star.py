@@ -2,34 +2,32 @@
 
 Reports ask a star for ``sales(year=..., dims=...)``: fact rows with the
 attributes of the requested dimensions.  Both implementations return the
-same columns, so every report is written once.
+same columns and the same rows, so every report is written once.  In both,
+time attributes come from the time dimension joined on ``time_id``: an id
+with several dates multiplies its facts, and a fact whose id has no date
+drops out, as the reports are specified.
 
 * :class:`WarehouseStar` - loaded warehouse tables (fact + dims).  Joins the
-  fact to exactly the dimensions a report needs (time on ``time_id``, as
-  the reports are specified; the time dimension is tiny and calendar-bound,
-  so the size-checked broadcast applies), year filters go to the time
-  dimension and, through the fact's ``year`` partition column, prune files.
-  The pruning assumes a fact's time id and its order date fall in the same
-  year - true for per-day time ids; ``dq_time_fanout`` lists the ids for
-  which it could fail.
+  fact to exactly the dimensions a report needs.  A year filter goes to the
+  time dimension only; the join is on ``time_id`` and the storage bucket
+  derived from it, so Spark prunes the fact's partitions at run time, and
+  exactly.
 * :class:`FeedStar` - the star computed straight from the sources: the
-  enrichment join already carries product/supplier/store attributes, and
-  time attributes are pure functions of the order date, so no dimension is
-  joined a second time.  A year filter becomes a date range on the orders
-  scan (parquet pushdown).  Rows without a date drop out, exactly as the
-  inner join to a time dimension built from non-NULL dates drops them.
+  enrichment join already carries product/supplier/store attributes; the
+  time dimension is built from the feed's own (time_id, date) pairs.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.dates import day_type, time_attributes
-from tidemart.operators.enrich import enrich
+from tidemart.functions.dates import day_type
+from tidemart.operators.dims import time_members
+from tidemart.operators.enrich import enrich, normalise_feed
+from tidemart.operators.facts import TIME_BUCKET, time_bucket
 from tidemart.schemas import DIM_TIME
 
 TIME = "time"
@@ -39,50 +37,35 @@ SUPPLIER = "supplier"
 ALL_DIMS = (TIME, PRODUCT, STORE, SUPPLIER)
 
 
-def _with_time(df: DataFrame, date_col: str = "order_date") -> DataFrame:
-    attrs = time_attributes(date_col)
-    return df.select(
-        "*",
-        attrs["day"].alias("day"), attrs["week"].alias("week"),
-        attrs["month"].alias("month"), attrs["year"].alias("year"),
-        attrs["quarter"].alias("quarter"),
-        day_type(date_col).alias("day_type"),
-    )
+def _with_time(rows: DataFrame, days: DataFrame, year: int | None, on: list[str]) -> DataFrame:
+    """Rows joined to the time dimension (its date is the report's date)."""
+    if year is not None:
+        days = days.where(F.col("year") == F.lit(year))
+    return rows.drop("order_date").join(days, on, "inner").withColumn("day_type", day_type("order_date"))
 
 
 class FeedStar:
-    def __init__(self, feed: Callable[..., DataFrame], customers: DataFrame,
-                 products: DataFrame, suppliers: DataFrame | None = None):
-        """``feed(year=None)`` returns the transaction feed, restricted to one
-        year when asked (so the source can push the range down)."""
-        self._feed = feed
+    def __init__(self, feed: DataFrame, customers: DataFrame, products: DataFrame,
+                 suppliers: DataFrame | None = None):
+        self.feed = normalise_feed(feed)
         self.customers = customers
         self.products = products
         self.suppliers = suppliers
 
     @classmethod
     def from_fixtures(cls, sources) -> "FeedStar":
-        return cls(sources.feed, sources.customers(), sources.products(), sources.suppliers())
+        return cls(sources.feed(), sources.customers(), sources.products(), sources.suppliers())
 
     @classmethod
     def from_frames(cls, feed: DataFrame, customers: DataFrame, products: DataFrame,
                     suppliers: DataFrame | None = None) -> "FeedStar":
-        """A star over an in-hand feed; a year becomes a date-range filter
-        (pushed into the scan when the feed is a file source)."""
-        def feed_for(year: int | None = None) -> DataFrame:
-            if year is None:
-                return feed
-            lo, hi = _dt.date(year, 1, 1), _dt.date(year + 1, 1, 1)
-            return feed.where((F.col("order_date") >= F.lit(lo)) & (F.col("order_date") < F.lit(hi)))
-        return cls(feed_for, customers, products, suppliers)
+        """A star over an in-hand feed."""
+        return cls(feed, customers, products, suppliers)
 
     def sales(self, year: int | None = None, dims: Iterable[str] = ALL_DIMS) -> DataFrame:
-        rows = enrich(self._feed(year=year), self.customers, self.products, self.suppliers)
-        dims = set(dims)
-        if TIME in dims or year is not None:
-            rows = _with_time(rows.where(F.col("order_date").isNotNull()))
-            if year is not None:
-                rows = rows.where(F.col("year") == F.lit(year))
+        rows = enrich(self.feed, self.customers, self.products, self.suppliers)
+        if TIME in set(dims) or year is not None:
+            rows = _with_time(rows, time_members(self.feed), year, ["time_id"])
         return rows
 
 
@@ -98,6 +81,7 @@ class WarehouseStar:
 
     @classmethod
     def read(cls, spark, root: str) -> "WarehouseStar":
+        """The star of a loaded warehouse (every table holds rows)."""
         r = root.rstrip("/")
         return cls(
             fact=spark.read.parquet(f"{r}/sales"),
@@ -111,15 +95,10 @@ class WarehouseStar:
     def sales(self, year: int | None = None, dims: Iterable[str] = ALL_DIMS) -> DataFrame:
         dims = set(dims)
         fact = self.fact
-        if "year" in fact.columns:  # storage partition column, not a fact attribute
-            if year is not None:
-                fact = fact.where(F.col("year") == F.lit(year))  # partition pruning
-            fact = fact.drop("year")
         if TIME in dims or year is not None:
-            t = self.time.select(*DIM_TIME)
-            if year is not None:
-                t = t.where(F.col("year") == F.lit(year))
-            fact = fact.join(t, "time_id", "inner").withColumn("day_type", day_type("order_date"))
+            days = self.time.select(*DIM_TIME).withColumn(TIME_BUCKET, time_bucket())
+            fact = _with_time(fact, days, year, ["time_id", TIME_BUCKET])
+        fact = fact.drop(TIME_BUCKET)  # storage only, no fact attribute
         if PRODUCT in dims:
             fact = fact.join(self.product.drop("product_price"), "product_id", "inner")
         if STORE in dims:

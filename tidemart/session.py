@@ -2,12 +2,14 @@
 
 Scratch output (staged feeds, loaded warehouse tables, stream checkpoints)
 always goes below the cluster's shared ``spark.checkpoint.dir`` so that it
-survives the loss of an executor and is visible to every node.  A private
-folder is only created when the session has none configured (local tests).
+survives the loss of an executor and is visible to every node.  A session on a
+cluster without that setting is an error; only a single-machine ``local``
+session gets a folder of its own.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,6 +41,7 @@ def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     driver_memory: str | None = None,
+    checkpoint_dir: str | None = None,
     extra: dict | None = None,
 ) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -49,6 +52,8 @@ def build_session(
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if driver_memory:
         conf["spark.driver.memory"] = driver_memory
+    if checkpoint_dir:
+        conf["spark.checkpoint.dir"] = checkpoint_dir
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -57,87 +62,38 @@ def build_session(
     return spark
 
 
-_APPLIED: set[int] = set()
+def app_id(spark: SparkSession) -> str:
+    """What caches of plans and loaded tables are keyed by: a new application
+    (or a restarted one) never sees another one's entries."""
+    return spark.sparkContext.applicationId
 
 
-def apply_sql_defaults(spark: SparkSession) -> None:
-    """Set the SQL-level defaults on an already running session (once)."""
-    if id(spark) in _APPLIED:
-        return
-    _APPLIED.add(id(spark))
-    for key, value in SESSION_DEFAULTS.items():
-        if key.startswith("spark.sql."):
-            try:
-                spark.conf.set(key, value)
-            except Exception:  # static confs cannot change at runtime
-                pass
-
-
-def _checkpoint_dir(spark: SparkSession) -> str | None:
-    try:
-        current = spark.sparkContext.getCheckpointDir()
-        if current:
-            return current
-        return spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    except Exception:
-        try:
-            return spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:
-            return None
-
-
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a private one only when none is set."""
-    root = _checkpoint_dir(spark)
-    if root:
-        return root.rstrip("/")
-    local = tempfile.mkdtemp(prefix="tidemart-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return (spark.sparkContext.getCheckpointDir() or local).rstrip("/")
-
-
-def shared_scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused folder below the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/tidemart/{label}-{uuid.uuid4().hex}"
-
-
-_APPLIED: set[int] = set()
+_APPLIED: set[str] = set()
 
 
 def apply_sql_defaults(spark: SparkSession) -> None:
-    """Set the SQL-level defaults on an already running session (once)."""
-    if id(spark) in _APPLIED:
+    """Set the SQL-level defaults that the caller left unset (once)."""
+    if app_id(spark) in _APPLIED:
         return
-    _APPLIED.add(id(spark))
+    _APPLIED.add(app_id(spark))
+    chosen = spark._jsparkSession.sessionState().conf().settings()
     for key, value in SESSION_DEFAULTS.items():
-        if key.startswith("spark.sql."):
-            try:
-                spark.conf.set(key, value)
-            except Exception:  # static confs cannot change at runtime
-                pass
-
-
-def _checkpoint_dir(spark: SparkSession) -> str | None:
-    try:
-        current = spark.sparkContext.getCheckpointDir()
-        if current:
-            return current
-        return spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    except Exception:
-        try:
-            return spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:
-            return None
+        if key.startswith("spark.sql.") and not chosen.containsKey(key) and spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a private one only when none is set."""
-    root = _checkpoint_dir(spark)
-    if root:
-        return root.rstrip("/")
-    local = tempfile.mkdtemp(prefix="tidemart-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return (spark.sparkContext.getCheckpointDir() or local).rstrip("/")
+    """The shared checkpoint folder of the session."""
+    sc = spark.sparkContext
+    root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if root is None:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemart-ckpt-"))
+        root = sc.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def shared_scratch_dir(spark: SparkSession, label: str) -> str:
@@ -145,15 +101,6 @@ def shared_scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/tidemart/{label}-{uuid.uuid4().hex}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that needs a plain path (tests)."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.normpath(path)
-
-
 def materialize(df, label: str = "materialized"):
     """Cut the lineage of a DataFrame that several branches of one plan read:
     write it once as a parquet table in a fresh folder below the shared

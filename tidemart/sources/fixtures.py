@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.dates import time_id_of, to_order_date
 from tidemart.schemas import MONEY
+from tidemart.session import app_id
 
 
 _SCHEMAS: dict[str, object] = {}
@@ -140,13 +141,6 @@ def supplier_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PLANS: dict[tuple, DataFrame] = {}
 
 
-def _app_id(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001
-        return str(id(spark))
-
-
 class FixtureSources:
     """The three masters and the feed of one ``sf_dir``.
 
@@ -161,7 +155,7 @@ class FixtureSources:
         self.restricted = restricted
 
     def _plan(self, kind: str, build, *args) -> DataFrame:
-        key = (_app_id(self.spark), self.sf_dir, kind, args)
+        key = (app_id(self.spark), self.sf_dir, kind, args)
         df = _PLANS.get(key)
         if df is None:
             df = build()

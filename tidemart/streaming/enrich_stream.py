@@ -1,52 +1,51 @@
 """Streaming enrichment: feed files -> micro-batches -> star tables.
 
-* ST1 segmentation: the file source cuts the feed into micro-batches of
-  ``files_per_batch`` files (``maxFilesPerTrigger``) - the batch size knob;
-  landing files of at most N rows (``maxRecordsPerFile``) gives fixed-size
-  segments of N rows.
-* ST2 enrichment: a stream-static inner join against the master tables,
-  declared on the streaming DataFrame itself (no state is kept).
-* ST3 commit: ``foreachBatch`` overwrites the partition ``batch_id=N`` of
-  the fact table (dynamic partition overwrite), so a micro-batch replayed
-  after a failure replaces its own output instead of duplicating it; the
-  checkpoint makes a restart resume after the last committed batch.
-* ST4 dimensions: new members of a dimension are computed per batch
-  against the members of *earlier* batches only (``batch_id < N``) and
-  written to ``batch_id=N`` - replay-safe for the same reason.
-
-Streaming ``dropDuplicates`` is not used: without a watermark its state
-would grow forever.
+* ST1 segmentation: feed files hold at most ``rows_per_segment`` rows
+  (``maxRecordsPerFile``) and a micro-batch takes ``files_per_batch`` of them
+  (``maxFilesPerTrigger``), so a batch has a fixed size and the number of
+  batches grows with the feed.
+* ST2 enrichment: stream-static left joins against the master tables with
+  match flags, declared on the streaming DataFrame itself (no state is kept).
+  No feed row is lost: unmatched ones go to the rejects.
+* ST3 commit: ``foreachBatch`` overwrites the partitions ``batch_id=N`` of every
+  table (dynamic partition overwrite), so a micro-batch replayed after a
+  failure replaces its own output instead of duplicating it; the checkpoint
+  makes a restart resume after the last committed batch.
+* ST4 dimensions: the new members of the four dimensions (from matched rows)
+  and of the time dimension (from all rows) are computed per batch against the
+  members of *earlier* batches only (``batch_id < N``) and written to
+  ``batch_id=N`` - replay-safe for the same reason.
+
+Facts are partitioned by time bucket and batch, so reports prune them as in a
+batch-loaded warehouse.  Streaming ``dropDuplicates`` is not used: without a
+watermark its state would grow forever.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemart.operators.dims import DIMENSIONS, dimension_members
-from tidemart.operators.enrich import enrich
-from tidemart.operators.joins import max_broadcast_rows
-from tidemart.schemas import FACT_COLUMNS, FACT_KEY
+from tidemart.operators.dims import DIMENSIONS, dimension_members, time_members
+from tidemart.operators.enrich import enrich_flagged, require_unique_masters
+from tidemart.operators.facts import TIME_BUCKET, fact_rows, read_if_exists
+from tidemart.plans.load import REJECT_COLUMNS, run_concurrently
+from tidemart.schemas import FACT_KEY
 
+ROWS_PER_SEGMENT = 20_000
+FILES_PER_BATCH = 2
 
-def stage_feed_files(feed: DataFrame, landing: str, n_files: int,
-                     rows_per_segment: int | None = None) -> None:
-    """Land a batch feed as parquet files cut by order-id range (each file
-    is a contiguous run of orders, like arriving segments).
 
-    ``rows_per_segment`` caps every file at that many rows, so a stream
-    reading one file per trigger sees fixed-size segments of at most that
-    many rows (the last one shorter)."""
-    writer = feed.repartitionByRange(n_files, "order_id", "line_no").write.mode("overwrite")
-    if rows_per_segment:
-        writer = writer.option("maxRecordsPerFile", rows_per_segment)
-    writer.parquet(landing)
+def stage_feed_files(feed: DataFrame, landing: str, rows_per_segment: int = ROWS_PER_SEGMENT) -> None:
+    """Land a batch feed as parquet files of at most ``rows_per_segment`` rows:
+    a stream that reads one file per trigger sees segments of that size (the
+    last one of each writing task shorter)."""
+    feed.write.mode("overwrite").option("maxRecordsPerFile", rows_per_segment).parquet(landing)
 
 
-def feed_stream(spark: SparkSession, landing: str, schema, files_per_batch: int = 1) -> DataFrame:
+def feed_stream(spark: SparkSession, landing: str, schema, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     return (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
@@ -56,59 +55,63 @@ def feed_stream(spark: SparkSession, landing: str, schema, files_per_batch: int
 
 def _existing_before(spark: SparkSession, path: str, batch_id: int, schema) -> DataFrame | None:
     """Members written by earlier batches (partition pruning on batch_id)."""
-    try:
-        full = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.IntegerType())])
-        return spark.read.schema(full).parquet(path).where(F.col("batch_id") < F.lit(batch_id)).drop("batch_id")
-    except AnalysisException:
-        return None
+    full = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.IntegerType())])
+    stored = read_if_exists(spark, path, full)
+    return None if stored is None else stored.where(F.col("batch_id") < F.lit(batch_id)).drop("batch_id")
 
 
-def _overwrite_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def _overwrite_batch(df: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
     (df.withColumn("batch_id", F.lit(batch_id))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
+     .partitionBy(*partitions, "batch_id").parquet(path))
 
 
-def commit_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out_root: str,
-                 dimensions: tuple[str, ...] = ()) -> None:
-    """Write one enriched micro-batch: dimension members first (against the
-    members of earlier batches), then the facts; each into ``batch_id=N``,
-    overwritten on replay."""
+def commit_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out_root: str) -> None:
+    """Write one flagged micro-batch: rejects, the time dimension and the four
+    dimensions (against the members of earlier batches), then the facts; each
+    into ``batch_id=N``, overwritten on replay."""
     out_root = out_root.rstrip("/")
-    reused = bool(dimensions)   # the batch feeds several writes only with dimensions
-    small = False
-    if reused:
-        batch.persist()
-        # materializes the cache and proves the bound on new member keys
-        small = batch.count() <= max_broadcast_rows(batch)
+    batch.persist()  # feeds every write below
     try:
-        for name in dimensions:
+        matched = batch.where("matched")
+
+        def rejects() -> None:
+            _overwrite_batch(batch.where("not matched").select(*REJECT_COLUMNS), f"{out_root}/rejects", batch_id)
+
+        def days() -> None:
+            source = batch.select("order_date", F.col("source_time_id").alias("time_id"))
+            path = f"{out_root}/dim_time"
+            existing = _existing_before(spark, path, batch_id, time_members(source).schema)
+            _overwrite_batch(time_members(source, existing), path, batch_id)
+
+        def dimension(name: str) -> None:
             key, attrs = DIMENSIONS[name]
             path = f"{out_root}/{name}"
             present = [a for a in attrs if a in batch.columns]
-            schema = batch.select(key, *present).schema
-            members = dimension_members(batch, key, attrs, _existing_before(spark, path, batch_id, schema),
-                                        FACT_KEY, small_batch=small)
-            _overwrite_batch(members, path, batch_id)
-        _overwrite_batch(batch.select(*FACT_COLUMNS), f"{out_root}/sales", batch_id)
+            existing = _existing_before(spark, path, batch_id, batch.select(key, *present).schema)
+            _overwrite_batch(dimension_members(matched, key, attrs, existing, FACT_KEY), path, batch_id)
+
+        batch.count()  # fills the cache once, before several jobs read it
+        run_concurrently([rejects, days, *(lambda n=n: dimension(n) for n in DIMENSIONS)], max_workers=6)
+        _overwrite_batch(fact_rows(matched), f"{out_root}/sales", batch_id, TIME_BUCKET)
     finally:
-        if reused:
-            batch.unpersist()
+        batch.unpersist()
 
 
 def start_enrichment(spark: SparkSession, stream: DataFrame, customers: DataFrame,
                      products: DataFrame, suppliers: DataFrame | None, out_root: str,
-                     checkpoint: str, dimensions: tuple[str, ...] = (),
-                     available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Start the enrichment stream; facts go to ``out_root/sales`` and the
-    requested dimensions to ``out_root/<dim>``, all partitioned by batch."""
+                     checkpoint: str, available_now: bool = True,
+                     processing_time: str | None = None) -> StreamingQuery:
+    """Start the enrichment stream: ``sales``, ``rejects``, ``dim_*`` and
+    ``dim_time`` below ``out_root``, all partitioned by batch."""
     out_root = out_root.rstrip("/")
-    enriched = enrich(stream, customers, products, suppliers)
+    require_unique_masters(customers, products, suppliers)
+    flagged = enrich_flagged(stream, customers, products, suppliers)
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        commit_batch(spark, batch, batch_id, out_root, dimensions)
+        commit_batch(batch.sparkSession, batch, batch_id, out_root)
 
-    writer = enriched.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
+    writer = flagged.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
     elif available_now:
@@ -116,10 +119,12 @@ def start_enrichment(spark: SparkSession, stream: DataFrame, customers: DataFram
     return writer.start()
 
 
-def run_to_completion(query: StreamingQuery, timeout_s: float = 600.0) -> None:
-    query.awaitTermination(timeout_s)
-    if query.isActive:
+def run_to_completion(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for the end of a stream; without a time limit unless one is asked for."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
-        raise TimeoutError("stream did not finish in time")
+        raise TimeoutError(f"the stream did not end within {timeout_s} s")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
