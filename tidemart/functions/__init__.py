@@ -1,6 +1,5 @@
 from tidemart.functions.dates import (
     day_type,
-    half_of_year,
     month_index,
     quarter_of,
     season_of_month,
@@ -19,7 +18,7 @@ from tidemart.functions.measures import (
 )
 
 __all__ = [
-    "as_double", "day_type", "half_of_year", "month_index", "parse_price",
+    "as_double", "day_type", "month_index", "parse_price",
     "percent_change", "quarter_of", "ratio", "sales_amount",
     "season_of_month", "time_attributes", "time_id_of", "to_order_date",
     "week_monday_first", "zero_if_null",

@@ -68,11 +68,6 @@ def season_of_month(month_col) -> Column:
     return expr.otherwise(F.lit(DEFAULT_SEASON))
 
 
-def half_of_year(month_col) -> Column:
-    m = _c(month_col)
-    return F.when(m.between(1, 6), 1).when(m.between(7, 12), 2)
-
-
 def month_index(year_col, month_col) -> Column:
     """Months since year 0: consecutive calendar months differ by one."""
     return _c(year_col) * 12 + _c(month_col) - 1

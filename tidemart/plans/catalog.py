@@ -508,6 +508,18 @@ def load_queries() -> dict[str, Query]:
     }
 
 
+def shared_loads() -> list[tuple[str, tuple[str, ...], Callable[[SparkSession, str], object]]]:
+    """(name, prefixes of the queries that read it, load): what is loaded once and shared."""
+    return [
+        ("warehouse", ("wh_", "dq_wh_fk"), loaded_warehouse),
+        ("half_warehouse", ("dq_wh_fk",), half_warehouse),
+        ("month_warehouse", ("month_", "dq_wh_pk"), month_warehouse),
+        ("three_loads", ("load_dim_",), lambda spark, d: _once(spark, d, "three-loads", lambda: _load_three_times(spark, d))),
+        ("stream", ("stream_",), lambda spark, d: _once(spark, d, "stream-False", lambda: _stream(spark, d, False))),
+        ("stream_restricted", ("stream_rejects",), lambda spark, d: _once(spark, d, "stream-True", lambda: _stream(spark, d, True))),
+    ]
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(report_queries())

@@ -144,10 +144,10 @@ def register_region_store_view(spark: SparkSession, star, name: str = REGION_STO
 
 
 def refresh_region_store_table(star, path: str) -> None:
-    """The materialized form of the quarterly view: rewritten in full after
-    each load (a stale copy is never read because every refresh replaces
-    the whole table in one committed write)."""
-    region_store_quarterly(star).write.mode("overwrite").parquet(path)
+    """The materialized form of the quarterly view, written in full after each
+    load.  ``path`` is a fresh folder: an overwrite would delete the old copy
+    before the new one is complete, so readers are switched to the new path."""
+    region_store_quarterly(star).write.parquet(path)
 
 
 def q10_store_quarter_view(spark: SparkSession, star) -> DataFrame:

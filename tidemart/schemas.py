@@ -40,7 +40,7 @@ CUSTOMERS_CSV = T.StructType([
 ])
 
 # The enrichment input: the CSV layout plus the order line number and the
-# line's supplier (both optional; see sources.feeds.normalise_feed).
+# line's supplier (both optional; see operators.enrich.normalise_feed).
 FEED_COLUMNS = (
     "order_id", "line_no", "order_date", "product_id", "supplier_id",
     "quantity", "customer_id", "time_id",

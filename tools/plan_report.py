@@ -14,6 +14,7 @@ import argparse
 import os
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -51,7 +52,7 @@ def main() -> int:
     from tidemart.session import build_session
     import __spark_entry__ as E
 
-    spark = build_session(master="local[8]", shuffle_partitions=16, driver_memory="16g")
+    spark = build_session(master="local[8]", shuffle_partitions=16, driver_memory="16g", checkpoint_dir=tempfile.mkdtemp(prefix="tidemart-tool-"))
     qs = E.queries()
     names = args.names or list(qs)
     print(f"# Executed plans at `{args.sf_dir}` (local[8], AQE final plans)\n")
