@@ -55,9 +55,10 @@ def train(samples: list[bytes], size: int = DICT_BYTES) -> bytes:
 
 def sample(pages: DataFrame, html_col: str = "html") -> list[bytes]:
     """Bounded sample for ``train``: beginnings of the pages with the smallest hashes of their id."""
+    chosen = pages.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(TRAIN_RECORDS)
     read = pages.select("page_id", F.substring(html_col, 1, TRAIN_BYTES).alias("html")).where("html <> ''")
-    rows = read.orderBy(F.xxhash64(F.col("page_id")), "page_id").limit(TRAIN_RECORDS).collect()
-    return [r["html"].encode() for r in rows]
+    rows = read.join(F.broadcast(chosen), "page_id").select("html").distinct().limit(TRAIN_RECORDS).collect()
+    return sorted(r["html"].encode() for r in rows)
 
 
 def digest(payload: bytes) -> str:
