@@ -7,9 +7,9 @@ items never multiply the join input.
 
 Skew: one basket may hold a huge share of all lines.  Baskets wider than
 ``cell_items`` distinct items are cut into s = ceil(width / cell_items)
-hash cells per side and their pairs are produced in s x s independent join
-cells (each line is copied s times per side), so no task ever holds the
-whole basket.  Small baskets keep s = 1: a plain self-join.  The pair
+hash cells and their pairs are produced in s x (s + 1) / 2 independent pairs of
+cells (each line is copied about s / 2 times per side), so no task ever holds
+the whole basket.  Small baskets keep s = 1: a plain self-join.  The pair
 output is the query's definition; it is folded with map-side partial
 aggregation before the final shuffle.
 
@@ -46,15 +46,19 @@ def pair_frequencies(lines: DataFrame, basket: str = "order_id", item: str = "pr
         .withColumn("_s", cells)
         .withColumn("_cell", F.pmod(F.xxhash64(F.col(item)), F.col("_s")).cast("int"))
     )
-    every_cell = F.explode(F.sequence(F.lit(0), F.col("_s") - 1))
+    # a pair of cells meets once, the smaller cell on the left; inside one cell
+    # the smaller item is on the left, across cells either one may be
     left = sized.select(
-        F.col(basket), F.col(item).alias("item_a"), F.col("m").alias("m_a"),
-        F.col("_cell").alias("_ca"), every_cell.alias("_cb"))
+        F.col(basket), F.col(item).alias("_x"), F.col("m").alias("m_a"),
+        F.col("_cell").alias("_ca"), F.explode(F.sequence(F.col("_cell"), F.col("_s") - 1)).alias("_cb"))
     right = sized.select(
-        F.col(basket), F.col(item).alias("item_b"), F.col("m").alias("m_b"),
-        every_cell.alias("_ca"), F.col("_cell").alias("_cb"))
-    pairs = left.join(right, [basket, "_ca", "_cb"], "inner").where(F.col("item_a") < F.col("item_b"))
-    return pairs.groupBy("item_a", "item_b").agg(F.sum(F.col("m_a") * F.col("m_b")).alias("frequency"))
+        F.col(basket), F.col(item).alias("_y"), F.col("m").alias("m_b"),
+        F.explode(F.sequence(F.lit(0), F.col("_cell"))).alias("_ca"), F.col("_cell").alias("_cb"))
+    pairs = left.join(right, [basket, "_ca", "_cb"], "inner").where((F.col("_ca") < F.col("_cb")) | (F.col("_x") < F.col("_y")))
+    return (
+        pairs.groupBy(F.least("_x", "_y").alias("item_a"), F.greatest("_x", "_y").alias("item_b"))
+        .agg(F.sum(F.col("m_a") * F.col("m_b")).alias("frequency"))
+    )
 
 
 def top_pairs(lines: DataFrame, k: int = 5, basket: str = "order_id", item: str = "product_id",
