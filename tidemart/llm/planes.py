@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -52,6 +53,8 @@ BLOCK = 1 << 16
 END_ID = 2
 #: Distinct words whose ids a worker keeps.
 CACHE = 500_000
+#: New words that are encoded as one text.
+JOINED = 1000
 
 
 class WordEncoder:
@@ -59,7 +62,7 @@ class WordEncoder:
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
@@ -71,6 +74,13 @@ class WordEncoder:
         # and starts afresh behind it; other vocabularies get whole texts.
         self.by_word = '"Removed"' in split and "[\\\\p{L}]+" in split and "Prepend" not in normalizers
         self.folds = '"Lowercase"' in normalizers
+        suffix = data["model"].get("end_of_word_suffix")
+        self.bare = None
+        if self.by_word and self.folds and suffix and '"ByteLevel"' in split:
+            self.bare = Tokenizer.from_str(json.dumps(data | {"normalizer": None, "truncation": None, "padding": None}))
+            self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            self.ends = np.zeros(max(data["model"]["vocab"].values()) + 1, bool)
+            self.ends[[i for t, i in data["model"]["vocab"].items() if t.endswith(suffix)]] = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -86,8 +96,20 @@ class WordEncoder:
                     new.append(w)
                 else:
                     young[w] = ids
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
+        if self.bare is not None:
+            # words of Latin letters only: lower case is all that normalises them, nothing
+            # splits them, and the suffix marks their ends
+            plain = list(filter(_LATIN, new))
+            texts = [" ".join(plain[i : i + JOINED]).lower() for i in range(0, len(plain), JOINED)]
+            for n, e in enumerate(self.bare.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = np.array(e.ids, "<u4")
+                raw, begin = ids.tobytes(), 0
+                for w, end in zip(plain[n * JOINED : (n + 1) * JOINED], (4 * np.flatnonzero(self.ends[ids]) + 4).tolist(), strict=True):
+                    young[w] = raw[begin:end]
+                    begin = end
+            new = [w for w in new if w not in young]
+        for i in range(0, len(new), 10 * JOINED):
+            part = new[i : i + 10 * JOINED]
             for w, e in zip(part, self.lib.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 young[w] = array("I", e.ids).tobytes()
         return list(map(young.__getitem__, words))
@@ -98,7 +120,7 @@ class WordEncoder:
             for e in self.lib.encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False):
                 yield array("I", e.ids).tobytes()
             return
-        data, offsets = textops.buffers(texts)
+        data, offsets = textops.buffers(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts)
         for i, j in textops.slices(offsets, SLICE):
             o = offsets[i : j + 1]
             yield from self._encode(data[o[0] : o[-1]], o - o[0])
@@ -138,7 +160,9 @@ class WordEncoder:
             yield flat[a:b].tobytes()
 
 
-SLICE = 4 << 20
+SLICE = 8 << 20
+#: Letters that have one lower-case letter and no other normal form.
+_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
 _WORD = np.ones(256, bool)
 _WORD[[0x20, 0x0A, 0x09, 0x0D]] = False
 #: ASCII marks that are no letter, digit, white space, control or apostrophe, and cannot begin "<|".
@@ -253,6 +277,19 @@ class Reader:
             held, at = held[n:], at + n
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches put together to about SLICE bytes, so that fewer words repeat between them."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= SLICE:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def write(docs: DataFrame, folder: str, vocabulary: str | None = None, mode: str = "byte", block: int = BLOCK, end_id: int = END_ID, text_col: str = "text") -> DataFrame:
     """Encode and write all documents; the manifest: file, uri, n_docs, n_ids, start (ids of all files before)."""
     spark = docs.sparkSession
@@ -262,7 +299,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None, mode: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, out = TaskContext.get().partitionId(), None
-        for b in batches:
+        for b in _gathered(batches):
             out = out or Writer(folder, f"ids-{number:06d}.planes", mode, block)
             for doc, ids in zip(b.column(0).to_pylist(), _encoder(path).run(b.column(1)), strict=True):
                 out.add(doc, ids + end)
