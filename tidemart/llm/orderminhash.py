@@ -353,6 +353,8 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", k: int = K, least:
 
     # node -> class, named by the smallest document
     named = rows.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).select("doc_id", "node", "class")
-    names = named.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("class_id"))
+    # stored, so that the join with a hot class is one of plain exchanges, which Spark splits
+    named = common.stored(named, "classes")
+    names = common.stored(named.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("class_id")), "class-names")
     out = named.join(names, "class", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
     return out.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
