@@ -46,16 +46,17 @@ def summarise(plan: str) -> dict:
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf-dir", default="/root/testdata/sf0.1")
+    ap.add_argument("--cpus", default="8")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
 
     from tidemart.session import build_session
-    import __spark_entry__ as E
+    from tidemart.plans import catalog
 
-    spark = build_session(master="local[8]", shuffle_partitions=16, driver_memory="16g", checkpoint_dir=tempfile.mkdtemp(prefix="tidemart-tool-"))
-    qs = E.queries()
+    spark = build_session(master=f"local[{args.cpus}]", shuffle_partitions=16, driver_memory="16g", checkpoint_dir=tempfile.mkdtemp(prefix="tidemart-tool-"))
+    qs = catalog.all_queries()
     names = args.names or list(qs)
-    print(f"# Executed plans at `{args.sf_dir}` (local[8], AQE final plans)\n")
+    print(f"# Executed plans at `{args.sf_dir}` (AQE final plans)\n")
     print("Counts per query of the final physical plan: shuffle exchanges (reused ones"
           " separately), broadcast-hash / sort-merge / shuffled-hash joins, parquet scans,"
           " scans with a pushed range/equality filter, partial (map-side) aggregations,"
