@@ -215,7 +215,9 @@ def _dim_query(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         src = _sources(spark, sf_dir, restricted=True)
         matched = enrich(src.feed(), src.customers(), src.products(), src.suppliers())
-        return _money_to_double(dimension_members(matched, key, attrs, None, FACT_KEY))
+        kept = [c for c in dict.fromkeys((key, *attrs, *FACT_KEY)) if c in matched.columns]
+        rows = materialize(matched.select(*kept), "matched")  # read by the branches of first_wins
+        return _money_to_double(dimension_members(rows, key, attrs, None, FACT_KEY))
 
     run.__name__ = name
     return run
