@@ -118,31 +118,46 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 300, l2: float = 1
     if not y.any() or y.all():
         return empty
     data, offsets = textops.buffers(pa.array(texts, pa.large_string()))
-    parts = []
-    for i, j in textops.slices(offsets, SLICE):
+    slices = textops.slices(offsets, SLICE // 4)
+
+    # features of enough toxic documents (a document counts once)
+    found = [np.zeros(0, np.uint64)]
+    for i in np.flatnonzero(y):
+        own = data[offsets[i] : offsets[i + 1]]
+        starts, ends, _, _ = sentences(own, np.array([0, len(own)]))
+        found.append(np.unique(np.concatenate([h for _, h in features(own, starts, ends)])))
+    keys, toxic = np.unique(np.concatenate(found), return_counts=True)
+    enough = toxic >= max(min(LEAST_DOCS, y.sum() / 4), LEAST_SHARE * y.sum())
+    keys, toxic = keys[enough], toxic[enough]
+    if not len(keys):
+        return empty
+
+    # where they stand: (sentence, feature) once each, and the document of each sentence
+    pairs, owners, base = [], [], 0
+    for i, j in slices:
         o = offsets[i : j + 1]
         starts, ends, sentence, text = sentences(data[o[0] : o[-1]], o - o[0])
-        base = parts[-1][2] if parts else 0
-        pairs = [np.array([sentence[at] + base, h.view(np.int64)]) for at, h in features(data[o[0] : o[-1]], starts, ends)]
-        pairs = np.unique(np.concatenate(pairs, axis=1).T.copy().view([("s", np.int64), ("h", np.int64)]))
         whose = np.zeros(int(sentence[-1]) + 1 if len(sentence) else 0, np.int64)
         whose[sentence] = text + i
-        parts.append((pairs["s"], pairs["h"].view(np.uint64), base + len(whose), whose))
-    sentence, h, whose = (np.concatenate([p[k] for p in parts]) for k in (0, 1, 3))
-    doc = whose[sentence]
-    keys, at = np.unique(h, return_inverse=True)
-    pairs = np.unique(at.astype(np.int64) * len(y) + doc)  # a document counts once
-    toxic = np.bincount(pairs // len(y), y[pairs % len(y)], len(keys))
-    clean = np.bincount(pairs // len(y), ~y[pairs % len(y)], len(keys))
+        for at, h in features(data[o[0] : o[-1]], starts, ends):
+            place = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+            hit = np.flatnonzero(keys[place] == h)
+            pairs.append(np.unique((sentence[at][hit] + base) * len(keys) + place[hit]))
+        owners.append(whose)
+        base += len(whose)
+    pair, whose = np.unique(np.concatenate(pairs)), np.concatenate(owners)
+    in_clean = ~y[whose[pair // len(keys)]]
+    once = np.unique(whose[pair[in_clean] // len(keys)] * len(keys) + pair[in_clean] % len(keys))
+    clean = np.bincount(once % len(keys), minlength=len(keys))
     odds = np.log((toxic + 0.5) / (y.sum() + 1)) - np.log((clean + 0.5) / ((~y).sum() + 1))
-    good = np.flatnonzero((toxic >= max(min(LEAST_DOCS, y.sum() / 4), LEAST_SHARE * y.sum())) & (odds >= LEAST_ODDS))
+    good = np.flatnonzero(odds >= LEAST_ODDS)
     good = np.sort(good[np.argsort(-(toxic * odds)[good], kind="stable")[:MAX_FEATURES]])
     if not len(good):
         return empty
     number = np.full(len(keys), -1)
     number[good] = np.arange(len(good))
-    use = number[at] >= 0
-    pair = np.unique(sentence[use].astype(np.int64) * len(good) + number[at[use]])  # a feature counts once a sentence
+    pair = pair[number[pair % len(keys)] >= 0]
+    pair = pair // len(keys) * len(good) + number[pair % len(keys)]
     own, row = np.unique(pair // len(good), return_inverse=True)
     col, who = pair % len(good), whose[own]
     plain = np.bincount(whose, minlength=len(y)) - np.bincount(who, minlength=len(y))
