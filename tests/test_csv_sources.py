@@ -19,12 +19,14 @@ def test_products_csv_price_quotes_and_crlf(spark):
         "productID,productName,productPrice,supplierID,supplierName,storeID,storeName\n"
         '2,Tablet Pro,1299.99$,2,Gadget Works,2,Tech Corner\n'
         '5,"Speaker, Portable",69.99$,7,"Audio, Inc.",3,Sound Spot\n'
-        "6,Odd Row,n/a,8,,4,\n")
+        "6,Odd Row,n/a,8,,4,\n7,Dots,\"1.299,99$\",8,S,4,T\n8,Commas,\"1,299.99$\",8,S,4,T\n9,Blank,,8,S,4,T\n")
     rows = {r.product_id: r for r in read_products_csv(spark, path).collect()}
     assert rows[2].product_price == Decimal("1299.99")
     assert rows[5].product_name == "Speaker, Portable" and rows[5].supplier_name == "Audio, Inc."
     assert rows[2].store_name == "Tech Corner"          # no trailing CR
     assert rows[6].product_price is None and rows[6].store_name is None
+    assert rows[7].product_price is None and rows[8].product_price == Decimal("1299.99")
+    assert [rows[i].bad_price for i in (2, 6, 7, 8, 9)] == [False, True, True, False, False]
 
 
 def test_customers_and_transactions_csv(spark):

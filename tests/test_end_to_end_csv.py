@@ -16,6 +16,7 @@ PRODUCTS = (
     "1,Phone X,500.00$,7,Acme Devices,1,Central\n"
     '2,"Cable, USB-C",10.50$,8,Wire Co,1,Central\n'
     "3,Headset,80.00$,7,Acme Gadgets,2,Harbour\n"
+    "4,Lamp,call us,8,Wire Co,1,Central\n"
 )
 CUSTOMERS = "customer_id,customer_name,gender\n1,Ann Lee,Female\n2,Bo Chan,Male\n"
 TRANSACTIONS = (
@@ -26,6 +27,7 @@ TRANSACTIONS = (
     "13,2019-07-01,1,2,2,3\n"
     "14,2019-07-01,9,1,2,3\n"      # unknown product -> reject
     "15,2019-08-15,2,1,5,4\n"      # unknown customer -> reject
+    "16,2019-08-15,4,1,1,4\n"      # no readable price -> reject, no sale of 0.00
 )
 
 
@@ -50,7 +52,8 @@ def test_csv_layout_through_warehouse_and_reports(spark):
     facts = {r.order_id: r for r in star.fact.collect()}
     assert set(facts) == {10, 11, 12, 13}
     assert float(facts[11].total_sales) == 42.0 and facts[11].supplier_id == 8
-    assert spark.read.parquet(f"{root}/rejects").count() == 2
+    rejects = {r.order_id: r.bad_amount for r in spark.read.parquet(f"{root}/rejects").collect()}
+    assert rejects == {14: False, 15: False, 16: True}
     # supplier 7 arrives as "Acme Devices" first (smallest order id)
     assert star.supplier.where("supplier_id = 7").collect()[0].supplier_name == "Acme Devices"
     # time ids come from the feed (1..4), one row per (id, date)
@@ -65,4 +68,4 @@ def test_csv_layout_through_warehouse_and_reports(spark):
     # a second identical load adds nothing
     star = load_warehouse(spark, root, feed, customers, products, fact_key=("order_id",))
     assert star.fact.count() == 4
-    assert spark.read.parquet(f"{root}/rejects").count() == 2
+    assert spark.read.parquet(f"{root}/rejects").count() == 3

@@ -5,8 +5,8 @@ broadcast hash join while a master is under its broadcast threshold and a
 shuffled sort-merge join beyond it; AQE re-decides at run time and splits
 skewed feed partitions (one product may carry a third of all lines).  Unlike a paged in-memory buffer, no feed row is ever dropped
 silently: rows without a master match come out of :func:`enrich_rejects`
-with the missing side(s) flagged; rows whose amount does not fit the money
-type are rejected by the loaders too (``bad_amount``).
+with the missing side(s) flagged; rows whose price is no price, or whose amount
+does not fit the money type, are rejected by the loaders too (``bad_amount``).
 
 Two master layouts are supported:
 
@@ -78,12 +78,19 @@ def _enriched_projection(df: DataFrame, extra: list[str]) -> list[Column]:
     return cols
 
 
+def _bad_amount(products: DataFrame) -> Column:
+    """The amount does not fit the money type, or the product's price text was
+    no price (a master read from CSV says so in ``bad_price``)."""
+    beyond = sales_amount("product_price", "quantity").isNull()
+    return beyond | F.coalesce(F.col("bad_price"), F.lit(False)) if "bad_price" in products.columns else beyond
+
+
 def _extra_columns(*frames: DataFrame) -> list[str]:
     known = {
         "order_id", "line_no", "order_date", "customer_id", "customer_name",
         "gender", "product_id", "product_name", "product_price",
         "supplier_id", "supplier_name", "store_id", "store_name", "time_id",
-        "quantity",
+        "quantity", "bad_price",
     }
     extra: list[str] = []
     for f in frames:
@@ -119,7 +126,8 @@ def enrich(feed: DataFrame, customers: DataFrame, products: DataFrame,
     out = out.join(p, "product_id", "inner")
     if suppliers is not None:
         out = out.join(suppliers, "supplier_id", "inner")
-    return out.select(*_enriched_projection(out, _extra_columns(*masters))).where(F.col("total_sales").isNotNull())
+    good = ~_bad_amount(p)
+    return out.where(good).select(*_enriched_projection(out, _extra_columns(*masters)))
 
 
 def _flag_presence(df: DataFrame, master: DataFrame, key: str, flag: str) -> DataFrame:
@@ -133,7 +141,8 @@ def enrich_rejects(feed: DataFrame, customers: DataFrame, products: DataFrame,
     """Feed rows that do not enrich, with the missing side(s) flagged.
 
     ``enrich(...)`` and ``enrich_rejects(...)`` partition the feed: every
-    feed row is in exactly one of them (masters with unique keys).
+    feed row is in exactly one of them (masters with unique keys), but for
+    matched rows of a bad amount, which :func:`enrich_flagged` marks.
     """
     f = normalise_feed(feed)
     f = _flag_presence(f, customers, "customer_id", "_has_customer")
@@ -173,7 +182,7 @@ def enrich_flagged(feed: DataFrame, customers: DataFrame, products: DataFrame,
     else:
         flags.append(flags[1])
     cols = _enriched_projection(out, _extra_columns(*masters))
-    amount = sales_amount("product_price", "quantity")
+    bad = _bad_amount(p)
     # ``source_time_id`` keeps the feed's own (possibly NULL) time id for the
     # time dimension; the fact reads a missing one as 0
     return out.select(
@@ -182,6 +191,6 @@ def enrich_flagged(feed: DataFrame, customers: DataFrame, products: DataFrame,
         (~flags[0]).alias("missing_customer"),
         (~flags[1]).alias("missing_product"),
         (~flags[2]).alias("missing_supplier"),
-        amount.isNull().alias("bad_amount"),
-        (flags[0] & flags[1] & flags[2] & amount.isNotNull()).alias("matched"),
+        bad.alias("bad_amount"),
+        (flags[0] & flags[1] & flags[2] & ~bad).alias("matched"),
     )

@@ -141,7 +141,7 @@ def q_csv_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_scratch_dir(spark, "products-csv")
     write_csv(raw, path)
     out = read_products_csv(spark, path)
-    return out.withColumn("product_price", as_double("product_price"))
+    return out.withColumn("product_price", as_double("product_price")).drop("bad_price")
 
 
 def q_csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,9 +57,12 @@ def read_customers_csv(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def read_products_csv(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Product master with the price text parsed to decimal(10,2)."""
+    """Product master with the price text parsed to decimal(10,2); ``bad_price``
+    marks text that is no price (a blank price is just unknown)."""
     raw = read_csv(spark, path, PRODUCTS_CSV, **options)
-    return raw.withColumn("product_price", parse_price("product_price"))
+    price = parse_price("product_price")
+    bad = F.coalesce(F.trim("product_price") != "", F.lit(False)) & price.isNull()
+    return raw.withColumns({"product_price": price, "bad_price": bad})
 
 
 def write_csv(df: DataFrame, path: str, crlf: bool = True) -> None:
