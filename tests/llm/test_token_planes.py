@@ -2,6 +2,7 @@
 
 import zlib
 from array import array
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -18,14 +19,19 @@ from .data import documents, edge_rows
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
-@pytest.fixture(scope="module")
-def library():
+@cache
+def loaded():
     t = Tokenizer.from_file(PATH)
     t.no_truncation()
     t.no_padding()
     return t
 
 
+@pytest.fixture(scope="module")
+def library():
+    return loaded()
+
+
 @pytest.mark.parametrize("mode", ["byte", "bit"])
 def test_files_hold_the_ids_in_order(spark, library, mode):
     manifest = planes.write(documents(spark), common.scratch(spark, "planes"), mode=mode, block=256)
@@ -42,8 +48,7 @@ def test_files_hold_the_ids_in_order(spark, library, mode):
 @given(st.lists(st.text(alphabet="aA1.'!<|> \n\tÉé\u0301s t,2ı漢\u00a0-", max_size=40), max_size=8))
 @settings(max_examples=60, deadline=None)
 def test_words_encode_as_texts(texts):
-    lib = Tokenizer.from_file(PATH)
-    own = planes.WordEncoder(PATH)
+    lib, own = loaded(), planes._encoder(PATH)
     assert [array("I", b).tolist() for b in own.run(pa.array(texts, pa.string()))] == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
 
 

@@ -1,5 +1,7 @@
 """op 8: against the tokenizers library."""
 
+from functools import cache
+
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -13,14 +15,19 @@ from .data import documents, edge_rows
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
-@pytest.fixture(scope="module")
-def library():
+@cache
+def loaded():
     t = Tokenizer.from_file(PATH)
     t.no_truncation()
     t.no_padding()
     return t
 
 
+@pytest.fixture(scope="module")
+def library():
+    return loaded()
+
+
 def test_edge_rows(spark, library):
     out = trie_bpe.encode_decode(documents(spark)).withColumn("array", trie_bpe.id_array())
     assert {"lang", "n_words", "ids", "decoded"} <= set(out.columns) and len(set(out.columns)) == len(out.columns)
@@ -36,7 +43,7 @@ def test_edge_rows(spark, library):
 @given(st.lists(st.text(max_size=40), max_size=6))
 @settings(max_examples=150, deadline=None)
 def test_any_text(texts):
-    lib = Tokenizer.from_file(PATH)
+    lib = loaded()
     got = list(trie_bpe.codec(PATH).run(texts))
     assert [g[1] for g in got] == [",".join(map(str, e.ids)) for e in lib.encode_batch(texts, add_special_tokens=False)]
     assert [g[2] for g in got] == texts
@@ -45,7 +52,7 @@ def test_any_text(texts):
 @given(st.text(alphabet="aAeinorst 's", max_size=60))
 @settings(max_examples=150, deadline=None)
 def test_repeating_letters(text):
-    lib = Tokenizer.from_file(PATH)
+    lib = loaded()
     assert next(trie_bpe.codec(PATH).run([text]))[1] == ",".join(map(str, lib.encode(text).ids))
 
 
