@@ -16,7 +16,7 @@ _RNG = np.random.default_rng(0x71DE)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _P, _Q = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93  # odd, so invertible modulo 2**64
 #: Bytes hashed at once; bounds the 8-byte temporaries, not the text.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 
 #: Words of everything but space, tab, line feed, vertical tab, form feed, CR.
 SPACED = np.ones(256, bool)

@@ -39,7 +39,7 @@ TRAIN_ROWS, TRAIN_BYTES = 3000, 16 << 10
 MAX_FEATURES, LEAST_DOCS, LEAST_SHARE, LEAST_ODDS = 20_000, 4, 0.01, 1.5
 THRESHOLD = 0.7
 STEMS = (4, 5, 6)
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[0x21, 0x2E, 0x3F, 0x0A]] = True
