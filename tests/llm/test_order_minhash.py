@@ -83,6 +83,14 @@ def test_order_matters(spark):
     assert {r.doc_id: r.class_id for r in out} == {1: 1, 2: 2, 3: 1}
 
 
+def test_rows_without_or_with_shared_ids(spark):
+    """A text that only rows without id hold, and two texts under one id."""
+    base, other = words(100, 11), words(100, 12)
+    rows = [(None, " ".join(base)), (1, " ".join(base[:-2])), (2, " ".join(other)), (2, " ".join(words(90, 13))), (3, " ".join(other[2:]))]
+    out = orderminhash.near_duplicates(documents(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.class_id) for r in out), key=repr) == _classes(rows)
+
+
 def test_empty(spark):
     assert orderminhash.near_duplicates(documents(spark, [])).count() == 0
     assert orderminhash.near_duplicates(documents(spark, [(1, None), (2, "")])).where("kept").count() == 2

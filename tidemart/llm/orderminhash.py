@@ -197,19 +197,19 @@ def families(h: np.ndarray, begin: np.ndarray, kinds: tuple[tuple[int, int, int,
 
 
 def sketch_table(docs: DataFrame, k: int, kinds: tuple[tuple[int, int, int, int], ...]) -> DataFrame:
-    """doc_id, node (hash of the word sequence; null: no words), n (shingles), sketches."""
+    """doc_id, row (hash of id and text), node (hash of the word sequence; null: no words), n (shingles), sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, offsets = textops.buffers(b.column(1))
+            data, offsets = textops.buffers(b.column(2))
             for i, j in textops.slices(offsets, SLICE):
                 o = offsets[i : j + 1]
                 h, begin, whole = shingles(data[o[0] : o[-1]], o - o[0], k)
                 found, count = families(h, begin, kinds)
                 flat = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32)), pa.array(found.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(whole.view(np.int64), mask=whole == 0), pa.array(np.diff(begin).astype(np.int32)), flat], ["doc_id", "node", "n", "sketches"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(whole.view(np.int64), mask=whole == 0), pa.array(np.diff(begin).astype(np.int32)), flat], ["doc_id", "row", "node", "n", "sketches"])
 
-    return docs.select("doc_id", _TEXT).mapInArrow(run, "doc_id long, node long, n int, sketches array<long>")
+    return docs.select("doc_id", "row", _TEXT).mapInArrow(run, "doc_id long, row long, node long, n int, sketches array<long>")
 
 
 def sequences(docs: DataFrame, k: int) -> DataFrame:
@@ -323,7 +323,7 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", k: int = K, least:
     """doc_id, class_id, kept (one row of each class) for every document."""
     spark = docs.sparkSession
     common.prepare(spark)
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).alias(_TEXT))
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).alias(_TEXT)).withColumn("row", F.xxhash64("doc_id", _TEXT))
     rows = common.stored(sketch_table(read, k, kinds), "sketches")
 
     # buckets of two or more different texts; at first each text is a class of its own
@@ -333,8 +333,8 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", k: int = K, least:
 
     # one text of each node that is in a bucket
     used = buckets.select("node").distinct()
-    owners = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(used, "node")
-    seqs = common.stored(sequences(read.join(owners, "doc_id"), k), "sequences")
+    owners = rows.groupBy("node").agg(F.min("row").alias("row")).join(used, "node")
+    seqs = common.stored(sequences(read.join(owners, "row"), k), "sequences")
 
     # one text of each bucket is aligned with the others
     drawn = buckets.groupBy("bucket").agg(F.min("node").alias("lead"))
