@@ -46,7 +46,7 @@ from tidemart.llm import common, textops
 
 K, SEED = 50, 10
 _TEXT, _KEY, _CUTS = "__td_text", "__td_key", "__td_cuts"
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -157,7 +157,9 @@ def repeated_spans(docs: DataFrame, k: int = K, seed: int = SEED) -> DataFrame:
     shared = spans.join(seeds, "seed").where("source <> last or n_spans > 1").drop("last")
     hits = common.stored(rows.join(shared, ["seed", "span"]), "hits")
 
-    origin = hits.where("doc_id = source").groupBy("seed", "span").agg(F.min(F.struct("key", "lo")).alias("o"))
+    # Small sides of joins with a hot source or span are stored first: a join of
+    # plain exchanges is one that Spark splits.
+    origin = common.stored(hits.where("doc_id = source").groupBy("seed", "span").agg(F.min(F.struct("key", "lo")).alias("o")), "origins")
     whole = (
         hits.where("doc_id > source").join(origin, ["seed", "span"])
         .select("doc_id", "key", "lo", "n", "source", F.col("o.key").alias("source_key"), F.col("o.lo").alias("source_lo"))
@@ -185,7 +187,7 @@ def repeated_spans(docs: DataFrame, k: int = K, seed: int = SEED) -> DataFrame:
     edges = answers.where("edges")
     first = edges.groupBy("h", "h2").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last")).where("source <> last").drop("last")
     single = edges.join(first, ["h", "h2"]).where("doc_id > source").select("doc_id", "key", "lo", "n")
-    digests = answers.where("not edges").select("doc_id", "key", "lo", "n", "h", "h2").distinct()
+    digests = common.stored(answers.where("not edges").select("doc_id", "key", "lo", "n", "h", "h2").distinct(), "digests")
     verified = (
         paths.join(digests, ["doc_id", "key", "lo", "n"])
         .join(digests.toDF("source", "source_key", "source_lo", "n", "h", "h2"), ["source", "source_key", "source_lo", "n", "h", "h2"])
@@ -199,7 +201,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", k: int = K, seed: in
     spark = docs.sparkSession
     common.prepare(spark)
     own = ["n_words", "n_removed", "kept_text"]
-    base = docs.drop(*own)
+    base = docs.drop(*own).withColumn("doc_id", F.col("doc_id").cast("long"))
     keyed = base.withColumn(_TEXT, F.coalesce(F.col(text_col), F.lit(""))).withColumn(_KEY, F.xxhash64(_TEXT))
     cuts = repeated_spans(keyed, k, seed).groupBy("doc_id", "key").agg(F.collect_list(F.struct("lo", "n")).alias(_CUTS))
     joined = keyed.join(cuts.withColumnRenamed("key", _KEY), ["doc_id", _KEY], "left").select(*base.columns, _TEXT, _CUTS)
