@@ -52,7 +52,7 @@ MAGIC = b"TDPLANE1"
 BLOCK = 1 << 16
 END_ID = 2
 #: Distinct words whose ids a worker keeps.
-CACHE = 500_000
+CACHE = 300_000
 #: New words that are encoded as one text.
 JOINED = 1000
 
@@ -160,7 +160,7 @@ class WordEncoder:
             yield flat[a:b].tobytes()
 
 
-SLICE = 8 << 20
+SLICE = 4 << 20
 #: Letters that have one lower-case letter and no other normal form.
 _LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
 _WORD = np.ones(256, bool)
