@@ -39,6 +39,17 @@ def test_markup():
         assert isinstance(text(page), str)
 
 
+def test_elements_without_text_end_where_they_do():
+    assert text('<article><p>a<svg class="i"/>b</p><p>c</p></article>') == "ab\n\nc"
+    assert text("<article><p>a<iframe src='x'/>b<audio />c<object/>d</p><script src='x'/><p>e</p></article>") == "abcd\n\ne"
+    assert text("<article><p>a<button>no</p><p>b</p><select><option>no<p>c</p></article>") == "a\n\nb\n\nc"
+    assert text("<article><p>a</p><button>no<p>b</p><p>c</p><button>no</button><p>d</article>") == "a\n\nb\n\nc\n\nd"
+    assert text("<article><p>a<video-player>b</video-player>c</p><title-bar>d</title-bar><p>e<svg-icon>f</p></article>") == "abc\n\nd\n\nef"
+    assert text("<head><title>no</head><body><article><p>a</p><svg><title>no</title><path d=''/></svg><p>b</p></article>") == "a\n\nb"
+    assert text("<title>The <script> and <p> tags</title><article><p>a<button><b>no</b></button>b<video><p>no</p></video>c</article>") == "abc"
+    assert text("<article><p>a<!-->b</p><script src=//x/>no</script><p>c<style>no</style >d</p></article>") == "ab\n\ncd"
+
+
 def test_surroundings_are_dropped():
     body = "word " * 60
     page = f"""<body><header><h1>Site</h1><a href=/>Home</a></header><div id="menu"><a>A</a><a>B</a></div><div class="cookie-banner">{body}</div>

@@ -12,6 +12,9 @@ Inside a block all white space (``<br>`` and table cells count as such) becomes
 one space.  Scripts, styles, comments and other elements without running text
 are not read.  Unclosed and unknown tags, stray ends and cut-off pages are
 accepted: an end tag closes the nearest open element of its name, or nothing.
+Only comments and the raw text of script, style and textarea run to the end of
+the page if nothing ends them; another element without running text ends, if it
+lacks its end tag, with its parent or before the next block, whichever is first.
 
 Defined results: null and empty html give an empty text; a page without any
 kept block gives an empty text; other columns pass through unchanged, but the
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,15 +36,19 @@ from pyspark.sql import functions as F
 from tidemart.llm import common
 
 #: Elements whose content is no running text.
-_SILENT = "script|style|noscript|template|iframe|object|svg|math|textarea|select|button|title|canvas|audio|video"
+_SILENT = frozenset("noscript template iframe object svg math select button title canvas audio video".split())
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    rf"|<({_SILENT})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*+>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    # raw text: up to the end tag or the page's end; a title only if it ends within its parent
+    r"|<(script|style|textarea)(?=[\s/>])(?:=\s*+[^\s\"'>]*+|[^>\"'/=]++|/(?!\s*+>)|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1(?=[\s/>])[^>]*+>|\Z)"
+    r"|<title(?=[\s/>])(?:=\s*+[^\s\"'>]*+|[^>\"'/=]++|/(?!\s*+>)|\"[^\"]*+\"|'[^']*+')*+>(?:(?!</?(?:title|head|body|svg)[\s/>]).)*+</title(?=[\s/>])[^>]*+>"
     r"|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)",
     re.S | re.I,
 )
+_EMPTY = re.compile(r"/\s*\Z")
+_UNQUOTED = re.compile(r"=\s*[^\s\"'>]*/\s*\Z")
 _BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that are kept on the stack of open elements.
@@ -78,6 +86,44 @@ def _zone(tag: str, attributes: str, inside: bool) -> int:
     return 1 if words & _IN_WORDS else 0
 
 
+def silent(tokens: list[re.Match[str]], end: int) -> dict[int, int]:
+    """Where the page goes on after each element without running text, by the number of its start tag."""
+    spans: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    opened: Counter[str] = Counter()
+    stop: dict[int, int] = {}  # first block or space tag in an open silent element
+    fresh: list[int] = []
+    for at, m in enumerate(tokens):
+        tag = (m[3] or m[6] or "").lower()
+        if not tag or tag in _VOID and tag not in _SPACES:
+            continue
+        if tag in _BLOCKS or tag in _SPACES:
+            stop.update(dict.fromkeys(fresh, m.start()))
+            fresh.clear()
+        if not (m[2] or m[5]):
+            attributes = m[4] or m[7] or ""
+            if tag in _VOID or tag in _SILENT and _EMPTY.search(attributes) and not _UNQUOTED.search(attributes):
+                continue
+            stack.append((tag, at))
+            opened[tag] += 1
+            if tag in _SILENT:
+                fresh.append(at)
+        elif opened[tag]:
+            while True:
+                name, start = stack.pop()
+                opened[name] -= 1
+                if name in _SILENT:
+                    spans[start] = m.end() if name == tag else stop.get(start, m.start())
+                    if fresh and fresh[-1] == start:
+                        fresh.pop()
+                if name == tag:
+                    break
+    for name, start in stack:
+        if name in _SILENT:
+            spans[start] = stop.get(start, end)
+    return spans
+
+
 def blocks(page: str) -> list[tuple[str, dict[str, float], bool]]:
     """(text, own features, labelled) of each flat block; labelled is for the training table only."""
     out: list[tuple[str, dict[str, float], bool]] = []
@@ -95,14 +141,18 @@ def blocks(page: str) -> list[tuple[str, dict[str, float], bool]]:
                 out.append((" ".join(words), {"out": float(without > 0), "in": float(within > 0), "heading": float(tag_of in _HEADINGS), "item": float(tag_of in ("li", "dt", "dd")), "words": float(len(words)), "links": min(1.0, linked / len(words))}, marked))
         linked = 0
 
+    tokens = list(_TOKEN.finditer(page))
+    spans = silent(tokens, len(page))
     at = 0
-    for m in _TOKEN.finditer(page):
+    for number, m in enumerate(tokens):
+        if m.start() < at:
+            continue
         if m.start() > at:
             text = page[at : m.start()]
             parts.append(text)
             if links:
                 linked += len(text.split())
-        at = m.end()
+        at = spans.get(number, m.end())
         tag = (m[3] or m[6] or "").lower()
         if not tag:
             continue
