@@ -59,6 +59,23 @@ def test_surroundings_are_dropped():
     assert text(page) == "\n\n".join(["Title", long, "Short.", long])
 
 
+def test_page_wide_wrappers_are_not_what_they_are_named_for():
+    body = " ".join(["word"] * 45)
+    main = f"<h1>Title words</h1><p>{body}</p><p>{body}</p>"
+    want = f"Title words\n\n{body}\n\n{body}"
+    around = "<div class=menu><a>A</a> <a>B</a></div>", f"<div class=footer>{body}</div>"
+    for begin, end in (("<form id=aspnetForm>", "</form>"), ("<div class='content-sidebar-wrap'>", "</div>"), ("<div class='content has-sidebar'>", "</div>"), ("<article class='post has-comments'>", "</article>"),
+                       ("<div class='search-page'>", "</div>"), ("<div id=page class='comments-open menu-open'>", "</div>"), ("<div class='main-menu-page'><main>", "</main></div>"),
+                       ("<div class='widget'><article>", "</article></div>")):
+        assert text(f"{begin}{main}{end}") == want, begin
+        assert text(f"{around[0]}{begin}{main}{end}{around[1]}") == want, begin
+        assert text(f"<form>{around[0]}{begin}{main}{end}{around[1]}</form>") == want, begin
+    long = f"<p>{body}</p>" * 20
+    for zone in ("<section class=comments>", "<aside>", "<footer>", "<div class='main-nav'>", "<div class='post-comments-wrap'>", "<div style='display: none'>"):
+        assert text(f"<div>{main}</div>{zone}{long}</div></section></aside></footer>") == want, zone
+        assert text(f"<article>{main}</article>{zone}{long}") == want, zone
+
+
 def test_pages_without_semantic_tags():
     body = " ".join(["word"] * 60)
     page = f"<div><a>Home</a> <a>News</a></div><div><h1>Title words</h1><p>{body}</p><p>short one</p><p>{body} <a>link</a></p></div><div><a>More stories here</a></div>"

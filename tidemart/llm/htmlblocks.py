@@ -5,7 +5,10 @@ block is described by its own and its two neighbours' word counts and link
 densities, by whether it is a heading or list item, and by the zone in which it
 stands: elements that hold an article, or menus, footers, side bars, notices,
 adverts, forms and reader comments (by tag, role, and whole words of class and
-id).  A decision tree, trained on a small table of labelled blocks
+id).  A zone that holds most of the page's words, or many of them and a page
+title, is a page-wide wrapper (a form around the body) and no zone around an
+article; an article or main element leaves the zones around it.
+A decision tree, trained on a small table of labelled blocks
 (``LABELLED``), keeps or drops each block; kept blocks are joined in page order.
 
 Inside a block all white space (``<br>`` and table cells count as such) becomes
@@ -62,6 +65,15 @@ _OUT_WORDS = frozenset(
     "nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager sidebar side aside footer foot masthead topbar toolbar header "
     "comment comments disqus respond replies share sharing social related recommended widget newsletter subscribe signup login search form copyright legal tags hidden".split()
 )
+#: Zones that hold no main text, however much of the page they hold, unless there is a page title or main element in them.
+_FIRM_TAGS = frozenset("nav footer aside menu dialog".split())
+_REPLIES = frozenset("comment comments disqus respond replies related recommended".split())
+_FIRM_WORDS = _REPLIES | frozenset("nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager footer foot cookie cookies consent gdpr ad ads adv advert adverts advertisement advertising".split())
+#: Shares of the page's words from which a zone, or a zone with a page title, is page-wide.
+_WIDE, _TITLED = 0.75, 0.4
+#: First and last words of names that tell what an element has, and words of names of layout.
+_HAS, _STATES = frozenset("has with no without".split()), frozenset("open closed enabled disabled".split())
+_WRAPS, _SIDES = frozenset("wrap wrapper container layout columns grid row".split()), frozenset("sidebar side aside".split())
 _IN_TAGS = frozenset("article main".split())
 _IN_WORDS = frozenset("article content main post entry story articlebody maincontent".split())
 _ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -70,20 +82,34 @@ _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 def _zone(tag: str, attributes: str, inside: bool) -> int:
-    """1: the element holds an article, -1: it holds what is around one, 0: neither."""
+    """1: the element holds an article, below 0: it holds what is around one (-2: even if page-wide, -3: articles too), 0: neither."""
     words: set[str] = set()
+    said = False  # one of the names tells of nothing but an article
     for name, *value in _ATTRIBUTE.findall(attributes):
         text = "".join(value).lower()
         name = name.lower()
         if name == "hidden" or name == "aria-hidden" and text == "true" or name == "style" and _UNSEEN.search(text):
-            return -1
+            return -3
         if name in ("class", "id", "role"):
-            words.update(_WORDS.findall(text))
+            for one in text.split():
+                own = _WORDS.findall(one)
+                if not own or own[0] in _HAS or len(own) > 1 and own[-1] in _STATES:
+                    continue
+                held = _OUT_WORDS.intersection(own)
+                if held and held <= _SIDES and not _IN_WORDS.isdisjoint(own) and not _WRAPS.isdisjoint(own):
+                    continue
+                said = said or not held and not _IN_WORDS.isdisjoint(own)
+                words.update(own)
     if tag in _IN_TAGS and not words & {"comment", "comments"}:
         return 1
-    if tag in _OUT_TAGS or tag == "header" and not inside or words & _OUT_WORDS and not (tag == "header" and inside):
+    out = words & _OUT_WORDS and not (tag == "header" and inside)
+    if tag in _FIRM_TAGS or out and words & _REPLIES:
+        return -3
+    if out and words & _FIRM_WORDS:
+        return -2
+    if tag in _OUT_TAGS or tag == "header" and not inside or out and not said:
         return -1
-    return 1 if words & _IN_WORDS else 0
+    return 1 if words & _IN_WORDS and not out else 0
 
 
 def silent(tokens: list[re.Match[str]], end: int) -> dict[int, int]:
@@ -127,18 +153,21 @@ def silent(tokens: list[re.Match[str]], end: int) -> dict[int, int]:
 def blocks(page: str) -> list[tuple[str, dict[str, float], bool]]:
     """(text, own features, labelled) of each flat block; labelled is for the training table only."""
     out: list[tuple[str, dict[str, float], bool]] = []
-    stack: list[tuple[str, int]] = []
-    within = without = links = linked = 0
+    stack: list[tuple[str, int, tuple[int, ...]]] = []
+    zones: list[list[int]] = []  # kind, words before it, words up to its end, titles and main elements in it
+    around: tuple[int, ...] = ()  # the innermost zone around an article, and whether articles in it are none
+    within = links = linked = total = 0
     parts: list[str] = []
     tag_of, marked = "", False
 
     def close() -> None:
-        nonlocal linked
+        nonlocal linked, total
         if parts:
             words = entities.unescape("".join(parts)).split()
             parts.clear()
             if words:
-                out.append((" ".join(words), {"out": float(without > 0), "in": float(within > 0), "heading": float(tag_of in _HEADINGS), "item": float(tag_of in ("li", "dt", "dd")), "words": float(len(words)), "links": min(1.0, linked / len(words))}, marked))
+                total += len(words)
+                out.append((" ".join(words), {"out": around[0] if around else -1, "in": float(within > 0), "heading": float(tag_of in _HEADINGS), "item": float(tag_of in ("li", "dt", "dd")), "words": float(len(words)), "links": min(1.0, linked / len(words))}, marked))
         linked = 0
 
     tokens = list(_TOKEN.finditer(page))
@@ -167,21 +196,43 @@ def blocks(page: str) -> list[tuple[str, dict[str, float], bool]]:
                 tag_of, marked = ("", False) if end else (tag, attributes.startswith(" k"))
             if tag not in ("p", "li"):
                 links = 0
+            if tag == "h1" and not end and around:
+                zones[around[0]][3] += 1
         if tag in _HOLDERS:
             if not end:
                 zone = _zone(tag, attributes, within > 0)
-                stack.append((tag, zone))
+                stack.append((tag, zone, around))
                 within += zone == 1
-                without += zone == -1
-            elif any(t == tag for t, _ in reversed(stack)):
+                if zone < 0:
+                    zones.append([zone, total, -1, 0])
+                    around = (len(zones) - 1, zone == -3 or around[1:] == (True,))
+                elif around and tag == "main":
+                    zones[around[0]][3] += 1
+                    around = ()
+                elif around and zone == 1 and tag == "article" and not around[1]:
+                    around = ()
+            elif any(t == tag for t, _, _ in reversed(stack)):
                 while True:
-                    t, zone = stack.pop()
+                    t, zone, outer = stack.pop()
                     within -= zone == 1
-                    without -= zone == -1
+                    if zone < 0 and around:
+                        zones[around[0]][2] = total
+                        if outer:
+                            zones[outer[0]][3] += zones[around[0]][3]
+                    around = outer
                     if t == tag:
                         break
     parts.append(page[at:])
     close()
+    while stack:
+        _, zone, outer = stack.pop()
+        if zone < 0 and around and outer:
+            zones[outer[0]][3] += zones[around[0]][3]
+        around = outer
+    for _, own, _ in out:
+        kind, before, upto, titles = zones[int(own["out"])] if own["out"] >= 0 else (0, 0, total, 0)
+        share = ((total if upto < 0 else upto) - before) / total
+        own["out"] = float(kind < 0 and not (share >= _WIDE and kind == -1 or share >= _TITLED and titles))
     return out
 
 
@@ -212,6 +263,14 @@ LABELLED = (
     "<p>{2}</p><p><a>{3}</a> {2}</p><h1 k>{8}</h1><p k>{90}</p><ul><li k>{14}</li><li k>{11}</li><li k>{16}</li></ul><p k>{55}</p><h3>{2}</h3><ul><li><a>{6}</a></li><li><a>{7}</a></li></ul>",
     "<article><h1 k>{4}</h1><nav><a>{1}</a></nav><p k><a>{8}</a></p><p k>{3} <a>{4}</a></p><aside><p>{28}</p></aside><p k>{31}</p><form><p>{9}</p></form></article>",
     "<article><h2 k>{5}</h2><p k>{6}</p></article><p>{5}</p><p>{3} <a>{2}</a></p>",
+    "<form><div class=menu><a>{2}</a> <a>{3}</a></div><div><h1 k>{2}</h1><p k>{40}</p><p k>{2}</p><p k>{60}</p><p k>{12}</p><p k>{55}</p><h2 k>{2}</h2><p k>{30}</p></div><div><a>{3}</a> <a>{2}</a></div><div class=footer>{18}</div></form>",
+    "<header><h1>{3}</h1><p>{9}</p><h2>{2}</h2></header><div class=sidebar-right><h1 k>{3}</h1><p k>{35}</p><p k>{60}</p><h2 k>{2}</h2><p k>{40}</p><p k>{3}</p><p k>{70}</p><div class=sidebar><h2>{2}</h2><p>{30}</p></div></div><p>{3} <a>{2}</a></p><div class=footer>{150}</div>",
+    "<form><h1 k>{2}</h1><p k>{45}</p><p k>{45}</p></form>",
+    "<div class=layout-banner><h1 k>{3}</h1><p k>{30}</p></div><form><p>{3}</p></form>",
+    "<article><p k>{2}</p></article>",
+    "<nav><a>{2}</a></nav><article><p k>{1}</p><p k>{2}</p><p k>{1}</p></article><p>{2}</p>",
+    "<main><p k>{3}</p><p k>{1}</p></main>",
+    "<article><h1 k>{4}</h1><p k>{24}</p></article><section class=comments><p>{90}</p><p>{70}</p><p>{45}</p></section>",
 )
 
 
