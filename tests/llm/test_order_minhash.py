@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemart.llm import orderminhash
+from tidemart.llm import common, orderminhash
 
 from .data import alnum, documents, edge_rows, words
 
@@ -77,6 +78,46 @@ def test_a_large_group_whose_members_are_not_all_alike(spark):
     assert sorted(((r.doc_id, r.class_id) for r in out), key=repr) == _classes(rows)
 
 
+def test_tasks_are_sized_by_all_copies_of_a_hot_bucket(spark, monkeypatch):
+    """40 sequences of 100 shingles in 10 blocks: each is dealt to 10 pairs of blocks."""
+    monkeypatch.setattr(orderminhash, "BLOCK", 4)
+    monkeypatch.setattr(orderminhash, "TASK_BYTES", 4_000)
+    mixed = spark.createDataFrame([(1, i, 100, i) for i in range(40)], "bucket long, node long, n int, class long")
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 2**32, 100, dtype=np.uint32)
+    rows = []
+    for i in range(40):
+        own = base.copy()
+        own[: i % 5] = rng.integers(0, 2**32, i % 5, dtype=np.uint32)
+        rows.append((i, own.tobytes()))
+    out = orderminhash.rest_links(mixed, spark.createDataFrame(rows, "node long, seq binary"), 0.8)
+    assert out.rdd.getNumPartitions() >= 40 * 400 * 10 // 4_000
+    low = list(range(40))
+    for a, b in [tuple(r) for r in out.collect()]:
+        low = [min(low[a], low[b]) if x in (low[a], low[b]) else x for x in low]
+    assert low == [0] * 40
+
+
+def test_a_task_holds_few_groups_at_a_time():
+    read = []
+
+    def batches():
+        for g in range(50):
+            for k in (3, 0, 4):
+                read.append(g)
+                yield pa.RecordBatch.from_pydict({"bucket": [g // 2] * k, "i": [g % 2] * k, "x": list(range(k))}, pa.schema([("bucket", pa.int64()), ("i", pa.int32()), ("x", pa.int64())]))
+
+    got = []
+    for t in common.groups(batches(), ("bucket", "i"), 1):
+        got.append((t.column("bucket").to_pylist(), t.column("i").to_pylist()))
+        assert read[-1] <= len(got)  # no more than the next group's first rows were read
+    assert got == [([g // 2] * 7, [g % 2] * 7) for g in range(50)]
+    whole = list(common.groups(batches(), ("bucket", "i"), 1 << 30))
+    assert [t.num_rows for t in whole] == [350] and list(common.groups(iter([]), ("bucket",), 1)) == []
+    one = pa.RecordBatch.from_pydict({"bucket": [1, 1, 2, 3, 3]})
+    assert [t.column("bucket").to_pylist() for t in common.groups(iter([one, one.slice(3)]), ("bucket",), 1)] == [[1, 1, 2], [3, 3, 3, 3]]
+
+
 def test_order_matters(spark):
     a, b = words(200, 8), words(200, 9)
     out = orderminhash.near_duplicates(documents(spark, [(1, " ".join(a + b)), (2, " ".join(b + a)), (3, " ".join(a + b[:-3]))])).collect()

@@ -3,9 +3,10 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tidemart.llm import rabitq
+from tidemart.llm import common, rabitq
 
 
 def _brute(rows):
@@ -52,6 +53,37 @@ def test_equals_all_pairs(spark, monkeypatch, block):
     assert all(r.kept == (r.vec_id is None or r.vec_id == r.component_id) for r in out.collect())
 
 
+def test_tasks_are_sized_by_all_copies_of_a_hot_bucket(spark, monkeypatch):
+    """100 like vectors of 512 numbers meet as pairs of 25 blocks in each table."""
+    for module, name, value in ((rabitq, "BLOCK", 4), (rabitq, "TASK_BYTES", 1 << 21), (common, "GROUP_BYTES", 1)):
+        monkeypatch.setattr(module, name, value)
+    sizes, dealt = [], type(spark.range(0)).repartition
+    monkeypatch.setattr(type(spark.range(0)), "repartition", lambda df, n, *keys: (sizes.append((n, keys)), dealt(df, n, *keys))[1])
+    rng = np.random.default_rng(8)
+    center = rng.standard_normal(512)
+    rows = [(i, (center + 0.01 * rng.standard_normal(512)).tolist()) for i in range(100)]
+    out = rabitq.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {(r.n_links, r.component_id) for r in out} == {(99, 0)}
+    _, tables = rabitq.shape(100, rabitq.THRESHOLD, rabitq.MISS)
+    (spread,) = [n for n, keys in sizes if "key" in keys]
+    assert spread >= 100 * tables * 512 * 8 * 10 // (1 << 21)
+
+
+def test_many_links_of_a_group_are_folded(monkeypatch):
+    rng = np.random.default_rng(9)
+    x = rabitq.unit(np.concatenate([rng.standard_normal(32) + 0.02 * rng.standard_normal((60, 32)) for _ in range(3)]))
+    rng.shuffle(x)
+    keys, code, factor = rabitq.encode(x, 1, 2)
+    keys[:] = 0
+    n = len(x)
+    column = {"rep": np.arange(n) + 5, "copies": np.ones(n, np.int64), "d": np.full(n, 32, np.int32), "x": [v.tobytes() for v in x], "code": [v.tobytes() for v in code], "factor": factor, "t": np.zeros(n, np.int32), "key": keys[:, 0], "i": np.zeros(n, np.int32), "j": np.zeros(n, np.int32), "side": np.zeros(n, np.int32), "packed": [v.tobytes() for v in keys]}
+    table = pa.table(column)
+    want = [b.to_pydict() for b in rabitq._compare(table, 0.95, 5.0)]
+    assert len(set(want[0]["low"])) == 3 and set(want[0]["n"]) == {59}
+    monkeypatch.setattr(rabitq, "CHUNK", 100)
+    assert [b.to_pydict() for b in rabitq._compare(table, 0.95, 5.0)] == want
+
+
 def test_empty(spark):
     assert rabitq.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 

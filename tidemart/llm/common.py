@@ -8,6 +8,7 @@ import uuid
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,8 @@ _SHIPPED: set[str] = set()
 #: Rows of one Arrow batch: a batch is held whole by a Python worker, so with
 #: the longest texts (about 120 KB) a worker holds some tens of MB.
 BATCH_ROWS = 500
+#: Groups of rows that a task reads before it works on them, in bytes.
+GROUP_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> None:
@@ -109,6 +112,33 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
+def groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], least: int) -> Iterator[pa.Table]:
+    """Tables of whole groups of rows sorted by ``keys``, of ``least`` bytes or more but the last.
+
+    Holds no more than that, one group and one batch.
+    """
+    held: list[pa.RecordBatch] = []
+    size, last = 0, None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        columns = [column(b, k).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.zeros(b.num_rows, bool)
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        new[0] = last is not None and last != [c[0] for c in columns]
+        last = [c[-1] for c in columns]
+        size += b.nbytes
+        if size >= least and new.any():
+            cut = int(np.flatnonzero(new)[-1])
+            yield pa.Table.from_batches([*held, b.slice(0, cut)])
+            b = b.slice(cut)
+            held, size = [], b.nbytes
+        held.append(b)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def emit(rows: list[tuple], schema: pa.Schema, size: int = 20_000) -> Iterator[pa.RecordBatch]:
     for i in range(0, len(rows), size):
         part = rows[i : i + size]

@@ -20,7 +20,8 @@ of long texts (5 shingles, 32 sketches), 6e-7 for that of short texts (3, 20).
 Work of a bucket (texts with one sketch): first, one text of the bucket is
 aligned with the others; links join classes, and a bucket of one class is done.
 The other buckets go to tasks with their sequences (those of more than
-``BLOCK`` texts as pairs of blocks).  There one matrix product tells how many
+``BLOCK`` texts as pairs of blocks, sorted, so that a task holds few groups at
+a time).  There one matrix product tells how many
 shingles any two texts share, which bounds their similarity; pairs of different
 classes that the bound leaves are aligned until their classes are joined.  So
 no link between texts of a bucket is lost, and what is returned are joined
@@ -53,7 +54,7 @@ K, SIMILARITY, BLOCK = 5, 0.8, 512
 #: texts of sizes within SIMILARITY of each other are always in one family.
 FAMILIES = ((1, 50, 3, 20), (40, 2**31, 5, 32))
 SLICE = 2 << 20
-#: Sequences that a task compares, in bytes.
+#: Sequences that a task compares, with their copies in pairs of blocks, in bytes.
 TASK_BYTES = 16 << 20
 #: Hot buckets that may be broadcast (of 12 bytes); more are joined.
 HOT_ROWS = 100_000
@@ -285,10 +286,30 @@ def joined(nodes: list[int], classes: list[int], side: np.ndarray, cross: bool,
     return out
 
 
+def group_links(rows: pa.Table, least: float) -> list[tuple[int, int]]:
+    """Links that join classes, of whole groups (bucket, i, j)."""
+    bucket, i, j, side, node, cls = (rows.column(c).to_numpy() for c in ("bucket", "i", "j", "side", "node", "class"))
+    order = np.lexsort((node, side, j, i, bucket))
+    blobs = rows.column("seq")
+    change = np.flatnonzero(np.concatenate([[True], (bucket[order[1:]] != bucket[order[:-1]]) | (i[order[1:]] != i[order[:-1]]) | (j[order[1:]] != j[order[:-1]])]))
+    out = []
+    for x, y in zip(change, np.append(change[1:], len(order)), strict=True):
+        at = order[x:y]
+        if y - x > 1 and len(np.unique(cls[at])) > 1:
+            texts = [np.frombuffer(blobs[int(r)].as_buffer(), np.uint32) for r in at]
+            out += joined(node[at].tolist(), cls[at].tolist(), side[at], bool(i[at[0]] != j[at[0]]), texts, least)
+    return out
+
+
 def rest_links(mixed: DataFrame, seqs: DataFrame, least: float) -> DataFrame:
     """a, b: links that join classes of the buckets in ``mixed`` (bucket, node, n, class)."""
     spark = mixed.sparkSession
-    hot = common.stored(mixed.groupBy("bucket").agg(F.count("*").alias("m")).where(F.col("m") > BLOCK).select("bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "hot-buckets")
+    per_bucket = mixed.groupBy("bucket").agg(F.count("*").alias("m"), F.sum(F.col("n").cast("long") * 4).alias("bytes"))
+    hot = common.stored(per_bucket.where(F.col("m") > BLOCK).select("bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), "bytes"), "hot-buckets")
+    # each row of a hot bucket is copied once per block
+    size = (mixed.agg(F.sum(F.col("n").cast("long") * 4)).first()[0] or 0) + (hot.agg(F.sum(F.col("bytes") * (F.col("blocks") - 1))).first()[0] or 0)
+    spread = max(common.parts(spark), int(size) // TASK_BYTES + 1)
+    hot = hot.drop("bytes")
     hot = F.broadcast(hot) if hot.count() <= HOT_ROWS else hot
     dealt = (
         mixed.join(hot, "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
@@ -296,27 +317,12 @@ def rest_links(mixed: DataFrame, seqs: DataFrame, least: float) -> DataFrame:
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "class")
     )
-    size = mixed.agg(F.sum(F.col("n") * 4)).first()[0] or 0
-    spread = max(common.parts(spark), int(size) // TASK_BYTES + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if not got:
-            return
-        rows = pa.Table.from_batches(got)
-        bucket, i, j, side, node, cls = (rows.column(c).to_numpy() for c in ("bucket", "i", "j", "side", "node", "class"))
-        order = np.lexsort((node, side, j, i, bucket))
-        blobs = rows.column("seq")
-        change = np.flatnonzero(np.concatenate([[True], (bucket[order[1:]] != bucket[order[:-1]]) | (i[order[1:]] != i[order[:-1]]) | (j[order[1:]] != j[order[:-1]])]))
-        out = []
-        for x, y in zip(change, np.append(change[1:], len(order)), strict=True):
-            at = order[x:y]
-            if y - x > 1 and len(np.unique(cls[at])) > 1:
-                texts = [np.frombuffer(blobs[int(r)].as_buffer(), np.uint32) for r in at]
-                out += joined(node[at].tolist(), cls[at].tolist(), side[at], bool(i[at[0]] != j[at[0]]), texts, least)
-        yield from common.emit(out, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
-
-    return dealt.join(seqs, "node").repartition(spread, "bucket", "i", "j").mapInArrow(run, "a long, b long")
+        for rows in common.groups(batches, ("bucket", "i", "j"), common.GROUP_BYTES):
+            yield from common.emit(group_links(rows, least), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    return dealt.join(seqs, "node").repartition(spread, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, text_col: str = "text", k: int = K, least: float = SIMILARITY, kinds: tuple[tuple[int, int, int, int], ...] = FAMILIES) -> DataFrame:

@@ -19,7 +19,8 @@ chance that a pair at the threshold itself meets in no table (1e-4).
 A pair counts in the first table in which it meets, which both keys tell, so no
 list of pairs is made or deduplicated: each task returns, for each vector, its
 number of new links and the smallest vector it is connected with there.  A
-bucket of more than ``BLOCK`` vectors is dealt out as pairs of blocks.  Equal
+bucket of more than ``BLOCK`` vectors is dealt out as pairs of blocks; tasks
+read their groups sorted and hold few at a time.  Equal
 vectors are compared once, with their number.
 
 Defined results: vectors that are null, empty or zero, or hold null or
@@ -43,7 +44,7 @@ from tidemart.llm import common
 from tidemart.llm.components import components
 
 THRESHOLD, MISS, SIGMAS, BLOCK = 0.95, 1e-4, 5.0, 2048
-#: Vectors that a task compares, with their copies in other tables, in bytes.
+#: Vectors that a task compares, with their copies in other tables and pairs of blocks, in bytes.
 TASK_BYTES = 16 << 20
 #: Hot buckets that may be broadcast (of 20 bytes); more are joined.
 HOT_ROWS = 100_000
@@ -131,6 +132,19 @@ def linked(x: np.ndarray, code: np.ndarray, factor: np.ndarray, a: np.ndarray, b
     return near, np.einsum("ij,ij->i", x[a[near]], x[b[near]]) >= threshold
 
 
+def _roots(a: np.ndarray, b: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """The smallest of ``low`` among the rows connected with each row by pairs (a, b)."""
+    low = low.copy()
+    while len(a):
+        before = low.copy()
+        m = np.minimum(low[a], low[b])
+        np.minimum.at(low, a, m)
+        np.minimum.at(low, b, m)
+        if (low == before).all():
+            break
+    return low
+
+
 def _compare(rows: pa.Table, threshold: float, sigmas: float) -> Iterator[pa.RecordBatch]:
     number = {name: rows.column(name).to_numpy() for name in ("rep", "copies", "d", "t", "key", "i", "j", "side", "factor")}
     for d in np.unique(number["d"]):
@@ -149,8 +163,7 @@ def _compare(rows: pa.Table, threshold: float, sigmas: float) -> Iterator[pa.Rec
             change[1:] |= n[c][1:] != n[c][:-1]
         group = np.cumsum(change) - 1
         links = np.zeros(len(at), np.int64)
-        low = n["rep"].copy()
-        found = []
+        found, kept = [], 0
         for a, b in _pairs(group, n["i"] != n["j"], n["side"]):
             near, exact = linked(x, code, n["factor"], a, b, turned, threshold, sigmas)
             a, b = a[near[exact]], b[near[exact]]
@@ -161,14 +174,12 @@ def _compare(rows: pa.Table, threshold: float, sigmas: float) -> Iterator[pa.Rec
             np.add.at(links, a, n["copies"][b])
             np.add.at(links, b, n["copies"][a])
             found.append((a, b))
-        a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
-        while len(a):
-            before = low.copy()
-            m = np.minimum(low[a], low[b])
-            np.minimum.at(low, a, m)
-            np.minimum.at(low, b, m)
-            if (low == before).all():
-                break
+            kept += len(a)
+            if kept > CHUNK:  # one pair a row tells as much
+                root = _roots(*(np.concatenate(f) for f in zip(*found)), np.arange(len(at)))
+                joined = np.flatnonzero(root != np.arange(len(at)))
+                found, kept = [(joined, root[joined])], 0
+        low = _roots(*(np.concatenate(f) for f in zip(*found)), n["rep"]) if found else n["rep"]
         has = links > 0
         yield pa.RecordBatch.from_arrays([pa.array(n["rep"][has]), pa.array(links[has]), pa.array(low[has])], ["rep", "n", "low"])
 
@@ -182,14 +193,19 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     usable = F.expr(f"vec_id is not null and size(embedding) > 0 and not {bad} and exists(embedding, v -> v <> 0)")
     keyed = read.withColumn("usable", F.coalesce(usable, F.lit(False))).withColumn("h", F.xxhash64("embedding"))
     vectors = common.stored(keyed.where("usable").groupBy("h", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vectors")
-    n = vectors.count()
+    n, numbers = vectors.agg(F.count("*"), F.sum(F.size("embedding"))).first()
     bits, tables = shape(n, threshold, miss)
     codes = common.stored(coded(vectors, bits, tables), "codes")
     in_tables = codes.select("rep", "copies", "d", "x", "packed", "code", "factor", F.posexplode("keys").alias("t", "key"))
 
     # buckets of more than BLOCK vectors meet as pairs of blocks
     hot = codes.select(F.posexplode("keys").alias("t", "key"), "d").groupBy("t", "key", "d").agg(F.count("*").alias("m")).where(F.col("m") > BLOCK)
-    hot = common.stored(hot.select("t", "key", "d", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "hot-buckets")
+    hot = common.stored(hot.select("t", "key", "d", "m", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "hot-buckets")
+    # a row holds the vector, its code, all keys and some numbers; in a hot bucket it is copied once per block
+    fixed = 4 * tables + 72
+    copied = hot.agg(F.sum(F.col("m") * (F.col("blocks") - 1) * (F.col("d") * 65 / 8 + fixed))).first()[0] or 0
+    spread = max(common.parts(spark), int((n * fixed + (numbers or 0) * 65 / 8) * tables + copied) // TASK_BYTES + 1)
+    hot = hot.drop("m")
     hot = F.broadcast(hot) if hot.count() <= HOT_ROWS else hot
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     dealt = (
@@ -200,12 +216,10 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if got:
-            yield from _compare(pa.Table.from_batches(got).combine_chunks(), threshold, sigmas)
+        for rows in common.groups(batches, ("t", "key", "d", "i", "j"), common.GROUP_BYTES):
+            yield from _compare(rows.combine_chunks(), threshold, sigmas)
 
-    spread = max(common.parts(spark), n * tables * 600 // TASK_BYTES + 1)
-    met = common.stored(dealt.repartition(spread, "t", "key", "d", "i", "j").mapInArrow(run, "rep long, n long, low long"), "links")
+    met = common.stored(dealt.repartition(spread, "t", "key", "d", "i", "j").sortWithinPartitions("t", "key", "d", "i", "j").mapInArrow(run, "rep long, n long, low long"), "links")
     counts = met.groupBy("rep").agg(F.sum("n").alias("n"))
     groups = components(met.select(F.col("rep").alias("a"), F.col("low").alias("b")))
     known = vectors.join(counts, "rep", "left").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
