@@ -5,10 +5,11 @@ a lost executor never costs more than the running stage.  All stages but the
 last return the columns of ``documents``; the last one returns the encoding of
 each document that is left.  A stage works on all that its predecessor kept.
 
-A null text passes the filters (it has no words) and is encoded as no ids.  Of
-copies the row with the smallest doc_id stays, and of equal rows of one id one;
-a row without doc_id cannot be named by a decision about copies or phrases and
-stays.
+A null text passes the filters (it has no words) and is encoded as no ids.
+Decisions about copies and phrases name rows by doc_id and text, so they hold
+for rows without doc_id and for several texts under one.  Of copies the row with
+the smallest doc_id stays (one without id only if no copy has one), and of equal
+rows one.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm import common, decontam, orderminhash, substring, toxicity, trie_bpe
 
+_KEY = "__td_key"
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -30,11 +32,11 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each class of near copies: that with the smallest doc_id."""
-    classes = orderminhash.near_duplicates(docs)
-    dropped = classes.where("not kept").select("doc_id").distinct()
-    left = docs.join(dropped, "doc_id", "left_anti").withColumn("__td_key", F.xxhash64("text"))
-    return left.dropDuplicates(["doc_id", "__td_key"]).select(*docs.columns)
+    """Keep one row of each class of near copies: that with the smallest doc_id."""
+    classes = orderminhash.near_duplicates(docs, by_row=True)
+    dropped = classes.where("not kept").select(F.col("row").alias(_KEY)).distinct()
+    left = docs.withColumn(_KEY, orderminhash.row_key()).join(dropped, _KEY, "left_anti")
+    return left.dropDuplicates(["doc_id", _KEY]).select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +49,10 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents in which phrases of benchmark items occur."""
-    found = decontam.contamination(docs, common.table(spark, sf_dir, "benchmark"))
-    dropped = found.where("contaminated").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    keyed = docs.withColumn(_KEY, orderminhash.row_key())
+    found = decontam.contamination(keyed.select(F.col(_KEY).alias("doc_id"), "text"), common.table(spark, sf_dir, "benchmark"))
+    dropped = found.where("contaminated").select(F.col("doc_id").alias(_KEY)).distinct()
+    return keyed.join(dropped, _KEY, "left_anti").select(*docs.columns)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,6 +60,27 @@ def test_stages_over_a_whole_table(spark):
         assert r.round_trip and r.ids == ",".join(map(str, library.encode(texts[r.doc_id]).ids))
 
 
+def test_decisions_hold_for_rows_without_or_with_shared_ids(spark, tmp_path):
+    from .data import documents, words
+
+    a, b, c, d, e, leak = (words(100, 20 + i) for i in range(6))
+    text = " ".join
+    rows = [
+        (1, text(a)), (1, text(b)), (2, text(a[1:])), (1, text(b[1:])),  # two texts under one id, each with a near copy; one of those under it too
+        (None, text(c)), (None, text(c[2:])), (3, text(d)), (None, text(d[1:])),  # near copies without id
+        (4, text(e)), (4, text(leak)), (None, text(leak[50:])), (5, None), (None, None), (3, text(d)),
+    ]
+    docs = documents(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.minhash_dedup(spark, docs, "").collect()]
+    assert len(left) == len(set(left)) and set(left) <= set(rows)
+    kept = lambda *texts: [r for r in left if r[1] in {text(t) for t in texts}]
+    assert kept(a, a[1:]) == [(1, text(a))] and len(kept(b, b[1:])) == 1 and len(kept(c, c[2:])) == 1 and kept(d, d[1:]) == [(3, text(d))]
+    assert {(4, text(e)), (4, text(leak)), (5, None), (None, None)} <= set(left)
+    spark.createDataFrame([(1, text(leak[60:80]))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = [(r.doc_id, r.text) for r in corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()]
+    assert sorted(clean, key=repr) == sorted((r for r in rows if r[1] not in (text(leak), text(leak[50:]))), key=repr)
+
+
 def test_edge_rows_pass_all_stages(spark, tmp_path):
     from .data import documents
 

@@ -42,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm import common, textops
@@ -325,11 +325,19 @@ def rest_links(mixed: DataFrame, seqs: DataFrame, least: float) -> DataFrame:
     return dealt.join(seqs, "node").repartition(spread, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, text_col: str = "text", k: int = K, least: float = SIMILARITY, kinds: tuple[tuple[int, int, int, int], ...] = FAMILIES) -> DataFrame:
-    """doc_id, class_id, kept (one row of each class) for every document."""
+def row_key(text_col: str = "text") -> Column:
+    """Names a row by doc_id and text; equal rows have one key."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col(text_col))
+
+
+def near_duplicates(docs: DataFrame, text_col: str = "text", k: int = K, least: float = SIMILARITY, kinds: tuple[tuple[int, int, int, int], ...] = FAMILIES, by_row: bool = False) -> DataFrame:
+    """doc_id, class_id, kept (one row of each class) for every document; ``by_row``: row (``row_key``) and kept.
+
+    By row the one that is kept is the first by (doc_id, row), ids that are null last.
+    """
     spark = docs.sparkSession
     common.prepare(spark)
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).alias(_TEXT)).withColumn("row", F.xxhash64("doc_id", _TEXT))
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).alias(_TEXT)).withColumn("row", row_key(_TEXT))
     rows = common.stored(sketch_table(read, k, kinds), "sketches")
 
     # buckets of two or more different texts; at first each text is a class of its own
@@ -358,9 +366,13 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", k: int = K, least:
     classes = components(more.union(classes.toDF("a", "b")))
 
     # node -> class, named by the smallest document
-    named = rows.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).select("doc_id", "node", "class")
+    named = rows.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).select("doc_id", "row" if by_row else "node", "class")
     # stored, so that the join with a hot class is one of plain exchanges, which Spark splits
     named = common.stored(named, "classes")
+    if by_row:
+        order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
+        firsts = common.stored(named.where("class is not null").groupBy("class").agg(F.min(order).alias("first")).select("class", F.col("first.row").alias("first")), "class-rows")
+        return named.join(firsts, "class", "left").select("row", F.coalesce(F.col("row") == F.col("first"), F.lit(True)).alias("kept"))
     names = common.stored(named.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("class_id")), "class-names")
     out = named.join(names, "class", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
     return out.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
