@@ -71,3 +71,11 @@ def test_proximity(spark):
         runs = [(i, j) for i in range(len(w)) for j in range(i + 1, min(i + 5, len(w)) + 1) if {"a", "b", "c"} <= set(w[i:j])]
         expected += [(doc, i, j) for i, j in runs if not any((x, y) != (i, j) and x >= i and y <= j for x, y in runs)]
     assert sorted((r.doc_id, r.lo, r.hi) for r in got) == sorted(expected)
+
+
+def test_repeated_items_are_read_once(spark, monkeypatch):
+    """Equal rows fall in one block, whatever its bound."""
+    items = [(7, "a b c d e f g h i j k")] * 500 + [(i, f"x{i} y z") for i in range(100, 140)]
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 200)
+    blocks = list(decontam._blocks(_table(spark, items), "item_id", "text"))
+    assert sorted(x for b in blocks for x in b) == sorted({(str(i), t) for i, t in items}) and max(map(len, blocks)) < 41

@@ -153,8 +153,9 @@ class _Shard:
 
 
 def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[str, str]]]:
-    """The items as (id, text), in blocks of about BLOCK_BYTES."""
+    """The items as (id, text), in blocks of about BLOCK_BYTES; equal items once."""
     read = items.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).where("text is not null")
+    read = common.stored(read.distinct(), "benchmark-items")
     size = read.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(size // BLOCK_BYTES) + 1
     for i in range(n):
