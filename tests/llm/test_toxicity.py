@@ -65,3 +65,27 @@ def test_without_both_classes(spark):
         assert out.where("score <> 0 or predicted <> 0").count() == 0
         assert out.where(F.col("lang") == "en").count() == docs.count()
     assert toxicity.score(documents(spark, []), toxicity.fit(docs, labels)).count() == 0
+
+
+def test_long_texts_are_replaced_or_kept_whole(spark):
+    """A class whose texts are all or mostly beyond the bound."""
+    rows = [(i, t if i % 3 else t + (" x" * 300 if i % 2 else " x" * 400), y) for i, t, y in _made()]
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    for rows_, bound in ((600, 100), (600, 1000), (60, 3000)):
+        model = toxicity.fit(documents(spark, [r[:2] for r in rows]), labels, rows=rows_, text_bytes=bound)
+        assert len(model.keys) and model.scores(*textops.buffers(pa.array(["so awful", "all is well"]))).tolist()[0] > 0.7
+
+
+def test_long_clean_texts_stay_clean():
+    rows = _made()
+    model = toxicity.train([r[1] for r in rows], np.array([r[2] for r in rows]))
+    clean = [". ".join(" ".join(words(8, 7 * s, vocabulary=300)) for s in range(n)) for n in (10, 1000, 6000)]
+    assert max(model.scores(*textops.buffers(pa.array(clean)))) < 0.1
+    assert model.scores(*textops.buffers(pa.array([clean[2] + ". so awful"])))[0] > 0.7
+
+
+def test_rare_words_of_a_large_sample_count():
+    """A word of 20 in 3,000 toxic texts."""
+    rows = [(" ".join(words(8, i, vocabulary=300)) + (". zyxwv" if i < 20 else ". badword" if i < 3000 else ""), i < 3000) for i in range(6000)]
+    model = toxicity.train([r[0] for r in rows], np.array([r[1] for r in rows]))
+    assert model.scores(*textops.buffers(pa.array(["zyxwv", "badword"]))).min() > 0.7

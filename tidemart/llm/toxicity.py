@@ -8,11 +8,14 @@ Words are runs of ASCII letters and digits (A-Z lower-cased) and characters
 beyond ASCII; features are words and their first 4, 5 and 6 bytes (known word
 stems with endings never seen count too).  Sentences end at ``. ! ?`` or a line end.
 Only features that are markedly more frequent in toxic documents get a weight:
-everything else cannot make a document toxic and is part of the bias.
-
-The model is fitted on a bounded sample: at most ``TRAIN_ROWS`` labelled rows of
-each class (those with the smallest hashes of doc_id, over the whole table),
-texts of at most ``TRAIN_BYTES`` bytes, in one task; only the weights (at most
+everything else cannot make a document toxic.  A sentence without weighted
+features scores 0, so long clean texts do not add up to a toxic one.
+
+The model is fitted on a bounded sample, in one task: at most ``TRAIN_ROWS``
+labelled texts of each class, of all texts of at most ``TRAIN_BYTES`` bytes those
+with the smallest hashes of doc_id.  If these are too few, the shortest of the
+longer texts follow, whole, until the class has ``TRAIN_ROWS`` rows or
+``TRAIN_ROWS`` x ``TRAIN_BYTES`` bytes (one text more, if it alone has more); only the weights (at most
 ``MAX_FEATURES``) come to the driver.  Scoring covers whole texts of all rows.
 Labels, lang, source and doc_id are never features.
 
@@ -30,13 +33,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.llm import common, textops
 
 TRAIN_ROWS, TRAIN_BYTES = 3000, 16 << 10
 MAX_FEATURES, LEAST_DOCS, LEAST_SHARE, LEAST_ODDS = 20_000, 4, 0.01, 1.5
+#: Toxic documents that are enough for a feature, however many there are.
+ENOUGH_DOCS = 12
 THRESHOLD = 0.7
 STEMS = (4, 5, 6)
 SLICE = 2 << 20
@@ -106,8 +111,7 @@ class Model:
             return np.zeros(len(offsets) - 1)
         *_, own, p, whose, _ = self.sentence_scores(data, offsets)
         texts = len(offsets) - 1
-        plain = np.bincount(whose, minlength=texts) - np.bincount(whose[own], minlength=texts)
-        miss = plain * np.log1p(-1 / (1 + np.exp(-self.bias))) + np.bincount(whose[own], np.log1p(-np.minimum(p, 1 - 1e-12)), texts)
+        miss = np.bincount(whose[own], np.log1p(-np.minimum(p, 1 - 1e-12)), texts)
         return -np.expm1(miss)
 
 
@@ -127,7 +131,7 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 300, l2: float = 1
         starts, ends, _, _ = sentences(own, np.array([0, len(own)]))
         found.append(np.unique(np.concatenate([h for _, h in features(own, starts, ends)])))
     keys, toxic = np.unique(np.concatenate(found), return_counts=True)
-    enough = toxic >= max(min(LEAST_DOCS, y.sum() / 4), LEAST_SHARE * y.sum())
+    enough = toxic >= max(min(LEAST_DOCS, y.sum() / 4), min(ENOUGH_DOCS, LEAST_SHARE * y.sum()))
     keys, toxic = keys[enough], toxic[enough]
     if not len(keys):
         return empty
@@ -160,19 +164,17 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 300, l2: float = 1
     pair = pair // len(keys) * len(good) + number[pair % len(keys)]
     own, row = np.unique(pair // len(good), return_inverse=True)
     col, who = pair % len(good), whose[own]
-    plain = np.bincount(whose, minlength=len(y)) - np.bincount(who, minlength=len(y))
     # both classes weigh the same
     share = np.where(y, 0.5 / y.sum(), 0.5 / (~y).sum())
     w, b = odds[good], -6.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, rounds + 1):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[col], len(own)) + b, -30, 30)))
-        p0 = 1 / (1 + np.exp(-b))
-        miss = np.exp(np.bincount(who, np.log1p(-p + 1e-12), len(y)) + plain * np.log1p(-p0))
+        miss = np.exp(np.bincount(who, np.log1p(-p + 1e-12), len(y)))
         pull = np.where(y, miss / np.maximum(1 - miss, 1e-9), -1.0) * share  # d log likelihood / d -log(1 - p)
         gz = pull[who] * p
         gw = np.bincount(col, gz[row], len(w)) - l2 * w / len(w)
-        gb = gz.sum() + (pull * plain).sum() * p0
+        gb = gz.sum()
         m, v, mb, vb = 0.9 * m + 0.1 * gw, 0.99 * v + 0.01 * gw**2, 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb**2
         c, d = 1 - 0.9**t, 1 - 0.99**t
         w = np.maximum(w + 0.1 * (m / c) / (np.sqrt(v / d) + 1e-9), 0)  # evidence for, never against
@@ -188,10 +190,17 @@ def held_out(doc_id: str = "doc_id"):
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, text_bytes: int = TRAIN_BYTES) -> Model:
     """Train on at most ``rows`` rows of each class."""
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)").where(~held_out())
-    chosen = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for c in (0, 1)]
-    # at most 2 * rows pairs of numbers: the bound that makes the broadcast safe
-    read = docs.select("doc_id", F.col("text")).where(F.octet_length("text") <= text_bytes)
-    sample = read.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").select("doc_id", "text", "toxic")
+    read = docs.select("doc_id", "text", F.octet_length("text").alias("size")).where("size is not null")
+    there = known.join(read.select("doc_id", "size").distinct(), "doc_id")
+    upto = Window.orderBy("at", "hash", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    chosen = []
+    for c in (0, 1):
+        # texts within text_bytes by hash, then the shortest of the longer ones
+        first = there.where(F.col("toxic") == c).withColumns({"at": F.greatest("size", F.lit(text_bytes)), "hash": F.xxhash64("doc_id")}).orderBy("at", "hash", "doc_id").limit(rows)
+        first = first.withColumns({"total": F.sum(F.col("size").cast("long")).over(upto), "nth": F.count("*").over(upto)})
+        chosen.append(first.where((F.col("total") <= rows * text_bytes) | (F.col("nth") == 1)).select("doc_id", "size", "toxic"))
+    # at most 2 * rows triples of numbers: the bound that makes the broadcast safe
+    sample = read.join(F.broadcast(chosen[0].union(chosen[1])), ["doc_id", "size"]).select("doc_id", "text", "toxic")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = sorted({r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True)})
