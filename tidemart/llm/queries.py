@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import common, decontam, htmlblocks, orderminhash, planes, rabitq, substring, toxicity, trie_bpe, urlfilter, warc
+from tidemart.llm import common, decontam, htmlblocks, orderminhash, planes, rabitq, ranked, substring, toxicity, trie_bpe, urlfilter, warc
 
 
 def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +63,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op13_range_maximum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(ranked.build(common.table(spark, sf_dir, "documents")), common.table(spark, sf_dir, "benchmark"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_planes": op1_token_planes,
@@ -75,6 +79,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_trie_bpe": op8_trie_bpe,
         "op9_text_blocks": op9_text_blocks,
         "op10_toxicity": op10_toxicity,
+        "op13_range_maximum": op13_range_maximum,
     }
 
 
@@ -141,5 +146,23 @@ from g
 """
 
 
+OP13_SQL = r"""
+with letters as (select 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' as up, 'abcdefghijklmnopqrstuvwxyz' as low),
+d as (select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), up, low), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents, letters),
+i as (select row_number() over () as i, item_id, regexp_extract_all(translate(coalesce(text, ''), up, low), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from (select distinct item_id, text from benchmark), letters),
+corpus as (select count(*) as n, sum(len(w)) as l from d where len(w) > 0),
+tf as (select r, term, count(*) as tf from (select r, unnest(w) as term from d) group by r, term),
+weights as (select term, cast(floor(1000 * ln(cast(2 * any_value(n) + 2 as double) / cast(2 * count(*) + 1 as double))) as bigint) as w from tf, corpus group by term),
+norms as (select r, doc_id, 10 + cast((90 * len(d.w) * n) // l as bigint) as m from d, corpus),
+asked as (select distinct i, item_id, term from (select i, item_id, unnest(w) as term from i)),
+scores as (
+  select i, any_value(item_id) as item_id, r, any_value(doc_id) as doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+  from asked join tf using (term) join weights using (term) join norms using (r) group by i, r),
+ranked as (select item_id, cast(row_number() over (partition by i order by score desc, doc_id nulls last) as integer) as rank, doc_id, score from scores where score > 0)
+select * from ranked where rank <= 10
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op2_url_vocabulary": op2_sql(), "op6_warc_dictionary": OP6_SQL, "op7_decontamination": OP7_SQL}
+    return {"op2_url_vocabulary": op2_sql(), "op6_warc_dictionary": OP6_SQL, "op7_decontamination": OP7_SQL, "op13_range_maximum": OP13_SQL}
