@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import common, decontam, htmlblocks, orderminhash, planes, rabitq, ranked, substring, toxicity, trie_bpe, urlfilter, warc
+from tidemart.llm import common, convtrie, decontam, htmlblocks, orderminhash, planes, rabitq, ranked, substring, toxicity, trie_bpe, urlfilter, warc
 
 
 def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +63,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convtrie.trie(common.table(spark, sf_dir, "conversations"))
+
+
 def op13_range_maximum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(ranked.build(common.table(spark, sf_dir, "documents")), common.table(spark, sf_dir, "benchmark"))
 
@@ -79,6 +83,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_trie_bpe": op8_trie_bpe,
         "op9_text_blocks": op9_text_blocks,
         "op10_toxicity": op10_toxicity,
+        "op12_conversation_trie": op12_conversation_trie,
         "op13_range_maximum": op13_range_maximum,
     }
 
@@ -146,6 +151,36 @@ from g
 """
 
 
+#: Turns are named by their digests; crc32 takes a byte, then eight shifts.
+OP12_SQL = r"""
+with t as (
+  select conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as k,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as words
+  from conversations where conv_id is not null),
+dictionary as (select k, row_number() over (order by k) as id, any_value(words) as words from t group by k),
+own as (select conv_id, list(id order by turn nulls first, k) as s from t join dictionary using (k) group by conv_id),
+crc as (
+  select conv_id, s, xor(4294967295, list_reduce(flatten([[4294967295], flatten([[ascii(x), -1, -1, -1, -1, -1, -1, -1, -1] for x in string_split(cast(conv_id as varchar), '')])]),
+    lambda a, b: case when b >= 0 then xor(a, b) else xor(a >> 1, 3988292384 * (a & 1)) end)) % 4 as h
+  from own),
+built as (select c.conv_id, list_concat(coalesce(d.s[1 : h], []), c.s[h + 1 :]) as s from crc c left join own d on d.conv_id = c.conv_id - c.conv_id % 20),
+paths as (select conv_id, d, s[1 : d] as p, len(s) = d as ends from (select conv_id, s, unnest(generate_series(0, len(s))) as d from built)),
+nodes as (
+  select p, any_value(d) as d, min(conv_id) as low, count(*) as n, coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (ends), '') as ids
+  from paths group by p),
+children as (select p[1 : d - 1] as p, count(*) as n_children from nodes where d > 0 group by all),
+full_nodes as (
+  select nodes.*, coalesce(n_children, 0) as n_children, case when d > 0 then (n - 1) * words else 0 end as saved
+  from nodes left join children using (p) left join dictionary on id = p[d]),
+sums as (
+  select p[1 : a] as p, sum((n_children = 0)::int) as n_leaves, sum(saved) as saved
+  from (select p, n_children, saved, unnest(generate_series(0, d)) as a from full_nodes) group by all)
+select f.low as conv_id, f.d as depth, u.low as parent_conv_id, f.n as n_convs, f.n_children as n_children, cast(n_leaves as bigint) as n_leaves,
+  cast(sums.saved as bigint) as saved_tokens, sha256(f.ids) as ends_sha256
+from full_nodes f join sums using (p) left join nodes u on f.d > 0 and u.p = f.p[1 : f.d - 1]
+"""
+
+
 OP13_SQL = r"""
 with letters as (select 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' as up, 'abcdefghijklmnopqrstuvwxyz' as low),
 d as (select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), up, low), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents, letters),
@@ -165,4 +200,4 @@ select * from ranked where rank <= 10
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_url_vocabulary": op2_sql(), "op6_warc_dictionary": OP6_SQL, "op7_decontamination": OP7_SQL, "op13_range_maximum": OP13_SQL}
+    return {"op2_url_vocabulary": op2_sql(), "op6_warc_dictionary": OP6_SQL, "op7_decontamination": OP7_SQL, "op12_conversation_trie": OP12_SQL, "op13_range_maximum": OP13_SQL}
