@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import common, convtrie, decontam, htmlblocks, orderminhash, planes, rabitq, ranked, substring, toxicity, trie_bpe, urlfilter, warc
+from tidemart.llm import common, convtrie, decontam, htmlblocks, orderminhash, planes, rabitq, ranked, substring, suffixes, toxicity, trie_bpe, urlfilter, warc
 
 
 def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +63,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op11_induced_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.remove_repeats(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convtrie.trie(common.table(spark, sf_dir, "conversations"))
 
@@ -83,6 +88,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_trie_bpe": op8_trie_bpe,
         "op9_text_blocks": op9_text_blocks,
         "op10_toxicity": op10_toxicity,
+        "op11_induced_suffixes": op11_induced_suffixes,
         "op12_conversation_trie": op12_conversation_trie,
         "op13_range_maximum": op13_range_maximum,
     }
