@@ -97,7 +97,7 @@ def test_induced_sorting_of_random_texts(tmp_path, monkeypatch):
 def test_queues_go_to_disk_and_leave_nothing(tmp_path):
     rng = np.random.default_rng(3)
     part = rng.integers(1, 60, 5000).astype(np.uint16)
-    text = np.concatenate([part, rng.integers(1, 60, 3000).astype(np.uint16), part[1000:], [0]]).astype(np.uint16)
+    text = np.concatenate([part, rng.integers(1, 60, 2999), [70], part[1000:], [0]]).astype(np.uint16)
     spill = induced.Spill(str(tmp_path / "q"), 5_000)
     found = induced.shared_with_another(text, 400, spill)
     assert spill.runs > 3

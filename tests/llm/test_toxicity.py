@@ -89,3 +89,13 @@ def test_rare_words_of_a_large_sample_count():
     rows = [(" ".join(words(8, i, vocabulary=300)) + (". zyxwv" if i < 20 else ". badword" if i < 3000 else ""), i < 3000) for i in range(6000)]
     model = toxicity.train([r[0] for r in rows], np.array([r[1] for r in rows]))
     assert model.scores(*textops.buffers(pa.array(["zyxwv", "badword"]))).min() > 0.7
+
+
+def test_few_labels_teach_nothing(spark):
+    """Two toxic texts among many: no word of theirs makes another text toxic."""
+    texts = [" ".join(words(60, i, vocabulary=500)) for i in range(200)]
+    assert not len(toxicity.train(texts, np.arange(200) < 2).keys)
+    assert not len(toxicity.train(texts[:12], np.arange(12) < 6).keys)
+    model = toxicity.train([t + " awful" * (i < 5) for i, t in enumerate(texts)], np.arange(200) < 5)
+    assert model.scores(*textops.buffers(pa.array(texts))).max() < 0.7
+    assert model.scores(*textops.buffers(pa.array(["so awful"])))[0] > 0.5

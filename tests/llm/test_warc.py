@@ -48,6 +48,23 @@ def test_records_are_single_frames_behind_a_dictionary(tmp_path):
         list(warc.records(str(tmp_path / "cut.warc.zst")))
 
 
-def test_files_are_rotated_and_empty_tables_work(spark, monkeypatch):
+def test_files_are_rotated(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
+    rows = [(i, f"http://x/{i}", " ".join(str(j * i) for j in range(3000))) for i in range(30)]
+    manifest = warc.write(_table(spark, rows).coalesce(1), common.scratch(spark, "warc"))
+    sizes = manifest.collect()
+    assert len(sizes) >= 3 and sum(r.n_records for r in sizes) == 30 and len({r.uri for r in sizes}) == len(sizes)
+    got = warc.read(manifest).collect()
+    assert sorted((r.page_id, r.url, bytes(r.payload).decode()) for r in got) == rows
+
+
+def test_dictionary_is_trained_on_records(spark):
+    rows = [(i, f"http://host.example/path/{i}", f"<html><p>page {i * 7919}</p></html>") for i in range(500)]
+    payloads, urls = warc.sample(_table(spark, rows))
+    assert len(payloads) == len(urls) == 500
+    assert b"WARC-Payload-Digest: sha1:" in warc.train(payloads, urls=urls)
+
+
+def test_empty_tables(spark):
     assert warc.read(warc.write(_table(spark, []), common.scratch(spark, "warc"))).count() == 0
     assert warc.train([]) == b""

@@ -21,8 +21,9 @@ Labels, lang, source and doc_id are never features.
 
 Defined results: null and empty texts have no sentence and score 0; labels that
 are null, or rows in the held-out part, are not learned from; of several labels
-for one doc_id all count; without rows of both classes every score is 0; other
-columns pass through, but the result's own columns replace columns of the same
+for one doc_id all count; with fewer than ``LEAST_DOCS`` texts of a class or
+``LEAST_LABELLED`` in all (words of one or two texts say nothing), or without
+rows of both classes, every score is 0; other columns pass through, but the result's own columns replace columns of the same
 name.
 """
 
@@ -40,6 +41,7 @@ from tidemart.llm import common, textops
 
 TRAIN_ROWS, TRAIN_BYTES = 3000, 16 << 10
 MAX_FEATURES, LEAST_DOCS, LEAST_SHARE, LEAST_ODDS = 20_000, 4, 0.01, 1.5
+LEAST_LABELLED = 20
 #: Toxic documents that are enough for a feature, however many there are.
 ENOUGH_DOCS = 12
 THRESHOLD = 0.7
@@ -119,7 +121,7 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 300, l2: float = 1
     """Maximum likelihood of noisy-or over sentences; features are chosen by document frequency."""
     empty = Model(np.zeros(0, np.uint64), np.zeros(0), 0.0)
     y = np.asarray(labels, bool)
-    if not y.any() or y.all():
+    if min(y.sum(), (~y).sum()) < LEAST_DOCS or len(y) < LEAST_LABELLED:
         return empty
     data, offsets = textops.buffers(pa.array(texts, pa.large_string()))
     slices = textops.slices(offsets, SLICE // 4)
@@ -131,7 +133,7 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 300, l2: float = 1
         starts, ends, _, _ = sentences(own, np.array([0, len(own)]))
         found.append(np.unique(np.concatenate([h for _, h in features(own, starts, ends)])))
     keys, toxic = np.unique(np.concatenate(found), return_counts=True)
-    enough = toxic >= max(min(LEAST_DOCS, y.sum() / 4), min(ENOUGH_DOCS, LEAST_SHARE * y.sum()))
+    enough = toxic >= max(LEAST_DOCS, min(ENOUGH_DOCS, LEAST_SHARE * y.sum()))
     keys, toxic = keys[enough], toxic[enough]
     if not len(keys):
         return empty

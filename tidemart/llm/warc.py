@@ -3,9 +3,10 @@
 File layout (as public tools for ``.warc.zst`` read it): a leading skippable
 frame (magic 0x184D2A5D) holds the dictionary; each record is a frame of its
 own that needs it, so any record can be read alone.  The dictionary is trained
-once for an archive set, from the payloads of at most ``TRAIN_RECORDS`` pages
-(``TRAIN_BYTES`` bytes of each), chosen by a hash over the whole table; what it
-holds changes sizes only, never what is read back.
+once for an archive set, from the records - header and block - of at most
+``TRAIN_RECORDS`` pages (of each the first ``TRAIN_BYTES`` characters of the
+payload), chosen by a hash over the whole table; what it holds changes sizes
+only, never what is read back.
 
 A task writes files of about ``FILE_BYTES`` and starts a new one beyond.  Of the
 records with equal payloads (by SHA-1) the one with the largest page_id is a
@@ -44,21 +45,23 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"
 
 
-def train(samples: list[bytes], size: int = DICT_BYTES) -> bytes:
-    """A dictionary of at most ``size`` bytes; of too few samples, their plain content."""
-    samples = [s for s in samples if s]
+def train(payloads: list[bytes], size: int = DICT_BYTES, urls: list[str | None] | None = None, date: str = DATE) -> bytes:
+    """A dictionary of at most ``size`` bytes from the records that archive these payloads; of too few, their plain content."""
+    urls = urls or [None] * len(payloads)
+    samples = [record(i, u, p, None, False, date) for i, (p, u) in enumerate(zip(payloads, urls, strict=True)) if p]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too few or too short to train on
         return b"".join(samples)[:size]
 
 
-def sample(pages: DataFrame, html_col: str = "html") -> list[bytes]:
-    """Bounded sample for ``train``: beginnings of the pages with the smallest hashes of their id."""
+def sample(pages: DataFrame, html_col: str = "html") -> tuple[list[bytes], list[str | None]]:
+    """Bounded sample for ``train``, payloads and urls: beginnings of the pages with the smallest hashes of their id."""
     chosen = pages.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(TRAIN_RECORDS)
-    read = pages.select("page_id", F.substring(html_col, 1, TRAIN_BYTES).alias("html")).where("html <> ''")
-    rows = read.join(F.broadcast(chosen), "page_id").select("html").distinct().limit(TRAIN_RECORDS).collect()
-    return sorted(r["html"].encode() for r in rows)
+    read = pages.select("page_id", "url", F.substring(html_col, 1, TRAIN_BYTES).alias("html")).where("html <> ''")
+    rows = read.join(F.broadcast(chosen), "page_id").select("html", "url").distinct().limit(TRAIN_RECORDS).collect()
+    rows = sorted((r["html"].encode(), r["url"] or "") for r in rows)
+    return [p for p, _ in rows], [u for _, u in rows]
 
 
 def digest(payload: bytes) -> str:
@@ -141,7 +144,8 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0, date: str = DATE, h
     spark = pages.sparkSession
     common.prepare(spark)
     read = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    dictionary = train(sample(read))
+    payloads, urls = sample(read)
+    dictionary = train(payloads, urls=urls, date=date)
     keyed = read.withColumn("digest", F.unhex(F.sha1("html")))
     many = (
         keyed.where(F.octet_length("html") >= min_bytes).groupBy("digest")
