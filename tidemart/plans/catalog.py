@@ -39,9 +39,12 @@ from tidemart.sources.csv_feeds import (
     read_transactions_csv,
     write_csv,
 )
-from tidemart.sources.fixtures import FixtureSources, table
+from tidemart.sources.fixtures import FixtureSources, fingerprint, table
+from tidemart.sources.segments import segment_stream
+from tidemart.streaming import manifest
 from tidemart.streaming.enrich_stream import (
-    feed_stream,
+    ROWS_PER_SEGMENT,
+    StreamedWarehouse,
     run_to_completion,
     stage_feed_files,
     start_enrichment,
@@ -188,15 +191,15 @@ def _money_to_double(df: DataFrame) -> DataFrame:
 
 
 def q_enrich_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E1-E4 with the reduced catalogues (so part of the feed is unmatched)."""
-    src = _sources(spark, sf_dir, restricted=True)
+    """The feed with the attributes of customer, product, supplier and store."""
+    src = _sources(spark, sf_dir)
     rows = enrich(src.feed(), src.customers(), src.products(), src.suppliers())
     return _money_to_double(rows.select(
         *FACT_COLUMNS, "customer_name", "product_name", "product_price", "supplier_name", "store_name"))
 
 
 def q_enrich_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E1-E4 with the full masters."""
+    """E1-E4, as ``enrich_sales``."""
     src = _sources(spark, sf_dir)
     rows = enrich(src.feed(), src.customers(), src.products(), src.suppliers())
     return _money_to_double(rows.select(
@@ -204,7 +207,7 @@ def q_enrich_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_enrich_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E5: the complement of enrich_sales, missing side(s) flagged."""
+    """E5: with the reduced catalogues, the feed rows without a match, missing side(s) flagged."""
     src = _sources(spark, sf_dir, restricted=True)
     return enrich_rejects(src.feed(), src.customers(), src.products(), src.suppliers())
 
@@ -213,7 +216,7 @@ def _dim_query(name: str) -> Query:
     key, attrs = DIMENSIONS[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        src = _sources(spark, sf_dir, restricted=True)
+        src = _sources(spark, sf_dir)
         matched = enrich(src.feed(), src.customers(), src.products(), src.suppliers())
         kept = [c for c in dict.fromkeys((key, *attrs, *FACT_KEY)) if c in matched.columns]
         rows = materialize(matched.select(*kept), "matched")  # read by the branches of first_wins
@@ -343,45 +346,45 @@ def q_dq_dim_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------- streaming
 
-def _stream(spark: SparkSession, sf_dir: str, restricted: bool) -> str:
+def _stream(spark: SparkSession, sf_dir: str, restricted: bool) -> StreamedWarehouse:
     src = _sources(spark, sf_dir, restricted=restricted)
     feed = normalise_feed(src.feed())
     landing = shared_scratch_dir(spark, "feed-landing")
     stage_feed_files(feed, landing)
     out_root = shared_scratch_dir(spark, "stream-warehouse")
+    masters = (src.customers(), src.products(), src.suppliers())
     query = start_enrichment(
-        spark, feed_stream(spark, landing, feed.schema), src.customers(), src.products(), src.suppliers(),
+        spark, segment_stream(spark, landing, feed.schema, ROWS_PER_SEGMENT, out_root), *masters,
         out_root, checkpoint=f"{out_root}/_checkpoint")
     run_to_completion(query)
-    return out_root
+    return StreamedWarehouse(spark, out_root, *masters, feed=feed.schema)
 
 
-def _streamed(spark: SparkSession, sf_dir: str, name: str, restricted: bool = False) -> DataFrame:
-    """A table of the warehouse that the stream has loaded."""
-    root = _once(spark, sf_dir, f"stream-{restricted}", lambda: _stream(spark, sf_dir, restricted))
-    return spark.read.parquet(f"{root}/{name}")
+def _streamed(spark: SparkSession, sf_dir: str, restricted: bool = False) -> StreamedWarehouse:
+    """The warehouse that the stream has loaded."""
+    return _once(spark, sf_dir, f"stream-{restricted}", lambda: _stream(spark, sf_dir, restricted))
 
 
 def q_stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST1-ST3: the feed enriched as a file stream, facts read back."""
-    return _money_to_double(_streamed(spark, sf_dir, "sales").select(*FACT_COLUMNS))
+    """ST1-ST3: the feed enriched as a stream of row segments, facts read back."""
+    return _money_to_double(_streamed(spark, sf_dir).sales().select(*FACT_COLUMNS))
 
 
 def q_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E5 in the stream: with the reduced catalogues, every feed row that has no fact."""
-    rejects = _streamed(spark, sf_dir, "rejects", restricted=True)
+    rejects = _streamed(spark, sf_dir, restricted=True).rejects()
     return rejects.withColumnRenamed("source_time_id", "time_id").drop("batch_id", "bad_amount")
 
 
-def q_stream_dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST4, E11: the time dimension grown batch by batch."""
-    return _streamed(spark, sf_dir, "dim_time").drop("batch_id")
+def q_stream_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1, ST3: the commit manifest - every batch with its rows, and all rows up to it."""
+    return manifest.commits(spark, _streamed(spark, sf_dir).root)
 
 
 def _stream_dim_query(name: str) -> Query:
-    """ST4: a dimension grown batch by batch."""
+    """ST4, E7-E11: a dimension grown batch by batch."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _money_to_double(_streamed(spark, sf_dir, name).drop("batch_id"))
+        return _money_to_double(_streamed(spark, sf_dir).dimension(name))
     run.__name__ = f"stream_{name}"
     return run
 
@@ -390,13 +393,13 @@ def _stream_dim_query(name: str) -> Query:
 
 HALF = dt.date(1998, 1, 1)
 
-# what is loaded once per application and scale: written tables in the shared
-# checkpoint folder that several queries below read
-_LOADED: dict[tuple[str, str, str], object] = {}
+# what is loaded once per application and input: written tables in the shared
+# checkpoint folder that several queries below read; changed files are loaded anew
+_LOADED: dict[tuple[str, str, str, str], object] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, what: str, load: Callable[[], object]):
-    key = (app_id(spark), sf_dir, what)
+    key = (app_id(spark), sf_dir, fingerprint(spark, sf_dir), what)
     if key not in _LOADED:
         _LOADED[key] = load()
     return _LOADED[key]
@@ -505,8 +508,8 @@ def load_queries() -> dict[str, Query]:
         "stream_enrich": q_stream_enrich,
         "stream_rejects": q_stream_rejects,
         "stream_dims": _stream_dim_query("dim_product"),
-        **{f"stream_{n}": _stream_dim_query(n) for n in DIMENSIONS if n != "dim_product"},
-        "stream_dim_time": q_stream_dim_time,
+        **{f"stream_{n}": _stream_dim_query(n) for n in (*DIMENSIONS, "dim_time") if n != "dim_product"},
+        "stream_segments": q_stream_segments,
     }
 
 

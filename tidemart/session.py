@@ -9,9 +9,11 @@ session gets a folder of its own.
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -82,6 +84,24 @@ def apply_sql_defaults(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_library(spark: SparkSession) -> None:
+    """Make the library importable in Python workers (once for each application)."""
+    if app_id(spark) in _SHIPPED:
+        return
+    _SHIPPED.add(app_id(spark))
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidemart-lib-"), "tidemart_lib.zip")  # code, no data: Spark hands it out
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in (n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.join("tidemart", os.path.relpath(full, package)))
+    spark.sparkContext.addPyFile(path)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session."""
     sc = spark.sparkContext

@@ -15,6 +15,7 @@ projection, so Catalyst prunes the parquet ``ReadSchema`` and pushes filters
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,22 @@ from tidemart.session import app_id
 _SCHEMAS: dict[str, object] = {}
 
 
+def fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the files below ``sf_dir``: what is kept of an
+    input (plans, loaded warehouses) is kept under this, so changed files are
+    seen.  Listed by Hadoop, so any store that Spark reads will do."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    digest = hashlib.sha256()
+    rows = []
+    while found.hasNext():
+        f = found.next()
+        rows.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    for row in sorted(rows):
+        digest.update(row.encode() + b"\n")
+    return digest.hexdigest()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table.  The footer schema is inferred once per path and then
     passed to the reader (the file listing itself is always fresh)."""
@@ -153,9 +170,10 @@ class FixtureSources:
         self.spark = spark
         self.sf_dir = sf_dir
         self.restricted = restricted
+        self.input = fingerprint(spark, sf_dir)
 
     def _plan(self, kind: str, build, *args) -> DataFrame:
-        key = (app_id(self.spark), self.sf_dir, kind, args)
+        key = (app_id(self.spark), self.sf_dir, self.input, kind, args)
         df = _PLANS.get(key)
         if df is None:
             df = build()

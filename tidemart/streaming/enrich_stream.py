@@ -1,63 +1,53 @@
-"""Streaming enrichment: feed files -> micro-batches -> star tables.
+"""Streaming enrichment: feed segments -> micro-batches -> star tables.
 
-* ST1 segmentation: feed files hold at most ``rows_per_segment`` rows
-  (``maxRecordsPerFile``) and a micro-batch takes ``files_per_batch`` of them
-  (``maxFilesPerTrigger``), so a batch has a fixed size and the number of
-  batches grows with the feed.
+* ST1 segmentation: ``segment_stream`` (tidemart.sources.segments) makes a
+  micro-batch of exactly ``rows`` feed rows, whatever the landed files' sizes;
+  only the last one is shorter.  Any other streaming feed works too.
 * ST2 enrichment: stream-static left joins against the master tables with
-  match flags, declared on the streaming DataFrame itself (no state is kept).
-  No feed row is lost: unmatched ones go to the rejects.
+  match flags, declared on the streaming DataFrame itself.  No feed row is
+  lost: unmatched ones go to the rejects.
 * ST3 commit: ``foreachBatch`` overwrites the partitions ``batch_id=N`` of every
-  table (dynamic partition overwrite), so a micro-batch replayed after a
-  failure replaces its own output instead of duplicating it; the checkpoint
-  makes a restart resume after the last committed batch.
-* ST4 dimensions: the new members of the four dimensions (from matched rows)
-  and of the time dimension (from all rows) are computed per batch against the
-  members of *earlier* batches only (``batch_id < N``) and written to
-  ``batch_id=N`` - replay-safe for the same reason.
+  table (dynamic partition overwrite), then writes the batch's entry into the
+  commit manifest.  Readers (``StreamedWarehouse``) see batches with an entry
+  only, so all tables of a batch appear at once; a micro-batch replayed after a
+  failure replaces its own output, and the checkpoint makes a restart resume
+  after the last batch.
+* ST4 dimensions: new members come out of a stateful operator keyed by
+  (dimension, key) (tidemart.streaming.members), so no batch reads what earlier
+  ones wrote and its work does not grow with their number.
 
 Facts are partitioned by time bucket and batch, so reports prune them as in a
-batch-loaded warehouse.  Streaming ``dropDuplicates`` is not used: without a
-watermark its state would grow forever.
+batch-loaded warehouse; the members of all dimensions are one table partitioned
+by dimension and batch.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemart.operators.dims import DIMENSIONS, dimension_members, time_members
+from tidemart.operators.dims import DIMENSIONS
 from tidemart.operators.enrich import enrich_flagged, require_unique_masters
-from tidemart.operators.facts import TIME_BUCKET, fact_rows, read_if_exists
+from tidemart.operators.facts import TIME_BUCKET, fact_rows
 from tidemart.plans.load import REJECT_COLUMNS, run_concurrently
-from tidemart.schemas import FACT_KEY
-
-ROWS_PER_SEGMENT = 20_000
-FILES_PER_BATCH = 2
-
-
-def stage_feed_files(feed: DataFrame, landing: str, rows_per_segment: int = ROWS_PER_SEGMENT) -> None:
-    """Land a batch feed as parquet files of at most ``rows_per_segment`` rows:
-    a stream that reads one file per trigger sees segments of that size (the
-    last one of each writing task shorter)."""
-    feed.write.mode("overwrite").option("maxRecordsPerFile", rows_per_segment).parquet(landing)
-
+from tidemart.plans.star import WarehouseStar
+from tidemart.session import ship_library
+from tidemart.streaming import manifest
+from tidemart.streaming.members import TIME, as_columns, member_schemas, new_members, time_rows
 
-def feed_stream(spark: SparkSession, landing: str, schema, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(landing)
-    )
+ROWS_PER_SEGMENT = 50_000
+#: Keys of a growing dimension are kept on disk, with changes written per batch.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_MEMBER = ["dimension", "key", "rank", "attributes"]
 
 
-def _existing_before(spark: SparkSession, path: str, batch_id: int, schema) -> DataFrame | None:
-    """Members written by earlier batches (partition pruning on batch_id)."""
-    full = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.IntegerType())])
-    stored = read_if_exists(spark, path, full)
-    return None if stored is None else stored.where(F.col("batch_id") < F.lit(batch_id)).drop("batch_id")
+def stage_feed_files(feed: DataFrame, landing: str, rows_per_file: int = 100_000) -> None:
+    """Land a batch feed as parquet files of at most ``rows_per_file`` rows."""
+    feed.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(landing)
 
 
 def _overwrite_batch(df: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
@@ -66,65 +56,95 @@ def _overwrite_batch(df: DataFrame, path: str, batch_id: int, *partitions: str)
      .partitionBy(*partitions, "batch_id").parquet(path))
 
 
-def commit_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out_root: str) -> None:
-    """Write one flagged micro-batch: rejects, the time dimension and the four
-    dimensions (against the members of earlier batches), then the facts; each
-    into ``batch_id=N``, overwritten on replay."""
+def commit_batch(batch: DataFrame, batch_id: int, out_root: str, flagged: T.StructType,
+                 before_commit: Callable[[], None] | None = None) -> None:
+    """Write one micro-batch - flagged rows and new members - into ``batch_id=N`` of the tables, then its
+    manifest entry.  ``before_commit`` runs between the two."""
     out_root = out_root.rstrip("/")
     batch.persist()  # feeds every write below
     try:
-        matched = batch.where("matched")
-
-        def rejects() -> None:
-            _overwrite_batch(batch.where("not matched").select(*REJECT_COLUMNS), f"{out_root}/rejects", batch_id)
-
-        def days() -> None:
-            source = batch.select("order_date", F.col("source_time_id").alias("time_id"))
-            path = f"{out_root}/dim_time"
-            existing = _existing_before(spark, path, batch_id, time_members(source).schema)
-            _overwrite_batch(time_members(source, existing), path, batch_id)
-
-        def dimension(name: str) -> None:
-            key, attrs = DIMENSIONS[name]
-            path = f"{out_root}/{name}"
-            present = [a for a in attrs if a in batch.columns]
-            existing = _existing_before(spark, path, batch_id, batch.select(key, *present).schema)
-            _overwrite_batch(dimension_members(matched, key, attrs, existing, FACT_KEY), path, batch_id)
-
-        batch.count()  # fills the cache once, before several jobs read it
-        run_concurrently([rejects, days, *(lambda n=n: dimension(n) for n in DIMENSIONS)], max_workers=6)
-        _overwrite_batch(fact_rows(matched), f"{out_root}/sales", batch_id, TIME_BUCKET)
+        rows = batch.where("dimension is null")
+        n = rows.count()  # fills the cache once, before several jobs read it
+        matched = rows.where("matched")
+        run_concurrently([
+            lambda: _overwrite_batch(rows.where("not matched").select(*REJECT_COLUMNS), f"{out_root}/rejects", batch_id),
+            lambda: _overwrite_batch(as_columns(batch.where("dimension is not null"), flagged), f"{out_root}/members", batch_id, "dimension"),
+            lambda: _overwrite_batch(fact_rows(matched), f"{out_root}/sales", batch_id, TIME_BUCKET),
+        ])
+        if before_commit is not None:
+            before_commit()
+        manifest.commit(out_root, batch_id, n)
     finally:
         batch.unpersist()
 
 
+def with_members(flagged: DataFrame) -> DataFrame:
+    """The flagged rows of a stream and, as rows of their own, the members they add."""
+    members = new_members(flagged)
+    return flagged.unionByName(members, allowMissingColumns=True)
+
+
 def start_enrichment(spark: SparkSession, stream: DataFrame, customers: DataFrame,
                      products: DataFrame, suppliers: DataFrame | None, out_root: str,
-                     checkpoint: str, available_now: bool = True,
-                     processing_time: str | None = None) -> StreamingQuery:
-    """Start the enrichment stream: ``sales``, ``rejects``, ``dim_*`` and
-    ``dim_time`` below ``out_root``, all partitioned by batch."""
+                     checkpoint: str, processing_time: str | None = None,
+                     before_commit: Callable[[], None] | None = None) -> StreamingQuery:
+    """Start the enrichment stream: ``sales``, ``rejects`` and ``members`` below ``out_root``, all partitioned
+    by batch, and the manifest of committed batches."""
     out_root = out_root.rstrip("/")
+    ship_library(spark)
     require_unique_masters(customers, products, suppliers)
     flagged = enrich_flagged(stream, customers, products, suppliers)
+    schema = flagged.schema
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        commit_batch(batch.sparkSession, batch, batch_id, out_root)
+        commit_batch(batch, batch_id, out_root, schema, before_commit)
 
-    writer = flagged.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
+    writer = with_members(flagged).writeStream.outputMode("append").foreachBatch(commit).option("checkpointLocation", checkpoint)
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    elif available_now:
-        writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
-def run_to_completion(query: StreamingQuery, timeout_s: float | None = None) -> None:
-    """Wait for the end of a stream; without a time limit unless one is asked for."""
-    if timeout_s is None:
-        query.awaitTermination()
-    elif not query.awaitTermination(timeout_s):
+def run_to_completion(query: StreamingQuery) -> None:
+    """Process all segments that are there, then stop."""
+    try:
+        query.processAllAvailable()
+    finally:
         query.stop()
-        raise TimeoutError(f"the stream did not end within {timeout_s} s")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+
+
+class StreamedWarehouse:
+    """The committed batches of a streamed warehouse."""
+
+    def __init__(self, spark: SparkSession, root: str, customers: DataFrame, products: DataFrame,
+                 suppliers: DataFrame | None = None, feed: T.StructType | None = None):
+        self.spark, self.root = spark, root.rstrip("/")
+        empty = spark.createDataFrame([], feed)
+        self.flagged = enrich_flagged(empty, customers, products, suppliers)
+
+    def _read(self, table: str, schema: T.StructType, *partitions: T.StructField) -> DataFrame:
+        full = T.StructType([*schema.fields, *partitions, T.StructField("batch_id", T.IntegerType())])
+        return manifest.committed(self.spark, self.root, table, full)
+
+    def sales(self) -> DataFrame:
+        return self._read("sales", fact_rows(self.flagged).schema)
+
+    def rejects(self) -> DataFrame:
+        return self._read("rejects", self.flagged.select(*REJECT_COLUMNS).schema)
+
+    def dimension(self, name: str) -> DataFrame:
+        """A dimension (with batch_id of the batch that added the member)."""
+        members = self.spark.createDataFrame([], "dimension string, key long, rank string, attributes string")
+        fields = [f for f in as_columns(members, self.flagged.schema).schema.fields if f.name != "dimension"]
+        rows = self._read("members", T.StructType(fields), T.StructField("dimension", T.StringType()))
+        rows = rows.where(F.col("dimension") == name)
+        if name == TIME:
+            return time_rows(rows)
+        return rows.select(*member_schemas(self.flagged.schema)[name].fieldNames())
+
+    def star(self) -> WarehouseStar:
+        return WarehouseStar(fact=self.sales().drop("batch_id"), time=self.dimension(TIME), **{
+            d.removeprefix("dim_"): self.dimension(d) for d in DIMENSIONS})
