@@ -28,7 +28,9 @@ from tidemart.operators.quality import (
 )
 from tidemart.plans import reports as R
 from tidemart.plans import variants as V
+from tidemart.plans.bucketed import store_bucketed
 from tidemart.plans.load import load_warehouse, new_warehouse_root
+from tidemart.plans.quarterly import QuarterlyView
 from tidemart.plans.star import FeedStar, WarehouseStar
 from tidemart.schemas import FACT_COLUMNS, FACT_KEY, TRANSACTIONS_CSV
 from tidemart.session import app_id, apply_sql_defaults, materialize, shared_scratch_dir
@@ -40,6 +42,7 @@ from tidemart.sources.csv_feeds import (
     write_csv,
 )
 from tidemart.sources.fixtures import FixtureSources, fingerprint, table
+from tidemart.sources.keyed import read_master_ranges
 from tidemart.sources.segments import segment_stream
 from tidemart.streaming import manifest
 from tidemart.streaming.enrich_stream import (
@@ -50,6 +53,9 @@ from tidemart.streaming.enrich_stream import (
     start_enrichment,
 )
 
+#: Rows of a key range of a master.
+MASTER_RANGE = 5_000
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -116,6 +122,18 @@ def q_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "transactions": table(spark, sf_dir, "lineitem"), "products": src.products(), "customers": src.customers()})
 
 
+def q_src_masters_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both masters read by key ranges, one task each."""
+    _sources(spark, sf_dir)
+    path = sf_dir.rstrip("/")
+    customers = read_master_ranges(spark, f"{path}/customer.parquet", "c_custkey", ["c_custkey", "c_name"], MASTER_RANGE)
+    products = read_master_ranges(spark, f"{path}/part.parquet", "p_partkey", ["p_partkey", "p_name", "p_retailprice"], MASTER_RANGE)
+    return customers.select(
+        F.lit("customers").alias("master"), F.col("c_custkey").alias("key_value"), F.col("c_name").alias("name"), F.lit(None).cast("double").alias("price"),
+    ).unionByName(products.select(
+        F.lit("products").alias("master"), F.col("p_partkey").alias("key_value"), F.col("p_name").alias("name"), F.col("p_retailprice").cast("double").alias("price")))
+
+
 def q_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed written as a CR LF CSV in the positional transactions
     layout, then loaded back through the CSV reader."""
@@ -258,6 +276,25 @@ def q_load_doubled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _money_to_double(star.fact.select(*FACT_COLUMNS))
 
 
+def q_load_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load with the reduced catalogues counted while it staged its rows."""
+    src = _sources(spark, sf_dir, restricted=True)
+    root = new_warehouse_root(spark)
+    load_warehouse(spark, root, src.feed(), src.customers(), src.products(), src.suppliers())
+    return spark.read.parquet(f"{root}/load_reports").drop("bad_amount")
+
+
+def q_view_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3: the quarterly table after three overlapping loads (before 1997, before 1998, all), kept up to date
+    by the sums of each load."""
+    src = _sources(spark, sf_dir)
+    root = new_warehouse_root(spark)
+    view = QuarterlyView(spark, root)
+    for feed in (src.feed(before=dt.date(1997, 1, 1)), src.feed(before=HALF), src.feed()):
+        load_warehouse(spark, root, feed, src.customers(), src.products(), src.suppliers(), view=view)
+    return view.read()
+
+
 def _loaded_dim_query(name: str) -> Query:
     """A dimension after a load of half the feed, of all of it, and again."""
     attr = name.removeprefix("dim_")
@@ -440,6 +477,19 @@ def _month_report(fn, loaded: bool) -> Query:
     return run
 
 
+def bucketed_warehouse(spark: SparkSession, sf_dir: str) -> WarehouseStar:
+    return _once(spark, sf_dir, "bucketed", lambda: store_bucketed(
+        spark, loaded_warehouse(spark, sf_dir), shared_scratch_dir(spark, "bucketed")))
+
+
+def _bucketed_report(fn) -> Query:
+    """A report on facts and products that are stored in the same buckets."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(bucketed_warehouse(spark, sf_dir))
+    run.__name__ = f"bucketed_{fn.__name__}"
+    return run
+
+
 def _warehouse_report(fn, **kw) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(loaded_warehouse(spark, sf_dir), **kw)
@@ -459,6 +509,9 @@ def _wh_q10_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).orderBy("store_name", "year", "quarter")
 
 
+BUCKETED = ("q1_top_products_daytype", "q4_product_season", "q8_half_year", "q9_outliers")
+
+
 def warehouse_queries() -> dict[str, Query]:
     """All reports over the loaded star schema: the fact joined to the
     dimensions a report needs, no fact shuffle but the report's own."""
@@ -473,6 +526,7 @@ def warehouse_queries() -> dict[str, Query]:
         "month_q2_wh": _month_report(R.q2_store_quarter_revenue, loaded=True),
         "month_q5_feed": _month_report(R.q5_volatility, loaded=False),
         "month_q5_wh": _month_report(R.q5_volatility, loaded=True),
+        **{f"bucketed_{n}": _bucketed_report(getattr(R, n)) for n in BUCKETED},
     }
 
 
@@ -480,6 +534,7 @@ def load_queries() -> dict[str, Query]:
     return {
         "src_transactions": q_src_transactions,
         "source_counts": q_source_counts,
+        "src_masters_ranges": q_src_masters_ranges,
         "csv_load": q_csv_load,
         "csv_products": q_csv_products,
         "csv_customers": q_csv_customers,
@@ -495,6 +550,8 @@ def load_queries() -> dict[str, Query]:
         "dim_time": q_dim_time,
         "load_sales": q_load_sales,
         "load_doubled": q_load_doubled,
+        "load_checks": q_load_checks,
+        "view_quarterly": q_view_quarterly,
         **{f"load_{n}": _loaded_dim_query(n) for n in (*DIMENSIONS, "dim_time")},
         "dq_pk": q_dq_pk,
         "dq_pk_masters": q_dq_pk_masters,
@@ -517,6 +574,7 @@ def shared_loads() -> list[tuple[str, tuple[str, ...], Callable[[SparkSession, s
     """(name, prefixes of the queries that read it, load): what is loaded once and shared."""
     return [
         ("warehouse", ("wh_", "dq_wh_fk"), loaded_warehouse),
+        ("bucketed", ("bucketed_",), bucketed_warehouse),
         ("half_warehouse", ("dq_wh_fk",), half_warehouse),
         ("month_warehouse", ("month_", "dq_wh_pk"), month_warehouse),
         ("three_loads", ("load_dim_",), lambda spark, d: _once(spark, d, "three-loads", lambda: _load_three_times(spark, d))),

@@ -9,13 +9,16 @@ One load is:
 2. append rejects, dimension members (insert-if-absent, first wins), new
    time days and new facts, each a set-based job over the staged table.
 
-A load stops before it writes when a master repeats a key.  Dimensions are
+A load stops before it writes when a master repeats a key or when its rows are
+beyond the limits given (tidemart.plans.checks), which are counted in the staging
+pass.  Dimensions are
 written before facts.  Every step is idempotent: running the same load again,
 or an overlapping one, adds no row twice; equal rows within one load are one.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -23,19 +26,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.operators.dims import DIMENSIONS, dimension_members, time_members
-from tidemart.operators.enrich import enrich_flagged, require_unique_masters
+from tidemart.operators.enrich import enrich_flagged, normalise_feed, require_unique_masters
 from tidemart.operators.facts import (
+    absent_facts,
     append_facts,
     append_members,
+    delta_facts,
     fact_rows,
-    new_rows,
     read_if_exists,
     read_or_empty,
+    write_facts,
 )
-from tidemart.operators.quality import one_per_key
+from tidemart.plans.checks import LoadCheck, LoadLimits, LoadStopped, breaches
+from tidemart.plans.quarterly import QuarterlyView
 from tidemart.plans.star import WarehouseStar
 from tidemart.schemas import FACT_KEY
-from tidemart.session import shared_scratch_dir
+from tidemart.session import materialize, shared_scratch_dir
 
 REJECT_COLUMNS = (
     "order_id", "line_no", "order_date", "product_id", "supplier_id", "quantity",
@@ -43,19 +49,28 @@ REJECT_COLUMNS = (
 )
 
 
-def stage_enriched(spark: SparkSession, feed: DataFrame, customers: DataFrame,
-                   products: DataFrame, suppliers: DataFrame | None = None) -> DataFrame:
-    path = shared_scratch_dir(spark, "enrich-stage")
-    enrich_flagged(feed, customers, products, suppliers).write.parquet(path)
-    return spark.read.parquet(path)
+def stage_enriched(spark: SparkSession, feed: DataFrame, customers: DataFrame, products: DataFrame,
+                   suppliers: DataFrame | None = None, limits: LoadLimits | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """The flagged rows, staged, and what was counted on the way (see tidemart.plans.checks)."""
+    path, check = shared_scratch_dir(spark, "enrich-stage"), LoadCheck()
+    check.rows(enrich_flagged(check.feed(normalise_feed(feed)), customers, products, suppliers)).write.parquet(path)
+    report = check.report()
+    found = breaches(report, limits or LoadLimits())
+    if found:
+        raise LoadStopped(found, report, path)
+    return spark.read.parquet(path), report
 
 
 def load_warehouse(spark: SparkSession, root: str, feed: DataFrame, customers: DataFrame,
                    products: DataFrame, suppliers: DataFrame | None = None,
-                   fact_key: Sequence[str] = FACT_KEY) -> WarehouseStar:
+                   fact_key: Sequence[str] = FACT_KEY, limits: LoadLimits | None = None,
+                   view: QuarterlyView | None = None) -> WarehouseStar:
+    """Load a feed; with ``view`` the quarterly table is kept up to date as well."""
     root = root.rstrip("/")
     require_unique_masters(customers, products, suppliers)
-    staged = stage_enriched(spark, feed, customers, products, suppliers)
+    if view is not None:
+        view.finish_pending()
+    staged, report = stage_enriched(spark, feed, customers, products, suppliers, limits)
     matched = staged.where(F.col("matched"))
     schemas = {"sales": fact_rows(matched).schema}
 
@@ -64,7 +79,7 @@ def load_warehouse(spark: SparkSession, root: str, feed: DataFrame, customers: D
     def rejects_job() -> None:
         path = f"{root}/rejects"
         existing = read_if_exists(spark, path, rejects.schema)
-        append_members(spark, new_rows(one_per_key(rejects, fact_key), existing, fact_key), path)
+        append_members(spark, absent_facts(rejects, existing, fact_key), path)
 
     def dimension_job(name: str, key: str, attrs) -> Callable[[], None]:
         attrs_here = [a for a in attrs if a in matched.columns]
@@ -79,23 +94,40 @@ def load_warehouse(spark: SparkSession, root: str, feed: DataFrame, customers: D
     day_source = staged.select("order_date", F.col("source_time_id").alias("time_id"))
     schemas["dim_time"] = time_members(day_source).schema
 
+    known_time = read_if_exists(spark, f"{root}/dim_time", schemas["dim_time"])
+    new_time = time_members(day_source, known_time)
+    if view is not None:
+        new_time = materialize(new_time, "new-days")  # the view needs the load's own days
+
     def time_job() -> None:
-        path = f"{root}/dim_time"
-        existing = read_if_exists(spark, path, schemas["dim_time"])
-        append_members(spark, time_members(day_source, existing), path)
+        append_members(spark, new_time, f"{root}/dim_time")
 
     # rejects and the five dimensions are independent tables: submit their
     # jobs together (Spark runs concurrent jobs of one session side by side)
     jobs = [rejects_job, time_job] + [dimension_job(n, k, a) for n, (k, a) in DIMENSIONS.items()]
     run_concurrently(jobs, max_workers=len(jobs))
 
+    def table(name: str) -> DataFrame:
+        return read_or_empty(spark, f"{root}/{name}", schemas[name])
+
     # facts last, once every dimension member they reference is stored
-    append_facts(spark, matched, f"{root}/sales", fact_key)
+    if view is None:
+        append_facts(spark, matched, f"{root}/sales", fact_key)
+    else:
+        load, sums_path, delta_path = uuid.uuid4().hex, shared_scratch_dir(spark, "view-sums"), shared_scratch_dir(spark, "fact-delta")
+        delta_facts(spark, matched, f"{root}/sales", fact_key).write.parquet(delta_path)
+        delta = spark.read.schema(schemas["sales"]).parquet(delta_path)
+        stored = read_if_exists(spark, f"{root}/sales", schemas["sales"])
+        view.sums(delta, stored, table("dim_time"), new_time, table("dim_store")).write.parquet(sums_path)
+        view.announce(load, delta_path, sums_path)
+        write_facts(delta, f"{root}/sales")
+        view.apply(load, spark.read.parquet(sums_path))
+    spark.createDataFrame([report]).coalesce(1).write.mode("append").parquet(f"{root}/load_reports")
     return WarehouseStar(**{
-        attr: read_or_empty(spark, f"{root}/{table}", schemas[table])
-        for attr, table in (("fact", "sales"), ("time", "dim_time"), ("product", "dim_product"),
-                            ("store", "dim_store"), ("supplier", "dim_supplier"),
-                            ("customer", "dim_customer"))
+        attr: table(name)
+        for attr, name in (("fact", "sales"), ("time", "dim_time"), ("product", "dim_product"),
+                           ("store", "dim_store"), ("supplier", "dim_supplier"),
+                           ("customer", "dim_customer"))
     })
 
 
