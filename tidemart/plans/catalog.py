@@ -32,10 +32,11 @@ from tidemart.plans.bucketed import store_bucketed
 from tidemart.plans.load import load_warehouse, new_warehouse_root
 from tidemart.plans.quarterly import QuarterlyView
 from tidemart.plans.star import FeedStar, WarehouseStar
-from tidemart.schemas import FACT_COLUMNS, FACT_KEY, TRANSACTIONS_CSV
+from tidemart.schemas import CUSTOMERS_CSV, FACT_COLUMNS, FACT_KEY, TRANSACTIONS_CSV
 from tidemart.session import app_id, apply_sql_defaults, materialize, shared_scratch_dir
 from tidemart.sources.counts import source_counts
 from tidemart.sources.csv_feeds import (
+    read_checked_csv,
     read_customers_csv,
     read_products_csv,
     read_transactions_csv,
@@ -177,6 +178,22 @@ def q_csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_customers_csv(spark, path)
 
 
+def q_csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer master as a CSV in which every seventh row lacks a field, every eleventh has one more,
+    every thirteenth an id that is no number and every fifth name has a line break; good rows and quarantine."""
+    _sources(spark, sf_dir)
+    customer = table(spark, sf_dir, "customer")
+    every = lambda n: F.col("c_custkey") % n == 0
+    name = F.concat(F.lit('"'), F.when(every(5), F.concat("c_name", F.lit("\n"), "c_mktsegment")).otherwise(F.col("c_name")), F.lit('"'))
+    line = F.concat_ws(",", F.when(every(13), F.concat(F.lit("x"), "c_custkey")).otherwise(F.col("c_custkey").cast("string")), name,
+                       F.when(every(7), None).otherwise(F.col("c_mktsegment")), F.when(every(11), F.lit("more")))
+    path = shared_scratch_dir(spark, "customers-csv")
+    customer.select(line.alias("value")).write.text(path)
+    read = read_checked_csv(spark, path, CUSTOMERS_CSV, multi_line=True, header="false")
+    good = read.rows.select(F.lit("row").alias("kind"), "customer_id", "customer_name", "gender", F.lit(None).cast("string").alias("text"))
+    return good.unionByName(read.quarantine.select(F.lit("quarantine").alias("kind"), "text"), allowMissingColumns=True)
+
+
 def q_src_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P10: one feed row per (order_id, line_no), the last one in arrival
     order (here the remaining fact-key columns) winning."""
@@ -537,6 +554,7 @@ def load_queries() -> dict[str, Query]:
         "src_masters_ranges": q_src_masters_ranges,
         "csv_load": q_csv_load,
         "csv_products": q_csv_products,
+        "csv_quarantine": q_csv_quarantine,
         "csv_customers": q_csv_customers,
         "csv_enrich_products": q_csv_enrich_products,
         "src_dedup": q_src_dedup,

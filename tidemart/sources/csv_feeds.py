@@ -5,16 +5,24 @@ line ends.  Columns are bound by *position* to a declared schema (headers
 such as ``productID`` are ignored), the trailing CR never reaches the last
 column, prices such as ``1299.99$`` become decimal(10,2).  Spark splits
 each file into byte ranges, so a large feed is read by many tasks.
+
+``read_checked_csv`` also keeps what does not fit: a row with too few or too many
+fields, or with a field that is no value of its column's type, goes with its
+text to a quarantine table instead of losing fields silently.  Quoted fields may
+hold line ends if ``multi_line`` is set; such files are read whole, a task each.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.functions.measures import parse_price
 from tidemart.schemas import CUSTOMERS_CSV, PRODUCTS_CSV, TRANSACTIONS_CSV
+from tidemart.session import materialize
 
 CSV_OPTIONS = {
     "header": "true",
@@ -47,6 +55,27 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, **options) ->
     return _strip_cr(reader.csv(path), schema)
 
 
+class CheckedCsv(NamedTuple):
+    """``rows``: the rows that fit; ``quarantine``: file and text of those that do not."""
+
+    rows: DataFrame
+    quarantine: DataFrame
+
+
+def read_checked_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False, **options) -> CheckedCsv:
+    """Read a CSV once and deal it into good rows and quarantine."""
+    text, file = "_corrupt_text", "_file"
+    whole = T.StructType([*schema.fields, T.StructField(text, T.StringType())])
+    reader = spark.read.schema(whole)
+    for k, v in {**CSV_OPTIONS, "multiLine": str(multi_line).lower(), "columnNameOfCorruptRecord": text, **options}.items():
+        reader = reader.option(k, v)
+    # stored: parsed once, and both parts see the same rows
+    read = materialize(reader.csv(path).select("*", F.element_at(F.split("_metadata.file_path", "/"), -1).alias(file)), "csv-rows")
+    rows = _strip_cr(read.where(F.col(text).isNull()).drop(text, file), schema)
+    bad = read.where(F.col(text).isNotNull()).select(F.col(file).alias("file"), F.regexp_replace(text, "[\\r\\n]+$", "").alias("text"))
+    return CheckedCsv(rows, bad)
+
+
 def read_transactions_csv(spark: SparkSession, path: str, **options) -> DataFrame:
     """ORDER_ID, ORDER_DATE, PRODUCT_ID, QUANTITY, CUSTOMER_ID, TIME_ID."""
     return read_csv(spark, path, TRANSACTIONS_CSV, **options)
@@ -59,7 +88,11 @@ def read_customers_csv(spark: SparkSession, path: str, **options) -> DataFrame:
 def read_products_csv(spark: SparkSession, path: str, **options) -> DataFrame:
     """Product master with the price text parsed to decimal(10,2); ``bad_price``
     marks text that is no price (a blank price is just unknown)."""
-    raw = read_csv(spark, path, PRODUCTS_CSV, **options)
+    return with_prices(read_csv(spark, path, PRODUCTS_CSV, **options))
+
+
+def with_prices(raw: DataFrame) -> DataFrame:
+    """The price text of a product master as decimal(10,2), and ``bad_price``."""
     price = parse_price("product_price")
     bad = F.coalesce(F.trim("product_price") != "", F.lit(False)) & price.isNull()
     return raw.withColumns({"product_price": price, "bad_price": bad})
