@@ -14,17 +14,20 @@ drops out, as the reports are specified.
   exactly.
 * :class:`FeedStar` - the star computed straight from the sources: the
   enrichment join already carries product/supplier/store attributes; the
-  time dimension is built from the feed's own (time_id, date) pairs.
+  time dimension is built from the feed's own (time_id, date) pairs.  Where
+  every time id is derived from the row's date (``dated``), an id has one date
+  and the row carries it: the attributes are computed from it without building
+  the dimension, and a year is a range of dates that the source's scan takes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.dates import day_type
+from tidemart.functions.dates import day_type, time_attributes
 from tidemart.operators.dims import time_members
 from tidemart.operators.enrich import enrich, normalise_feed
 from tidemart.operators.facts import TIME_BUCKET, time_bucket
@@ -46,15 +49,18 @@ def _with_time(rows: DataFrame, days: DataFrame, year: int | None, on: list[str]
 
 class FeedStar:
     def __init__(self, feed: DataFrame, customers: DataFrame, products: DataFrame,
-                 suppliers: DataFrame | None = None):
+                 suppliers: DataFrame | None = None, dated: Callable[[int | None], DataFrame] | None = None):
+        """``dated``: the feed, or its rows of a year, if every time id is derived from the row's date."""
         self.feed = normalise_feed(feed)
+        self.dated = dated
         self.customers = customers
         self.products = products
         self.suppliers = suppliers
 
     @classmethod
     def from_fixtures(cls, sources) -> "FeedStar":
-        return cls(sources.feed(), sources.customers(), sources.products(), sources.suppliers())
+        return cls(sources.feed(), sources.customers(), sources.products(), sources.suppliers(),
+                   dated=lambda year: sources.feed(year=year))
 
     @classmethod
     def from_frames(cls, feed: DataFrame, customers: DataFrame, products: DataFrame,
@@ -63,8 +69,14 @@ class FeedStar:
         return cls(feed, customers, products, suppliers)
 
     def sales(self, year: int | None = None, dims: Iterable[str] = ALL_DIMS) -> DataFrame:
+        timed = TIME in set(dims) or year is not None
+        if timed and self.dated is not None:
+            rows = enrich(normalise_feed(self.dated(year)), self.customers, self.products, self.suppliers)
+            parts = time_attributes("order_date")
+            days = {c: parts[c] for c in ("day", "week", "month", "year", "quarter")}
+            return rows.where("order_date is not null").withColumns(days).withColumn("day_type", day_type("order_date"))
         rows = enrich(self.feed, self.customers, self.products, self.suppliers)
-        if TIME in set(dims) or year is not None:
+        if timed:
             rows = _with_time(rows, time_members(self.feed), year, ["time_id"])
         return rows
 
