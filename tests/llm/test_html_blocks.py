@@ -76,6 +76,25 @@ def test_page_wide_wrappers_are_not_what_they_are_named_for():
         assert text(f"<article>{main}</article>{zone}{long}") == want, zone
 
 
+def test_wrappers_named_for_what_is_around_and_short_pages():
+    """Layouts whose main text must not be lost."""
+    w = lambda n: " ".join(["word"] * n)
+    join = "\n\n".join
+    for name in ("menu-open-wrapper", "footer-layout", "cookie-layout", "nav-page", "layout-pagination"):
+        assert text(f'<div class="{name}"><div class="content"><h1>{w(3)}</h1><p>{w(60)}</p></div></div>') == join([w(3), w(60)]), name
+        assert text(f'<div class="{name}"><div class="content"><p>{w(200)}</p></div></div>') == w(200), name
+        assert text(f'<div class="{name}"><nav><a>{w(2)}</a></nav><div id="main-content"><p>{w(90)}</p><p>{w(4)}</p><p>{w(30)}</p></div><footer>{w(20)}</footer></div>') == join([w(90), w(4), w(30)]), name
+    assert text(f'<article><p>{w(50)}</p><section class="related-work"><p>{w(60)}</p></section></article>') == join([w(50), w(60)])
+    assert text(f"<article><p>{w(50)}</p></article><div class='related'><p>{w(60)}</p></div>") == w(50)
+    for a, b, c in ((3, 8, 6), (6, 12, 4), (2, 5, 9), (9, 15, 15)):
+        assert text(f"<html><body><h1>{w(a)}</h1><p>{w(b)}</p><p>{w(c)}</p></body></html>") == join([w(a), w(b), w(c)]), (a, b, c)
+    for a, b, c in ((4, 3, 40), (2, 1, 25), (7, 6, 120)):
+        assert text(f"<div><h2>{w(a)}</h2><p>{w(b)}</p><p>{w(c)}</p></div>") == join([w(a), w(b), w(c)]), (a, b, c)
+    # what is around an article stays out
+    for zone in ("<nav>", "<footer>", "<aside>", "<div class=comments>"):
+        assert text(f"<div><h1>{w(3)}</h1><p>{w(60)}</p></div>{zone}<div class=content><p>{w(70)}</p></div></nav></footer></aside></div>") == join([w(3), w(60)]), zone
+
+
 def test_pages_without_semantic_tags():
     body = " ".join(["word"] * 60)
     page = f"<div><a>Home</a> <a>News</a></div><div><h1>Title words</h1><p>{body}</p><p>short one</p><p>{body} <a>link</a></p></div><div><a>More stories here</a></div>"

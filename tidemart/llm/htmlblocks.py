@@ -2,12 +2,15 @@
 
 A page is cut into flat blocks (runs of text between block-level tags).  Each
 block is described by its own and its two neighbours' word counts and link
-densities, by whether it is a heading or list item, and by the zone in which it
+densities, by whether it, or the block before it, is a heading, whether it is a
+list item, whether the page marks an article at all, and by the zone in which it
 stands: elements that hold an article, or menus, footers, side bars, notices,
 adverts, forms and reader comments (by tag, role, and whole words of class and
 id).  A zone that holds most of the page's words, or many of them and a page
-title, is a page-wide wrapper (a form around the body) and no zone around an
-article; an article or main element leaves the zones around it.
+title or an element named for the content, is a page-wide wrapper (a form around
+the body, a "menu-open-wrapper") and no zone around an article; an article or
+main element leaves the zones around it.  Within an article a section named
+"related" is one of its own.
 A decision tree, trained on a small table of labelled blocks
 (``LABELLED``), keeps or drops each block; kept blocks are joined in page order.
 
@@ -68,6 +71,8 @@ _OUT_WORDS = frozenset(
 #: Zones that hold no main text, however much of the page they hold, unless there is a page title or main element in them.
 _FIRM_TAGS = frozenset("nav footer aside menu dialog".split())
 _REPLIES = frozenset("comment comments disqus respond replies related recommended".split())
+#: Words that within an article name one of its sections.
+_SECTIONS = frozenset("related recommended".split())
 _FIRM_WORDS = _REPLIES | frozenset("nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager footer foot cookie cookies consent gdpr ad ads adv advert adverts advertisement advertising".split())
 #: Shares of the page's words from which a zone, or a zone with a page title, is page-wide.
 _WIDE, _TITLED = 0.75, 0.4
@@ -92,7 +97,7 @@ def _zone(tag: str, attributes: str, inside: bool) -> int:
             return -3
         if name in ("class", "id", "role"):
             for one in text.split():
-                own = _WORDS.findall(one)
+                own = [w for w in _WORDS.findall(one) if not (inside and w in _SECTIONS)]
                 if not own or own[0] in _HAS or len(own) > 1 and own[-1] in _STATES:
                     continue
                 held = _OUT_WORDS.intersection(own)
@@ -154,7 +159,7 @@ def blocks(page: str) -> list[tuple[str, dict[str, float], bool]]:
     """(text, own features, labelled) of each flat block; labelled is for the training table only."""
     out: list[tuple[str, dict[str, float], bool]] = []
     stack: list[tuple[str, int, tuple[int, ...]]] = []
-    zones: list[list[int]] = []  # kind, words before it, words up to its end, titles and main elements in it
+    zones: list[list[int]] = []  # kind, words before it, words up to its end, titles and main elements in it, elements named for content
     around: tuple[int, ...] = ()  # the innermost zone around an article, and whether articles in it are none
     within = links = linked = total = 0
     parts: list[str] = []
@@ -204,13 +209,15 @@ def blocks(page: str) -> list[tuple[str, dict[str, float], bool]]:
                 stack.append((tag, zone, around))
                 within += zone == 1
                 if zone < 0:
-                    zones.append([zone, total, -1, 0])
+                    zones.append([zone, total, -1, 0, 0])
                     around = (len(zones) - 1, zone == -3 or around[1:] == (True,))
                 elif around and tag == "main":
                     zones[around[0]][3] += 1
                     around = ()
                 elif around and zone == 1 and tag == "article" and not around[1]:
                     around = ()
+                elif around and zone == 1:
+                    zones[around[0]][4] += 1
             elif any(t == tag for t, _, _ in reversed(stack)):
                 while True:
                     t, zone, outer = stack.pop()
@@ -219,6 +226,7 @@ def blocks(page: str) -> list[tuple[str, dict[str, float], bool]]:
                         zones[around[0]][2] = total
                         if outer:
                             zones[outer[0]][3] += zones[around[0]][3]
+                            zones[outer[0]][4] += zones[around[0]][4]
                     around = outer
                     if t == tag:
                         break
@@ -228,16 +236,19 @@ def blocks(page: str) -> list[tuple[str, dict[str, float], bool]]:
         _, zone, outer = stack.pop()
         if zone < 0 and around and outer:
             zones[outer[0]][3] += zones[around[0]][3]
+            zones[outer[0]][4] += zones[around[0]][4]
         around = outer
     for _, own, _ in out:
-        kind, before, upto, titles = zones[int(own["out"])] if own["out"] >= 0 else (0, 0, total, 0)
+        kind, before, upto, titles, named = zones[int(own["out"])] if own["out"] >= 0 else (0, 0, total, 0, 0)
         share = ((total if upto < 0 else upto) - before) / total
-        own["out"] = float(kind < 0 and not (share >= _WIDE and kind == -1 or share >= _TITLED and titles))
+        own["out"] = float(kind < 0 and not (share >= _WIDE and kind == -1 or share >= _TITLED and (titles or named and kind > -3)))
+        if own["out"]:
+            own["in"] = 0.0  # what is named for content there is no article
     return out
 
 
 #: What the tree sees of a block: its own features, and those of its neighbours.
-FEATURES = ("out", "in", "heading", "item", "words", "links", "words_before", "links_before", "words_after", "links_after")
+FEATURES = ("out", "in", "heading", "item", "words", "links", "words_before", "links_before", "words_after", "links_after", "heading_before", "bare")
 
 
 def table(found: list[tuple[str, dict[str, float], bool]]) -> np.ndarray:
@@ -246,6 +257,8 @@ def table(found: list[tuple[str, dict[str, float], bool]]) -> np.ndarray:
         rows[i, :6] = [own[f] for f in FEATURES[:6]]
     rows[1:, 6:8] = rows[:-1, 4:6]
     rows[:-1, 8:10] = rows[1:, 4:6]
+    rows[1:, 10] = rows[:-1, 2]
+    rows[:, 11] = not rows[:, 1].any()  # nothing says where an article is
     return rows
 
 
@@ -270,6 +283,25 @@ LABELLED = (
     "<article><p k>{2}</p></article>",
     "<nav><a>{2}</a></nav><article><p k>{1}</p><p k>{2}</p><p k>{1}</p></article><p>{2}</p>",
     "<main><p k>{3}</p><p k>{1}</p></main>",
+    "<h1 k>{4}</h1><p k>{8}</p><p k>{6}</p>",
+    "<h1 k>{2}</h1><p k>{3}</p><p k>{2}</p>",
+    "<h2 k>{6}</h2><p k>{14}</p><p k>{3}</p><p k>{9}</p>",
+    "<div><h2 k>{4}</h2><p k>{3}</p><p k>{40}</p></div>",
+    "<div><a>{1}</a> <a>{2}</a></div><h1 k>{3}</h1><p k>{5}</p><p k>{7}</p><div><a>{2}</a></div>",
+    "<p k>{30}</p><h3 k>{3}</h3><p k>{4}</p><p k>{25}</p>",
+    "<div class=menu-open-wrapper><div class=content><h1 k>{3}</h1><p k>{60}</p><p k>{4}</p></div></div>",
+    "<div class=footer-layout><div class=content><p k>{200}</p></div></div>",
+    "<nav><a>{2}</a></nav><article><p k>{40}</p><p k>{1}</p></article><p>{9}</p><p>{1}</p>",
+    "<p>{1}</p><p>{40}</p><article><h1 k>{2}</h1><p k>{90}</p><p k>{1}</p><p k>{80}</p><p k>{2}</p></article><p>{1}</p><p>{60}</p>",
+    "<div>{12}</div><div class=content><p k>{1}</p><p k>{50}</p><p k>{2}</p></div><div>{3}</div><div>{33}</div>",
+    "<div>{2}</div><main><h2 k>{1}</h2><p k>{48}</p><h2 k>{1}</h2><p k>{2}</p><p k>{1}</p><p k>{1}</p></main><div>{20}</div>",
+    "<h2>{3}</h2><div class=post><h2 k>{2}</h2><p k>{3}</p><p k>{1}</p><p k>{7}</p></div><h2>{2}</h2><p>{25}</p>",
+    "<h1 k>{6}</h1><p k>{12}</p><p k>{4}</p>",
+    "<div><h1 k>{3}</h1><p k>{60}</p></div><div class=comments><div class=content><p>{70}</p></div></div>",
+    "<div><h2 k>{2}</h2><p k>{100}</p><h2 k>{1}</h2><p k>{48}</p></div>",
+    "<div><h1 k>{4}</h1><p k>{46}</p><h2 k>{3}</h2><p k>{75}</p></div>",
+    "<h1 k>{9}</h1><p k>{15}</p><p k>{2}</p><p k>{44}</p><p k>{1}</p><p k>{51}</p>",
+    "<article><p k>{50}</p><section class=related-work><h2 k>{2}</h2><p k>{60}</p></section></article>",
     "<article><h1 k>{4}</h1><p k>{24}</p></article><section class=comments><p>{90}</p><p>{70}</p><p>{45}</p></section>",
 )
 
@@ -284,7 +316,7 @@ def labelled_table() -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.array(labels)
 
 
-def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 8):
+def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 10):
     """A decision tree: (feature, threshold, tree below or at it, tree above it), or a leaf's label."""
     share = labels.mean()
     if depth == 0 or share in (0.0, 1.0):
