@@ -84,6 +84,7 @@ def report_queries() -> dict[str, Query]:
         "q4_product_season": _report(R.q4_product_season),
         "q5_volatility": _report(R.q5_volatility),
         "q6_affinity": _report(R.q6_affinity),
+        "q6_affinity_pruned": _report(R.q6_affinity_pruned),
         "q7_rollup": _report(R.q7_rollup),
         "q8_half_year": _report(R.q8_half_year),
         "q9_outliers": _report(R.q9_outliers),

@@ -54,7 +54,10 @@ class LoadCheck:
     def rows(self, flagged: DataFrame) -> DataFrame:
         return flagged.observe(self.row_counts, _count(F.col("matched")).alias("matched"), *(_count(F.col(c)).alias(c) for c in FLAGS))
 
-    def report(self) -> dict[str, int]:
+    def report(self, staged: DataFrame) -> dict[str, int]:
+        """The counts; of an empty feed, whose plan may have been cut short, zeros."""
+        if staged.isEmpty():
+            return dict.fromkeys(("rows", *(f"null_{c}" for c in REQUIRED), "matched", *FLAGS), 0)
         return {**self.feed_counts.get, **self.row_counts.get}
 
 

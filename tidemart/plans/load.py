@@ -53,12 +53,14 @@ def stage_enriched(spark: SparkSession, feed: DataFrame, customers: DataFrame, p
                    suppliers: DataFrame | None = None, limits: LoadLimits | None = None) -> tuple[DataFrame, dict[str, int]]:
     """The flagged rows, staged, and what was counted on the way (see tidemart.plans.checks)."""
     path, check = shared_scratch_dir(spark, "enrich-stage"), LoadCheck()
-    check.rows(enrich_flagged(check.feed(normalise_feed(feed)), customers, products, suppliers)).write.parquet(path)
-    report = check.report()
+    flagged = check.rows(enrich_flagged(check.feed(normalise_feed(feed)), customers, products, suppliers))
+    flagged.write.parquet(path)
+    staged = spark.read.schema(flagged.schema).parquet(path)
+    report = check.report(staged)
     found = breaches(report, limits or LoadLimits())
     if found:
         raise LoadStopped(found, report, path)
-    return spark.read.parquet(path), report
+    return staged, report
 
 
 def load_warehouse(spark: SparkSession, root: str, feed: DataFrame, customers: DataFrame,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.dates import season_of_month
 from tidemart.functions.measures import above_factor_of_mean, as_double, percent_change, ratio
-from tidemart.operators.affinity import top_pairs
+from tidemart.operators.affinity import top_pairs, top_pairs_pruned
 from tidemart.plans.star import PRODUCT, STORE, SUPPLIER, TIME
 
 # Fixture dates span 1995-2001; the reports' fixed year is a parameter.
@@ -78,6 +78,11 @@ def q6_affinity(star, k: int = TOP_K) -> DataFrame:
     return top_pairs(star.sales(dims=()), k=k)
 
 
+def q6_affinity_pruned(star, k: int = TOP_K) -> DataFrame:
+    """Q6 by thresholds: only items that can be in a top pair are paired."""
+    return top_pairs_pruned(star.sales(dims=()), k=k).top
+
+
 def q7_rollup(star) -> DataFrame:
     """ROLLUP(store, supplier, product, year); ``gid`` = grouping_id tells a
     subtotal row from a NULL data value."""
