@@ -42,3 +42,22 @@ def test_table(spark):
     got = {(r.page_id, r.host, r.rule, r.verdict, r.n_strict) for r in out.collect()}
     assert got == {(1, "", None, "allow", 0), (2, "", None, "allow", 0), (None, "a.b.org", "org/", "allow", 0), (2, "x.net", None, "block", 1)}
     assert urlfilter.judge_urls(out.limit(0)).count() == 0
+
+
+def test_vocabulary_follows_from_its_stems():
+    assert len(urlfilter.STRICT) + len(urlfilter.SOFT) > 300 and not set(urlfilter.STRICT) & set(urlfilter.SOFT)
+    assert urlfilter.vocabulary(["a", "b", "a"], ("", "s")) == ("a", "as", "b", "bs")
+    judge = urlfilter.Judge((), urlfilter.STRICT, urlfilter.SOFT, 2)
+    for url, verdict in (
+        ("http://a.net/casinos/", "block"), ("http://cheap-pills.net/x", "block"), ("http://freebets.net/", "allow"), ("http://free-bets.net/", "block"),
+        ("http://blog.net/free/download", "allow"), ("http://a.net/deals?coupon=1", "block"), ("http://a.net/winter/trackers", "allow"),
+    ):
+        assert judge(url)[3] == verdict, url
+
+
+def test_soft_hits_decide_in_a_table(spark):
+    """Pages that no strict term, but several soft ones block."""
+    out = urlfilter.judge_urls(spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")).collect()
+    soft = [r for r in out if r.rule is None and r.n_strict == 0 and r.n_soft >= 2]
+    assert len(soft) > 10 and all(r.verdict == "block" for r in soft)
+    assert sum(r.verdict == "block" for r in out if r.rule is None) < 0.2 * len(out)

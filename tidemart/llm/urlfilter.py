@@ -28,9 +28,23 @@ from pyspark.sql import functions as F
 
 from tidemart.llm import common
 
-#: Terms that block alone, and terms of which several must meet; own lists.
-STRICT = ("casino", "escort", "hentai", "nude", "porn", "porno", "sexcam", "xxx")
-SOFT = ("adult", "bet", "betting", "bingo", "bonus", "dating", "gamble", "hot", "jackpot", "lottery", "loan", "pills", "poker", "sex", "slots", "viagra", "win", "winner")
+#: Stems of terms that block alone, and of terms of which several must meet; own lists by subject.
+STRICT_STEMS = "bdsm camgirl camsex casino escort fetish hentai hookup milf nude nudist porn pornhub porno sexcam sexshop striptease upskirt webcamsex xxx".split()
+SOFT_STEMS = (
+    "adult amateur babe bet bingo blackjack dating erotic flirt gamble gambling hot jackpot kinky lotto lottery naked poker roulette sex sexy single slot tease wager "  # adults, gambling
+    "cheap cialis diet generic herbal levitra loan mortgage payday pharma pharmacy pill prescription refinance rx steroid tablet viagra weightloss xanax "  # pharmacy, credit
+    "ad affiliate banner bonus click clickbait coupon crack deal discount farm free freebie giveaway hack keygen lead linkfarm popunder popup prize profit promo "
+    "rich scam seo serial spam track tracker traffic warez win winner"  # spam, lures
+).split()
+#: A term is a stem with one of these endings, so the vocabulary follows from the stems.
+ENDINGS = ("", "s", "online", "site")
+
+
+def vocabulary(stems: Sequence[str], endings: Sequence[str] = ENDINGS) -> tuple[str, ...]:
+    return tuple(dict.fromkeys(stem + end for stem in stems for end in endings))
+
+
+STRICT, SOFT = vocabulary(STRICT_STEMS), vocabulary(SOFT_STEMS)
 SOFT_MIN = 2
 
 
@@ -82,8 +96,9 @@ class Judge:
             own.sort(key=lambda r: -len(r.path))
         self.soft_min = soft_min
         self.automaton = ahocorasick.Automaton()
+        blocking = set(map(lower, strict))
         for term in dict.fromkeys(map(lower, [*strict, *soft])):
-            self.automaton.add_word(term, (term, term in set(map(lower, strict))))
+            self.automaton.add_word(term, (term, term in blocking))
         self.automaton.make_automaton()
 
     def rule(self, host: str, path: str) -> Rule | None:
