@@ -5,7 +5,10 @@ a lost executor never costs more than the running stage.  All stages but the
 last return the columns of ``documents``; the last one returns the encoding of
 each document that is left.  A stage works on all that its predecessor kept.
 
-A null text passes the filters (it has no words) and is encoded as no ids.
+A null text passes the filters (it has no words) and is encoded as no ids.  Texts
+of any length are read whole: each operator cuts its work, not the text.  Empty
+tables pass as empty ones.  Other columns of the documents, whatever their names,
+pass through the stages unchanged (``substring_dedup`` adjusts ``n_chars``).
 Decisions about copies and phrases name rows by doc_id and text, so they hold
 for rows without doc_id and for several texts under one.  Of copies the row with
 the smallest doc_id stays (one without id only if no copy has one), and of equal
@@ -16,19 +19,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm import common, decontam, orderminhash, substring, toxicity, trie_bpe
 
-_KEY = "__td_key"
+_KEY, _ROW = "__td_key", "__td_row"
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _aside(docs: DataFrame) -> DataFrame:
+    """doc_id, text and all other columns in one, so that no result of an operator replaces one of them."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias(_ROW))
+
+
+def _back(docs: DataFrame, **changed: Column) -> list[Column]:
+    """The columns of ``docs`` from rows that have been put aside."""
+    own = {"text": F.col("text"), **changed}
+    return [own[c].alias(c) if c in own else F.col(f"{_ROW}.`{c}`").alias(c) for c in docs.columns]
+
+
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the model, trained on their labels, predicts to be toxic."""
     model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    return toxicity.score(_aside(docs), model).where("predicted = 0").select(*_back(docs))
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,10 +55,10 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove the words of repeated 50-word windows; texts that lose none stay as they are."""
-    out, changed = substring.remove_repeats(docs), F.col("n_removed") > 0
+    out, changed = substring.remove_repeats(_aside(docs)), F.col("n_removed") > 0
     text = F.when(changed, F.col("kept_text")).otherwise(F.col("text"))
-    n_chars = F.when(changed, F.char_length("kept_text").cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumns({"text": text, "n_chars": n_chars}).select(*docs.columns)
+    n_chars = F.when(changed, F.char_length("kept_text").cast("long")).otherwise(F.col(f"{_ROW}.n_chars"))
+    return out.select(*_back(docs, text=text, n_chars=n_chars))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
