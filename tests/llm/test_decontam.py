@@ -79,3 +79,17 @@ def test_repeated_items_are_read_once(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_BYTES", 200)
     blocks = list(decontam._blocks(_table(spark, items), "item_id", "text"))
     assert sorted(x for b in blocks for x in b) == sorted({(str(i), t) for i, t in items}) and max(map(len, blocks)) < 41
+
+
+def test_windows_of_large_blocks_are_arrays():
+    """A block of items costs some 20 bytes a byte of text, not Python objects for each window."""
+    import tracemalloc
+
+    texts = [" ".join(words(2000, i, 50_000)) for i in range(200)] + ["one two", "one two", "", "!"]
+    tracemalloc.start()
+    found = decontam.phrases_of(texts, 10)
+    now, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert now < 25 * sum(map(len, texts))
+    assert [p.windows.shape for p in found] == [(1, 2), (200 * 1991, 10)] and found[0].item.tolist() == [200, 201]
+    assert found[1].at[-1] == len(found[1].item) == 200 * 1991

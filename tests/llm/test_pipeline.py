@@ -91,7 +91,23 @@ def test_edge_rows_pass_all_stages(spark, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     ids = [r.doc_id for r in out]
     assert {1, 4, 5, 7, 10, 11, 13} <= set(ids) and not {2, 3, 15} & set(ids) and len([i for i in ids if i is not None]) == len(set(ids) - {None})
-    docs.limit(0).write.mode("overwrite").parquet(f"{tmp_path}/none/documents.parquet")
+
+
+def test_empty_tables_pass_all_stages(spark, tmp_path):
+    from .data import documents
+
+    documents(spark, []).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
     for name in ("labels", "benchmark"):
-        common.table(spark, SF, name).limit(0).write.parquet(f"{tmp_path}/none/{name}.parquet")
-    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+        common.table(spark, SF, name).limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_clashing_columns_pass_all_stages(spark):
+    """Columns named like results of the operators are those of the documents after each stage."""
+    from .data import documents
+
+    docs = documents(spark, [(1, "one two three"), (2, None), (3, "a b " * 300)])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SF)
+        assert after.schema.simpleString() == docs.schema.simpleString(), name
+        assert after.where("n_words = 'x' and score = 'y' and ids = 1 and items = 2 and kept and h = 3 and node = 5").count() == 3, name

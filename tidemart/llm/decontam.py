@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,9 @@ from tidemart.llm import common, textops
 
 WINDOW = 10
 SHARD_BYTES = 8 << 20
-#: Text of the test items that one pass over the index looks up.
-BLOCK_BYTES = 16 << 20
+#: Text of the test items that one pass over the index looks up.  Driver and tasks hold about 20 bytes of
+#: windows for each byte of it.
+BLOCK_BYTES = 4 << 20
 
 _INDEX = "shard long, doc_ids array<long>, first binary, terms binary, offsets binary, postings binary"
 
@@ -162,6 +164,31 @@ def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple
         yield [(r[0], r[1]) for r in read.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == i).collect()]
 
 
+class Phrases(NamedTuple):
+    """Distinct windows of one length (a row each); those of row r come from the items ``item[at[r] : at[r + 1]]``."""
+
+    windows: np.ndarray
+    at: np.ndarray
+    item: np.ndarray
+
+
+def phrases_of(texts: list[str], window: int) -> list[Phrases]:
+    """The distinct windows of all texts by length; a text of fewer words is one window, of none has none."""
+    h, first = words_of(pa.array(texts, pa.string()))
+    size = np.minimum(np.diff(first), window)
+    out = []
+    for n in np.unique(size[size > 0]).tolist():
+        own = np.flatnonzero(size == n)
+        count = first[own + 1] - first[own] - n + 1
+        item = np.repeat(own, count)
+        start = np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first[own], count)
+        rows = np.ascontiguousarray(h[start[:, None] + np.arange(n)])
+        _, lead, which = np.unique(rows.view(f"V{8 * n}").ravel(), return_index=True, return_inverse=True)
+        pair = np.unique(which.astype(np.int64) * len(texts) + item)
+        out.append(Phrases(rows[lead], np.searchsorted(pair // len(texts), np.arange(len(lead) + 1)), (pair % len(texts)).astype(np.int32)))
+    return out
+
+
 def phrase_matches(index: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """shard, nth, items, spans: the documents (nth of the shard) in which phrases occur.
 
@@ -169,23 +196,19 @@ def phrase_matches(index: DataFrame, items: DataFrame, window: int = WINDOW, id_
     schema = "shard long, nth int, items array<string>, spans array<struct<lo:int,hi:int>>"
     found = None
     for block in _blocks(items, id_col, text_col):
-        by_size: dict[int, dict[bytes, set[str]]] = defaultdict(lambda: defaultdict(set))
-        h, first = words_of(pa.array([t for _, t in block], pa.string()))
-        for (name, _), a, b in zip(block, first[:-1], first[1:], strict=True):
-            size = min(window, int(b - a))
-            for s in range(int(a), int(b) - size + 1) if size else ():
-                by_size[size][h[s : s + size].tobytes()].add(name)
-        phrases = {n: (np.frombuffer(b"".join(d), np.uint64).reshape(-1, n), [sorted(x for x in s if x is not None) for s in d.values()]) for n, d in by_size.items()}
-
-        def run(batches: Iterator[pa.RecordBatch], phrases=phrases) -> Iterator[pa.RecordBatch]:
+        ids = [name for name, _ in block]
+        phrases = phrases_of([text for _, text in block], window)
+
+        def run(batches: Iterator[pa.RecordBatch], phrases=phrases, ids=ids) -> Iterator[pa.RecordBatch]:
             for row in (r for b in batches for r in b.to_pylist()):
                 s = _Shard(row)
                 spans, names = defaultdict(list), defaultdict(set)
-                for n, (what, who) in phrases.items():
-                    which, start = s.phrases(what)
+                for what in phrases:
+                    n = what.windows.shape[1]
+                    which, start = s.phrases(what.windows)
                     doc = np.searchsorted(s.first, start, "right") - 1
                     for w, a, d in sorted(zip(which.tolist(), (start - s.first[doc]).tolist(), doc.tolist(), strict=True), key=lambda x: x[1]):
-                        names[d].update(who[w])
+                        names[d].update(ids[i] for i in what.item[what.at[w] : what.at[w + 1]] if ids[i] is not None)
                         spans[d].append((a, a + n))
                 out = []
                 for d, runs in spans.items():
