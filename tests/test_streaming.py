@@ -149,14 +149,9 @@ def test_a_hundred_batches_do_flat_work(spark):
     feed = fx.feed(spark, [(i, 1, day, 10 + i % 2, None, 1, 1, 19980101) for i in range(100 * 5)])
     run = Run(spark, feed.coalesce(1), (fx.customers(spark), fx.products(spark), None), rows=5)
     stream = segment_stream(spark, run.landing, run.schema, run.rows, run.out)
-    parts = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "300")
-    spark.conf.set("spark.sql.shuffle.partitions", "1")
-    try:
-        query = start_enrichment(spark, stream, *run.masters, run.out, f"{run.out}/_checkpoint")
-        query.processAllAvailable()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    query = start_enrichment(spark, stream, *run.masters, run.out, f"{run.out}/_checkpoint", state_partitions=1)
+    query.processAllAvailable()
     progress = [json.loads(p.json) for p in query.recentProgress]
     query.stop()
     worked = [p for p in progress if p["numInputRows"]]

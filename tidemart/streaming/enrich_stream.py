@@ -87,15 +87,20 @@ def with_members(flagged: DataFrame) -> DataFrame:
 def start_enrichment(spark: SparkSession, stream: DataFrame, customers: DataFrame,
                      products: DataFrame, suppliers: DataFrame | None, out_root: str,
                      checkpoint: str, processing_time: str | None = None,
-                     before_commit: Callable[[], None] | None = None) -> StreamingQuery:
+                     before_commit: Callable[[], None] | None = None,
+                     state_partitions: int | None = None) -> StreamingQuery:
     """Start the enrichment stream: ``sales``, ``rejects`` and ``members`` below ``out_root``, all partitioned
-    by batch, and the manifest of committed batches."""
+    by batch, and the manifest of committed batches.
+
+    ``state_partitions``: parts of the member state, fixed by the first start (a
+    task and a store of its own each; by default as many as tasks run at once)."""
     out_root = out_root.rstrip("/")
     ship_library(spark)
     require_unique_masters(customers, products, suppliers)
     flagged = enrich_flagged(stream, customers, products, suppliers)
     schema = flagged.schema
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    parts = state_partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    settings = {"spark.sql.streaming.stateStore.providerClass": STATE_STORE, "spark.sql.shuffle.partitions": str(parts)}
 
     def commit(batch: DataFrame, batch_id: int) -> None:
         commit_batch(batch, batch_id, out_root, schema, before_commit)
@@ -103,7 +108,14 @@ def start_enrichment(spark: SparkSession, stream: DataFrame, customers: DataFram
     writer = with_members(flagged).writeStream.outputMode("append").foreachBatch(commit).option("checkpointLocation", checkpoint)
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:  # the query takes the session's settings as they are when it starts
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        return writer.start()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def run_to_completion(query: StreamingQuery) -> None:
