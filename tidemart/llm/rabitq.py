@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,7 @@ def shape(n: int, threshold: float, miss: float) -> tuple[int, int]:
     return bits, math.ceil(math.log(miss) / math.log1p(-meet))
 
 
+@lru_cache(maxsize=8)
 def rotation(d: int, number: int) -> np.ndarray:
     """A random orthogonal matrix, the same in every task."""
     q, r = np.linalg.qr(np.random.default_rng([SEED, d, number]).standard_normal((d, d)))
@@ -83,23 +85,19 @@ def encode(x: np.ndarray, bits: int, tables: int) -> tuple[np.ndarray, np.ndarra
     return (flat @ (1 << np.arange(bits, dtype=np.int64))).astype(np.int32), code, factor
 
 
-def _matrix(values: pa.Array, size: int) -> np.ndarray:
-    return values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
-
-
 def coded(vectors: DataFrame, bits: int, tables: int) -> DataFrame:
-    """rep, copies, d, x (doubles), keys, code, factor of each distinct vector."""
+    """rep, copies, d, x (the components as they are stored, floats or doubles), keys, code, factor of each distinct vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sizes = b.column(2).value_lengths().to_numpy(zero_copy_only=False)
             for d in np.unique(sizes):
                 at = pa.array(np.flatnonzero(sizes == d))
-                x = unit(_matrix(b.column(2).take(at), int(d)))
-                keys, code, factor = encode(x, bits, tables)
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * tables), pa.array(keys.reshape(-1)))
+                raw = b.column(2).take(at).flatten().to_numpy(zero_copy_only=False).reshape(-1, int(d))
+                keys, code, factor = encode(unit(raw.astype(np.float64)), bits, tables)
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(raw) + 1, dtype=np.int32) * tables), pa.array(keys.reshape(-1)))
                 rows = lambda m: pa.array([v.tobytes() for v in m], pa.binary())
-                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(np.full(len(x), d, np.int32)), rows(x), flat, rows(keys), rows(code), pa.array(factor)], ["rep", "copies", "d", "x", "keys", "packed", "code", "factor"])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(np.full(len(raw), d, np.int32)), rows(raw), flat, rows(keys), rows(code), pa.array(factor)], ["rep", "copies", "d", "x", "keys", "packed", "code", "factor"])
 
     return vectors.select("rep", "copies", "embedding").mapInArrow(run, "rep long, copies long, d int, x binary, keys array<int>, packed binary, code binary, factor double")
 
@@ -145,7 +143,7 @@ def _roots(a: np.ndarray, b: np.ndarray, low: np.ndarray) -> np.ndarray:
     return low
 
 
-def _compare(rows: pa.Table, threshold: float, sigmas: float) -> Iterator[pa.RecordBatch]:
+def _compare(rows: pa.Table, threshold: float, sigmas: float, kind: type = np.float64) -> Iterator[pa.RecordBatch]:
     number = {name: rows.column(name).to_numpy() for name in ("rep", "copies", "d", "t", "key", "i", "j", "side", "factor")}
     for d in np.unique(number["d"]):
         at = np.flatnonzero(number["d"] == d)
@@ -153,7 +151,7 @@ def _compare(rows: pa.Table, threshold: float, sigmas: float) -> Iterator[pa.Rec
         n = {name: v[at] for name, v in number.items()}
         pick = rows.take(pa.array(at))
         blob = lambda name: b"".join(pick.column(name).to_pylist())
-        x = np.frombuffer(blob("x"), np.float64).reshape(len(at), -1)
+        x = unit(np.frombuffer(blob("x"), kind).reshape(len(at), -1).astype(np.float64))
         keys = np.frombuffer(blob("packed"), np.int32).reshape(len(at), -1)
         code = np.where(np.unpackbits(np.frombuffer(blob("code"), np.uint8).reshape(len(at), -1), axis=1, count=int(d)), np.float32(1), np.float32(-1))
         turned = (x @ rotation(int(d), 0).T).astype(np.float32)
@@ -188,7 +186,10 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     """vec_id, n_links, component_id, kept for every vector."""
     spark = table.sparkSession
     common.prepare(spark)
-    read = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
+    # components travel as they are stored, and become doubles in the task
+    narrow = table.schema[vector_col].dataType.simpleString() == "array<float>"
+    kind, width = (np.float32, 4) if narrow else (np.float64, 8)
+    read = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<float>" if narrow else "array<double>").alias("embedding"))
     bad = "exists(embedding, v -> v is null or isnan(v) or abs(v) = double('infinity'))"
     usable = F.expr(f"vec_id is not null and size(embedding) > 0 and not {bad} and exists(embedding, v -> v <> 0)")
     keyed = read.withColumn("usable", F.coalesce(usable, F.lit(False))).withColumn("h", F.xxhash64("embedding"))
@@ -203,8 +204,8 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     hot = common.stored(hot.select("t", "key", "d", "m", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "hot-buckets")
     # a row holds the vector, its code, all keys and some numbers; in a hot bucket it is copied once per block
     fixed = 4 * tables + 72
-    copied = hot.agg(F.sum(F.col("m") * (F.col("blocks") - 1) * (F.col("d") * 65 / 8 + fixed))).first()[0] or 0
-    spread = max(common.parts(spark), int((n * fixed + (numbers or 0) * 65 / 8) * tables + copied) // TASK_BYTES + 1)
+    copied = hot.agg(F.sum(F.col("m") * (F.col("blocks") - 1) * (F.col("d") * (width + 0.125) + fixed))).first()[0] or 0
+    spread = max(common.parts(spark), int((n * fixed + (numbers or 0) * (width + 0.125)) * tables + copied) // TASK_BYTES + 1)
     hot = hot.drop("m")
     hot = F.broadcast(hot) if hot.count() <= HOT_ROWS else hot
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
@@ -217,7 +218,7 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in common.groups(batches, ("t", "key", "d", "i", "j"), common.GROUP_BYTES):
-            yield from _compare(rows.combine_chunks(), threshold, sigmas)
+            yield from _compare(rows.combine_chunks(), threshold, sigmas, kind)
 
     met = common.stored(dealt.repartition(spread, "t", "key", "d", "i", "j").sortWithinPartitions("t", "key", "d", "i", "j").mapInArrow(run, "rep long, n long, low long"), "links")
     counts = met.groupBy("rep").agg(F.sum("n").alias("n"))
