@@ -32,6 +32,7 @@ replace columns of the same name.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -153,7 +154,7 @@ def sorted_shards(bodies: DataFrame, k: int, folder: str) -> DataFrame:
         for (_, _, body), at in zip(rows, first.tolist(), strict=False):
             text[at : at + len(body)] = np.frombuffer(body, np.uint8)
             text[at : at + len(body)] += 2
-        spill = induced.Spill(f"{folder}/{hashlib.blake2b(rows[0][1]).hexdigest()[:16]}", QUEUE_BYTES)
+        spill = induced.Spill(f"{folder}/{uuid.uuid4().hex}", QUEUE_BYTES)  # of this attempt alone
         try:
             starts = np.flatnonzero(induced.shared_with_another(text, k, spill))
         finally:
