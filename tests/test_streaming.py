@@ -194,3 +194,25 @@ def test_manifest(tmp_path, spark):
     with pytest.raises(RuntimeError, match="its replay"):
         manifest.commit(root, 20, 31)
     assert manifest.commits(spark, root).count() == 21
+
+
+def test_members_are_admitted_by_sparks_own_state_and_few_files(spark):
+    """No Python call for each key; names with line breaks stay whole, all days of a new time id enter; a batch
+    writes as many files as its rows need."""
+    d1, d2 = fx.d(1998, 1, 1), fx.d(1998, 1, 2)
+    feed = fx.feed(spark, [(i, 1, (d1, d2)[i % 2], 10 + i % 2, None, 1, 1, 199801) for i in range(40)])
+    customers = fx.customers(spark).withColumn("customer_name", F.concat("customer_name", F.lit("\n\\n|\r\nb")))
+    run = Run(spark, feed.coalesce(1), (customers, fx.products(spark), None), rows=20)
+    stream = segment_stream(spark, run.landing, run.schema, run.rows, run.out)
+    query = start_enrichment(spark, stream, *run.masters, run.out, f"{run.out}/_checkpoint")
+    query.processAllAvailable()
+    worked = [p for p in (json.loads(p.json) for p in query.recentProgress) if p["numInputRows"]]
+    query.stop()
+    assert {s["operatorName"] for p in worked for s in p["stateOperators"]} == {"dedupe"}
+    got = run.read()
+    assert {(r.time_id, r.order_date) for r in got.dimension("dim_time").collect()} == {(199801, d1), (199801, d2)}
+    names = {r.customer_id: r.customer_name for r in customers.collect()}
+    assert [(r.customer_id, r.customer_name) for r in got.dimension("dim_customer").collect()] == [(1, names[1])]
+    for table in ("sales", "members"):
+        for folder, _, files in os.walk(f"{run.out}/{table}".removeprefix("file:")):
+            assert sum(f.endswith(".parquet") for f in files) <= 1, folder
