@@ -223,3 +223,23 @@ def test_changed_input_is_seen(spark, tmp_path):
     lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").where("l_orderkey % 2 = 0").toPandas()
     lines.to_parquet(f"{folder}/lineitem.parquet")
     assert catalog.loaded_warehouse(spark, folder) is not star and _rows(query(spark, folder)) != first
+
+
+def test_names_are_not_carried_through_the_rows(spark):
+    """Staged rows hold ids; members come from the masters, the first row's value where a store has two names."""
+    day = fx.d(1998, 3, 1)
+    suppliers = spark.createDataFrame([(1, "S1", 5, "West", "R"), (2, "S2", 5, "East", "R"), (3, "S3", 6, "North", None), (4, "S4", 8, "None", "R")],
+                                      "supplier_id int, supplier_name string, store_id int, store_name string, region string")
+    feed = fx.feed(spark, [(9, 1, day, 10, 1, 1, 1, 1), (3, 1, day, 10, 2, 1, 2, 1), (4, 1, day, 11, 3, 1, 2, 1), (5, 1, day, 11, 4, 1, 99, 1)])
+    root = new_warehouse_root(spark)
+    masters = (fx.customers(spark), fx.products(spark), suppliers)
+    with pytest.raises(LoadStopped) as stopped:
+        load_warehouse(spark, root, feed, *masters, limits=LoadLimits(least_rows=100))
+    staged = spark.read.parquet(stopped.value.staged).columns
+    assert not {"customer_name", "product_name", "supplier_name", "store_name", "region"} & set(staged)
+    for _ in range(2):
+        star = load_warehouse(spark, root, feed, *masters)
+        assert sorted(tuple(r) for r in star.store.collect()) == [(5, "East", "R"), (6, "North", None)]
+        assert sorted(tuple(r) for r in star.supplier.collect()) == [(1, "S1"), (2, "S2"), (3, "S3")]
+        assert sorted(r.customer_id for r in star.customer.collect()) == [1, 2]
+        assert dict(star.supplier.dtypes)["supplier_id"] == "bigint" and star.product.count() == 2
