@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemart.plans import catalog
 
@@ -63,3 +64,24 @@ def test_year_filter_prunes_the_fact_by_the_time_dimension(spark):
 
     plan = _executed_plan(R.q2_store_quarter_revenue(catalog.loaded_warehouse(spark, SF_SMALL)))
     assert "dynamicpruning" in plan.lower()
+
+
+def test_clashing_members_do_not_shuffle_the_rows(spark, tmp_path):
+    """Stores come from a supplier master that is itself joined (its size is not known beforehand): matched rows
+    meet its clashing members without a shuffle or sort of their own."""
+    from tidemart.operators.dims import carried_members
+    from tidemart.schemas import FACT_KEY
+
+    spark.range(4000).selectExpr("id as order_id", "1 as line_no", "id % 50 as product_id", "id % 40 as supplier_id", "1 as quantity").write.parquet(str(tmp_path / "rows"))
+    spark.range(40).selectExpr("id as supplier_id", "id % 10 as nation").write.parquet(str(tmp_path / "suppliers"))
+    spark.range(10).selectExpr("id as nation", "int(id) as store_id", "concat('N', id) as store_name", "id % 2 as rk").write.parquet(str(tmp_path / "nations"))
+    spark.range(2).selectExpr("id as rk", "concat('R', id) as region").write.parquet(str(tmp_path / "regions"))
+    rows, suppliers, nations, regions = (spark.read.parquet(str(tmp_path / n)) for n in ("rows", "suppliers", "nations", "regions"))
+    master = suppliers.join(nations, "nation", "left").join(regions, "rk", "left")
+    clash = master.withColumn("store_name", F.expr("if(store_id = 3, concat(store_name, '-', supplier_id), store_name)"))
+    for side, expected in ((master, "N3"), (clash, "N3-3")):
+        members = carried_members(rows, side, "supplier_id", "store_id", ["store_name", "region"], None, FACT_KEY)
+        plan = members._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan
+        found = {r.store_id: (r.store_name, r.region) for r in members.collect()}
+        assert len(found) == 10 and found[3] == (expected, "R1")
