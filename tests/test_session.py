@@ -47,3 +47,46 @@ def test_settings_of_the_caller_stay(spark):
     session._APPLIED.discard(session.app_id(own))
     apply_sql_defaults(own)
     assert own.conf.get("spark.sql.autoBroadcastJoinThreshold") == "1234"
+
+
+def test_shuffles_start_in_step_with_the_input(spark):
+    """Partitions grow with the input's files, never below the caller's number; a number the caller set stays."""
+    from tidemart import session
+
+    own = spark.newSession()
+    least = int(own.conf.get("spark.sql.shuffle.partitions"))
+    kept = session._SIZED.pop(session.app_id(own), None)
+    try:
+        found = []
+        for size in (1, 1 << 30, 6 << 30):
+            session.size_shuffles(own, size)
+            found.append(int(own.conf.get(session.INITIAL_PARTITIONS)))
+        assert found[0] == least and found[2] == 6 * found[1] > 6 * least
+        own.conf.set(session.INITIAL_PARTITIONS, "7")
+        session.size_shuffles(own, 6 << 30)
+        assert own.conf.get(session.INITIAL_PARTITIONS) == "7"
+    finally:
+        session._SIZED.pop(session.app_id(own), None)
+        if kept is not None:
+            session._SIZED[session.app_id(own)] = kept
+
+
+def test_size_of_the_star_counts_its_tables_only(spark, tmp_path):
+    from tidemart.sources.fixtures import star_bytes
+
+    for name in ("lineitem", "orders", "documents"):
+        (tmp_path / f"{name}.parquet").write_bytes(b"x" * 100)
+    (tmp_path / "part.parquet").mkdir()
+    (tmp_path / "part.parquet" / "a.parquet").write_bytes(b"x" * 11)
+    assert star_bytes(spark, str(tmp_path)) == 211
+
+
+def test_a_task_reads_small_shares_of_stored_rows(spark, tmp_path):
+    """A task's memory is bound by its share of a scan: what a scan hands to one task is 16 MB at most."""
+    spark.range(6_000_000).selectExpr("id", "xxhash64(id) as h").coalesce(1).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    largest = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    own = spark.newSession()
+    apply_sql_defaults(own)
+    assert largest > 40 << 20 and int(own.conf.get("spark.sql.files.maxPartitionBytes")) <= 16 << 20
+    assert stored.rdd.getNumPartitions() >= largest / (16 << 20)
