@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemart.llm import induced, suffixes
 
@@ -104,3 +105,37 @@ def test_queues_go_to_disk_and_leave_nothing(tmp_path):
     spill.close()
     assert not (tmp_path / "q").exists()
     assert sorted(np.flatnonzero(found)) == [*range(1000, 4601), *range(8000, 11601)]
+
+
+def test_shards_take_turns(spark):
+    """Several shards met in one task by their hash: with two for each task, some had many and others none."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    body = " ".join(words(100, 9)).encode()
+    rows = [(s, bytes([s % 256, s // 256, i]), bytes([i]) + body, s) for s in range(2 * n) for i in range(2)]
+    bodies = spark.createDataFrame(rows, "anchor long, digest binary, body binary, shard long")
+    found = suffixes.sorted_shards(bodies, 400, "unused").withColumn("task", F.spark_partition_id())
+    held = found.groupBy("task").agg(F.countDistinct("anchor").alias("shards"), F.count("*").alias("runs")).collect()
+    assert [(r.shards, r.runs) for r in held] == [(2, 4)] * n
+
+
+def test_doubling_sorts_only_what_shares_a_rank(monkeypatch):
+    rng = random.Random(4)
+    plain, sizes = induced._finer, []
+
+    def finer(rank, alive, h):
+        sizes.append(len(alive))
+        return plain(rank, alive, h)
+
+    monkeypatch.setattr(induced, "_finer", finer)
+    for n, repeated, cap in ((2000, 100, 202), (300, 90, 10), (300, 90, 300), (50, 0, 202), (1, 0, 202)):
+        sizes.clear()
+        names = rng.sample(range(1, 5000), n - repeated - 1)
+        names = [*names, *names[:repeated], 0]
+        names = np.unique(names, return_inverse=True)[1]
+        order, value = induced._doubled(names, cap)
+        assert sizes == [2 * (repeated - h + 1) for h in (1 << i for i in range(9)) if h < cap and h <= repeated]  # pairs that share h names
+        t = names.tolist()
+        keys = [t[p : p + cap] for p in order.tolist()]
+        assert sorted(order.tolist()) == list(range(n)) and keys == sorted(keys)
+        shared = [next((i for i in range(cap) if x[i : i + 1] != y[i : i + 1]), cap) for x, y in zip(keys, keys[1:], strict=False)]
+        assert value.tolist() == [0, *shared]
