@@ -49,6 +49,37 @@ def test_settings_of_the_caller_stay(spark):
     assert own.conf.get("spark.sql.autoBroadcastJoinThreshold") == "1234"
 
 
+def test_a_callers_broadcast_limit_holds_for_measured_sizes_too(spark):
+    from tidemart import session
+
+    own = spark.newSession()
+    for key in (session.BROADCAST, session.MEASURED_BROADCAST):
+        own.conf.unset(key)
+    for limit, measured in (("1234", None), (None, session.SESSION_DEFAULTS[session.MEASURED_BROADCAST])):
+        own.conf.unset(session.BROADCAST) if limit is None else own.conf.set(session.BROADCAST, limit)
+        session._APPLIED.discard(session.app_id(own))
+        apply_sql_defaults(own)
+        assert own.conf.get(session.BROADCAST) == (limit or session.SESSION_DEFAULTS[session.BROADCAST])
+        assert own._jsparkSession.sessionState().conf().settings().get(session.MEASURED_BROADCAST) == measured
+
+
+def test_masters_whose_rows_are_many_for_their_bytes_are_not_broadcast(spark):
+    """600,000 products in a few MB of files would fill tens of MB of the driver; 100,000 suppliers
+    are measured and broadcast."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(600_000).select(F.col("id").alias("product_id"), F.lit("a name that all share").alias("product_name"))
+    products = materialize(rows.coalesce(1), "test-products")
+    feed = materialize(spark.range(1000).select((F.col("id") * 7).alias("product_id"), (F.col("id") % 5).alias("supplier_id")), "test-feed")
+    suppliers = spark.range(100_000).select(F.col("id").alias("supplier_id"), F.md5(F.col("id").cast("string")).alias("supplier_name"))
+    suppliers = materialize(suppliers, "test-suppliers").select("supplier_id", F.substring("supplier_name", 1, 8).alias("supplier_name"))
+    joined = feed.join(products, "product_id", "left").join(suppliers, "supplier_id", "left")
+    assert joined.count() == 1000 and joined.where("product_name is null").count() == 0
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert "SortMergeJoin [product_id" in plan and "BroadcastHashJoin [supplier_id" in plan
+
+
 def test_shuffles_start_in_step_with_the_input(spark):
     """Partitions grow with the input's files, never below the caller's number; a number the caller set stays."""
     from tidemart import session
