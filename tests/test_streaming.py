@@ -9,7 +9,7 @@ from tidemart.operators.dims import DIMENSIONS
 from tidemart.operators.enrich import enrich, enrich_rejects, normalise_feed
 from tidemart.plans import reports as R
 from tidemart.plans.load import load_warehouse, new_warehouse_root
-from tidemart.session import shared_scratch_dir
+from tidemart.session import materialize, shared_scratch_dir
 from tidemart.sources.fixtures import FixtureSources
 from tidemart.sources.segments import SegmentReader, segment_stream
 from tidemart.streaming import manifest
@@ -216,3 +216,19 @@ def test_members_are_admitted_by_sparks_own_state_and_few_files(spark):
     for table in ("sales", "members"):
         for folder, _, files in os.walk(f"{run.out}/{table}".removeprefix("file:")):
             assert sum(f.endswith(".parquet") for f in files) <= 1, folder
+
+
+def test_a_batch_does_not_hash_large_masters_in_the_driver(spark):
+    """Every micro-batch joins the masters anew: 600,000 products in a few MB of files are not broadcast for each."""
+    many = spark.range(600_000).select(
+        F.col("id").alias("product_id"), F.lit("Laptop").alias("product_name"), F.lit(2).cast("decimal(10,2)").alias("product_price"),
+        F.lit(7).cast("long").alias("supplier_id"), F.lit("Alder Optics").alias("supplier_name"), F.lit(1).alias("store_id"), F.lit("Mill Lane").alias("store_name"))
+    products = materialize(many.coalesce(1), "test-products")
+    day = fx.d(1998, 1, 1)
+    run = Run(spark, fx.feed(spark, [(i, 1, day, 10 + i, None, 1, 1, 19980101) for i in range(6)]), (fx.customers(spark), products, None), rows=4)
+    query = start_enrichment(spark, segment_stream(spark, run.landing, run.schema, 4, run.out), *run.masters, run.out, f"{run.out}/_checkpoint")
+    query.processAllAvailable()
+    plan = query._jsq.explainInternal(False)
+    run_to_completion(query)
+    assert "SortMergeJoin [product_id" in plan
+    assert run.read().sales().count() == 6 and _rows(run.read().dimension("dim_product"), ["product_id"]) == [(10 + i,) for i in range(6)]
