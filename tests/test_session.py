@@ -68,6 +68,11 @@ def test_masters_whose_rows_are_many_for_their_bytes_are_not_broadcast(spark):
     are measured and broadcast."""
     from pyspark.sql import functions as F
 
+    from tidemart import session
+
+    spark = spark.newSession()
+    for key in (session.BROADCAST, session.MEASURED_BROADCAST):
+        spark.conf.set(key, session.SESSION_DEFAULTS[key])
     rows = spark.range(600_000).select(F.col("id").alias("product_id"), F.lit("a name that all share").alias("product_name"))
     products = materialize(rows.coalesce(1), "test-products")
     feed = materialize(spark.range(1000).select((F.col("id") * 7).alias("product_id"), (F.col("id") % 5).alias("supplier_id")), "test-feed")
